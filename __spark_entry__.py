@@ -97,10 +97,16 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
     return _TABLES[key]
 
 
+# Measured or already rounded values: equal in both engines as they are.
+EXACT = {"latitude", "longitude", "package_weight_kg", "temperature", "wind_speed", "distance_km",
+         "estimated_hours", "estimated_delivery_hours", "min_km", "max_km", "min_hours",
+         "max_hours"}
+
+
 def _comparable(df: DataFrame) -> DataFrame:
-    """Doubles to 4 decimals: their last digits depend on the order of summation."""
-    return df.select(*[F.round(f.name, 4).alias(f.name) if f.dataType == T.DoubleType()
-                       else F.col(f.name) for f in df.schema])
+    """Averages and ratios to 4 decimals: their last digits depend on the order of summation."""
+    computed = {f.name for f in df.schema if f.dataType == T.DoubleType()} - EXACT
+    return df.withColumns({c: F.round(c, 4) for c in computed}) if computed else df
 
 
 # --- queries that need more than one call --------------------------------

@@ -45,3 +45,12 @@ def travel_hours(distance_km: Column, mode: Column, pace=None) -> Column:
 
 def route_id(order_id) -> Column:
     return F.concat(F.lit("RT-"), order_id)
+
+
+def round2(value: Column) -> Column:
+    """A non-negative number to 2 decimals, halves up, on the binary value.
+
+    `round` would go through a decimal per row; this stays in plain arithmetic.
+    """
+    return F.when(F.isnan(value), value).otherwise(
+        F.floor(value * 100 + F.lit(0.5)) / F.lit(100.0))

@@ -34,8 +34,8 @@ def with_route(df: DataFrame) -> DataFrame:
             .withColumn("estimated_hours",
                         routing.travel_hours(F.col("distance_km"), F.col("transport_mode")))
             .withColumns({"route_id": routing.route_id("order_id"),
-                          "distance_km": F.round("distance_km", 2),
-                          "estimated_hours": F.round("estimated_hours", 2)}))
+                          "distance_km": routing.round2(F.col("distance_km")),
+                          "estimated_hours": routing.round2(F.col("estimated_hours"))}))
 
 
 def with_risk(df: DataFrame, null_points: int = 0) -> DataFrame:

@@ -10,6 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 BASE = ("region", "nation", "customer", "supplier", "orders", "events")
 
+
+
+def _padded(prefix: str, number: str) -> str:
+    """SQL for `WH-007`: at least 3 digits, without a formatter call per row."""
+    return (f"concat('{prefix}-', case when {number} < 10 then '00' when {number} < 100 then '0' "
+            f"else '' end, cast({number} as string))")
+
+
 CUSTOMERS = """
 select concat('CUST-', cast(c_custkey as string)) customer_id, 'Customer' first_name,
        substring(c_name, 10) last_name,
@@ -22,13 +30,13 @@ select concat('CUST-', cast(c_custkey as string)) customer_id, 'Customer' first_
 from {customer} join {nation} on c_nationkey = n_nationkey
      join {region} on r_regionkey = n_regionkey"""
 
-WAREHOUSES = """
-select printf('WH-%03d', s_suppkey) warehouse_id, s_name name,
+WAREHOUSES = f"""
+select {_padded('WH', 's_suppkey')} warehouse_id, s_name name,
        concat('CITY_', cast(s_suppkey % 30 as string)) city, n_name country,
        40e0 + ((s_suppkey * 631) % 1500) / 100e0 latitude,
        -5e0 + ((s_suppkey * 877) % 2500) / 100e0 longitude,
        45000 + cast(s_suppkey % 4 as int) * 10000 capacity
-from {supplier} join {nation} on s_nationkey = n_nationkey"""
+from {{supplier}} join {{nation}} on s_nationkey = n_nationkey"""
 
 _CUSTOMER_ID = "concat('CUST-', cast(o_custkey as string))"
 _ORDER_ID = "concat('ORD-', cast(o_orderkey as string))"
@@ -40,8 +48,7 @@ _STATUS = """case when o_orderstatus = 'F' and o_orderkey % 7 = 0 then 'cancelle
 def _orders(order_id: str, customer_id: str, status: str) -> str:
     return f"""
 select {order_id} order_id, {customer_id} customer_id,
-       printf('WH-%03d', (o_orderkey * 31 + o_custkey) % (select count(*) from {{supplier}}))
-           warehouse_id,
+       {_padded('WH', 'site')} warehouse_id,
        0.5e0 + (o_orderkey % 2450) / 100e0 package_weight_kg,
        case when o_orderkey % 3 = 0 then 'small' when o_orderkey % 3 = 1 then 'medium'
             else 'large' end package_size,
@@ -50,16 +57,17 @@ select {order_id} order_id, {customer_id} customer_id,
        {status} status,
        (select min(ts) from {{events}})
            + interval '1' second * cast((o_orderkey * 173) % 2592000 as int) created_at
-from {{orders}}"""
+from (select *, (o_orderkey * 31 + o_custkey) % (select count(*) from {{supplier}}) site
+      from {{orders}})"""
 
 
 ORDERS = _orders(_ORDER_ID, _CUSTOMER_ID, _STATUS)
 
-WEATHER = """
-select printf('WH-%03d', user_id) warehouse_id, event_id, ts as `timestamp`,
+WEATHER = f"""
+select {_padded('WH', 'user_id')} warehouse_id, event_id, ts as `timestamp`,
        -5e0 + ((event_id * 37) % 4000) / 100e0 temperature,
        ((event_id * 53) % 2000) / 100e0 wind_speed
-from {events} where user_id % 10 <> 3"""
+from {{events}} where user_id % 10 <> 3"""
 
 # Dirty variants: orphan customers, null ids, unknown status, repeated orders.
 _DIRTY_CUSTOMER = f"case when o_orderkey % 997 = 0 then 'CUST-MISSING' else {_CUSTOMER_ID} end"

@@ -119,8 +119,8 @@ def _checks_sql(checks, tables: dict[str, str]) -> str:
 
 _RAW_OK = """select customer_id, title, first_name, last_name, gender, email, phone,
        cast(street_number as bigint) street_number, street_name, city, state, country, postcode,
-       round(try_cast(latitude as double), 4) latitude,
-       round(try_cast(longitude as double), 4) longitude, registered_date, nationality
+       try_cast(latitude as double) latitude,
+       try_cast(longitude as double) longitude, registered_date, nationality
 from raw_customers where try_cast(latitude as double) is not null
      and try_cast(longitude as double) is not null"""
 
@@ -146,7 +146,7 @@ _MODES = """select transport_mode, count(*) shipments, round(avg(distance_km), 4
 from dp {where} group by transport_mode"""
 
 _LOCATIONS = """select distinct d.customer_id, c.first_name, c.last_name, c.city, c.country,
-       round(c.latitude, 4) latitude, round(c.longitude, 4) longitude
+       c.latitude, c.longitude
 from dp d join customers c on d.customer_id = c.customer_id {where}"""
 
 _CAPACITY = """select w.name, w.city, w.country, w.capacity, count(d.order_id) shipments
@@ -185,7 +185,7 @@ def oracles() -> dict[str, str]:
     dirty = {**clean, "orders": "orders_dirty", "fact_shipments": "fact_dirty",
              "delivery_performance": "dp_dirty"}
     staged = """select customer_id, first_name, last_name, email, city, state, country,
-       round(latitude, 4) latitude, round(longitude, 4) longitude from customers"""
+       latitude, longitude from customers"""
     body = {
         "routes": "select * from routes",
         "route_profile": """select count(*) routes, min(distance_km) min_km,
@@ -231,12 +231,12 @@ def oracles() -> dict[str, str]:
         "warehouse_metrics": """select count(distinct warehouse_id) warehouses,
             count(order_id) shipments, round(avg(distance_km), 4) avg_distance,
             round(avg(risk_score), 4) avg_risk from dp""",
-        "warehouse_network": """select w.name, w.city, w.country, round(w.latitude, 4) latitude,
-            round(w.longitude, 4) longitude, count(d.route_id) routes
+        "warehouse_network": """select w.name, w.city, w.country, w.latitude,
+            w.longitude, count(d.route_id) routes
             from warehouses w left join dp d on w.warehouse_id = d.warehouse_id
             group by w.name, w.city, w.country, w.latitude, w.longitude""",
-        "warehouse_locations": """select name, city, country, round(latitude, 4) latitude,
-            round(longitude, 4) longitude from warehouses""",
+        "warehouse_locations": """select name, city, country, latitude,
+            longitude from warehouses""",
         "capacity_index": _index("dp"),
         "capacity_index_empty": _index("dp_none"),
         "top_customers": """select d.customer_id, c.first_name || ' ' || c.last_name customer,
@@ -304,8 +304,8 @@ def oracles() -> dict[str, str]:
                      order by changed_at desc nulls last, version_id desc) rn
               from customer_versions) where rn = 1""",
         "bronze_replay": _RAW_OK,
-        "bronze_weather": """select warehouse_id, "timestamp", round(temperature, 4) temperature,
-            round(wind_speed, 4) wind_speed, timestamp '2026-01-02 03:04:05' ingested_at
+        "bronze_weather": """select warehouse_id, "timestamp", temperature,
+            wind_speed, timestamp '2026-01-02 03:04:05' ingested_at
             from weather""",
         "load_audit": """select 'customers' table_name, 'silver' layer,
               (select count(*) from customers) "rows"
@@ -318,7 +318,7 @@ def oracles() -> dict[str, str]:
             union all select 'fact_shipments', 'mart', (select count(*) from fact)
             union all select 'delivery_performance', 'mart', (select count(*) from dp)""",
         "asof_weather": """select o.order_id, o.warehouse_id, o.created_at,
-              round(w.temperature, 4) temperature, round(w.wind_speed, 4) wind_speed
+              w.temperature, w.wind_speed
             from ship_orders o asof left join (
               select * from (select *, row_number() over (partition by warehouse_id, "timestamp"
                      order by event_id desc) rn from weather) where rn = 1) w
