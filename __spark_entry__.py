@@ -135,6 +135,16 @@ def _bronze_weather(t: Tables) -> DataFrame:
     return bronze.replay_weather(t.spark, path)
 
 
+def _weather_history(t: Tables) -> DataFrame:
+    """Two landings, where the second corrects the wind speed of part of the records."""
+    landing = fresh_path(t.spark, "bronze")
+    records = t.weather.select(*S.WEATHER.fieldNames())
+    corrected = records.where("temperature > 20").withColumn("wind_speed", F.lit(0.0))
+    paths = [bronze.land_weather(records, landing, "20260102_030405"),
+             bronze.land_weather(corrected, landing, "20260103_030405_000001")]
+    return bronze.weather_history(bronze.replay_weather(t.spark, paths))
+
+
 def _dirty_tables(t: Tables) -> dict[str, DataFrame]:
     orders = t.view("orders_dirty")
     routes = transforms.build_routes(orders, t.customers, t.warehouses)
@@ -314,9 +324,12 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         t.view("customer_versions"), "customer_id", ["changed_at", "version_id"]),
     "bronze_replay": _bronze_replay,
     "bronze_weather": _bronze_weather,
+    "weather_history": _weather_history,
     "load_audit": _load_audit,
     # extensions
     "asof_weather": _asof,
+    "delivery_risk_asof": lambda t: transforms.build_delivery_risk_asof(
+        t.routes, t.orders, t.weather, tie="event_id"),
     "customer_scd": _customer_scd,
     "stream_timeline": _stream_timeline,
     "stream_dedupe": _stream_dedupe,

@@ -18,6 +18,6 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     placed = values.withColumn("__span", span.scalar())
     lo, hi = F.col("__span.lo"), F.col("__span.hi")
     width = F.nullif((hi - lo) / F.lit(float(bins)), F.lit(0.0))
-    index = F.least(F.floor((F.col(column) - lo) / width).cast("int"), F.lit(bins - 1))
-    return (placed.groupBy(F.coalesce(index, F.lit(0)).alias("bin"))
+    index = F.coalesce(F.floor((F.col(column) - lo) / width).cast("int"), F.lit(0))
+    return (placed.groupBy(F.least(index, F.lit(bins - 1)).alias("bin"))
             .agg(F.count("*").alias("n")).orderBy("bin"))

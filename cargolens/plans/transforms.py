@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cargolens import schemas as S
 from cargolens.functions import routing, scoring
+from cargolens.operators.cells import asof_join
 from cargolens.operators.joins import lookup_join
 from cargolens.operators.latest import latest_per_key
 
@@ -78,6 +79,20 @@ def build_delivery_risk(routes: DataFrame, latest: DataFrame, null_points: int =
     return with_risk(observed, null_points).select(*S.DELIVERY_RISK.fieldNames())
 
 
+def build_delivery_risk_asof(routes: DataFrame, orders: DataFrame, weather: DataFrame, tie: str,
+                             null_points: int = 0) -> DataFrame:
+    """Score every route against the weather of its warehouse at the time of the order.
+
+    Needs one row per order id in `orders`.
+    """
+    placed = orders.select("order_id", "warehouse_id", "created_at")
+    at_order = asof_join(placed, weather, "warehouse_id", "created_at", "timestamp",
+                         ["temperature", "wind_speed"], tie)
+    observed = routes.join(at_order.select("order_id", "temperature", "wind_speed"), "order_id",
+                           "left")
+    return with_risk(observed, null_points).select(*S.DELIVERY_RISK.fieldNames())
+
+
 def route_profile(routes: DataFrame) -> DataFrame:
     """Count and range of distance and hours, and the number of routes per mode."""
     modes = {f"{label}_routes": F.count_if(F.col("transport_mode") == label)

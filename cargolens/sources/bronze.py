@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from cargolens import schemas as S
 from cargolens.functions.text import iso_text, stamp_of_file
+from cargolens.operators.latest import latest_per_key
 
 
 def all_text(schema: T.StructType) -> T.StructType:
@@ -83,3 +84,10 @@ def flatten_weather(api: DataFrame) -> DataFrame:
         "warehouse_id", F.col("timestamp").try_cast("timestamp_ntz").alias("timestamp"),
         F.col("current_weather.temperature").cast("double").alias("temperature"),
         F.col("current_weather.windspeed").cast("double").alias("wind_speed"))
+
+
+def weather_history(replayed: DataFrame) -> DataFrame:
+    """One row per warehouse and time from replayed files; the last landed one counts."""
+    order = ["ingested_at", "temperature", "wind_speed"]
+    return (latest_per_key(replayed, ["warehouse_id", "timestamp"], order)
+            .select(*S.WEATHER.fieldNames()))

@@ -7,6 +7,8 @@ by batch, which a repeated batch overwrites.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,6 +19,23 @@ from cargolens.plans import marts, transforms
 BATCH = "batch_id"
 DAY = "order_day"
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def on_disk_state(spark):
+    """Queries started inside keep their state in RocksDB, so it may outgrow the heap."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ON_DISK)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
 
 def event_time(df: DataFrame, column: str, delay: str) -> DataFrame:
     """Watermark on `column`; naive time stamps are read in the session's zone."""
@@ -24,9 +43,10 @@ def event_time(df: DataFrame, column: str, delay: str) -> DataFrame:
 
 
 def _run(stream: DataFrame, checkpoint: str, mode: str, each) -> StreamingQuery:
-    query = (stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-             .foreachBatch(each).trigger(availableNow=True).start())
-    query.awaitTermination()
+    with on_disk_state(stream.sparkSession):
+        query = (stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+                 .foreachBatch(each).trigger(availableNow=True).start())
+        query.awaitTermination()
     return query
 
 
@@ -76,9 +96,10 @@ def run_dedupe(orders: DataFrame, path: str, checkpoint: str, delay: str = "1 da
     """Write the stream without repeats to `path` and read it back."""
     once = first_arrivals(orders, delay).withColumn(
         "created_at", F.col("created_at").cast("timestamp_ntz"))
-    query = (once.writeStream.format("parquet").outputMode("append").option("path", path)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    query.awaitTermination()
+    with on_disk_state(orders.sparkSession):
+        query = (once.writeStream.format("parquet").outputMode("append").option("path", path)
+                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        query.awaitTermination()
     return orders.sparkSession.read.schema(once.schema).parquet(path)
 
 

@@ -117,6 +117,12 @@ def _checks_sql(checks, tables: dict[str, str]) -> str:
     return " union all ".join(_check_sql(c, tables[c.table], tables) for c in checks)
 
 
+_ASOF = """select o.order_id, o.warehouse_id, o.created_at, w.temperature, w.wind_speed
+from ship_orders o asof left join (
+  select * from (select *, row_number() over (partition by warehouse_id, "timestamp"
+         order by event_id desc) rn from weather) where rn = 1) w
+on o.warehouse_id = w.warehouse_id and o.created_at >= w."timestamp" """
+
 _RAW_OK = """select customer_id, title, first_name, last_name, gender, email, phone,
        cast(street_number as bigint) street_number, street_name, city, state, country, postcode,
        try_cast(latitude as double) latitude,
@@ -160,8 +166,8 @@ def _by(column: str, where: str = "") -> str:
 
 def _histogram(column: str, bins: int) -> str:
     return f"""select bin, count(*) n from (
-  select coalesce(least(cast(floor(({column} - lo) / nullif((hi - lo) / {bins}e0, 0)) as integer),
-                        {bins - 1}), 0) bin
+  select least(coalesce(cast(floor(({column} - lo) / nullif((hi - lo) / {bins}e0, 0)) as integer),
+                        0), {bins - 1}) bin
   from dp, (select min({column}) lo, max({column}) hi from dp) where {column} is not null)
 group by bin"""
 
@@ -307,6 +313,11 @@ def oracles() -> dict[str, str]:
         "bronze_weather": """select warehouse_id, "timestamp", temperature,
             wind_speed, timestamp '2026-01-02 03:04:05' ingested_at
             from weather""",
+        "weather_history": """select warehouse_id, "timestamp", temperature,
+              case when temperature > 20 then 0e0 else wind_speed end wind_speed from (
+              select *, row_number() over (partition by warehouse_id, "timestamp"
+                     order by temperature > 20 desc, temperature desc, wind_speed desc) rn
+              from weather) where rn = 1""",
         "load_audit": """select 'customers' table_name, 'silver' layer,
               (select count(*) from customers) "rows"
             union all select 'warehouses', 'silver', (select count(*) from warehouses)
@@ -317,12 +328,10 @@ def oracles() -> dict[str, str]:
             union all select 'dim_customers', 'mart', (select count(*) from customers)
             union all select 'fact_shipments', 'mart', (select count(*) from fact)
             union all select 'delivery_performance', 'mart', (select count(*) from dp)""",
-        "asof_weather": """select o.order_id, o.warehouse_id, o.created_at,
-              w.temperature, w.wind_speed
-            from ship_orders o asof left join (
-              select * from (select *, row_number() over (partition by warehouse_id, "timestamp"
-                     order by event_id desc) rn from weather) where rn = 1) w
-            on o.warehouse_id = w.warehouse_id and o.created_at >= w."timestamp" """,
+        "asof_weather": _ASOF,
+        "delivery_risk_asof": f"select * from ({RISK.format(missing=0, routes='routes')})".replace(
+            "left join latest l on r.warehouse_id = l.warehouse_id",
+            f"left join ({_ASOF}) l on r.order_id = l.order_id"),
         "customer_scd": """select customer_id, version_id, city, changed_at valid_from,
               lead(changed_at) over v valid_to, lead(changed_at) over v is null is_current
             from customer_versions

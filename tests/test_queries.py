@@ -1,0 +1,67 @@
+"""Every registered query against its SQL counterpart in DuckDB."""
+import datetime
+import math
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+
+DATA = "/root/testdata/sf0.001"
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
+          "benchmark labels conversations").split()
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+         "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"create view {name} as select * from '{DATA}/{name}.parquet'")
+    return con
+
+
+def plain(value):
+    if value is None:
+        return "~"
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(round(value, 6) + 0.0)
+    return value.isoformat() if isinstance(value, datetime.datetime) else str(value)
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(entry.QUERIES))
+def test_query(spark, duck, name):
+    df = entry.queries()[name](spark, DATA)
+    columns = sorted(df.columns)
+    got = sorted(tuple(map(plain, r)) for r in df.select(*[f"`{c}`" for c in columns]).collect())
+    answer = duck.execute(entry.oracle_sql()[name])
+    types = {d[0]: str(d[1]) for d in answer.description}
+    order = [list(types).index(c) for c in columns]
+    assert sorted(types) == columns
+    assert {f.name: TYPES[f.dataType.simpleString()] for f in df.schema} == types
+    assert got == sorted(tuple(plain(r[i]) for i in order) for r in answer.fetchall())
+
+
+def test_entry(spark):
+    got = entry.entry(spark)
+    assert got.columns == ["transport_mode", "shipments", "distance", "hours", "speed"]
+    assert got.count() > 0
+
+
+def test_tables_are_reused_until_the_files_change(spark, tmp_path):
+    for name in entry.testbed.BASE:
+        spark.read.parquet(f"{DATA}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    first = entry.tables(spark, str(tmp_path))
+    assert entry.tables(spark, str(tmp_path)) is first
+    before = first.performance.count()
+    more = spark.read.parquet(f"{DATA}/orders.parquet").limit(1).selectExpr(
+        "o_orderkey + 10000000 as o_orderkey", "* except (o_orderkey)")
+    more.write.mode("append").parquet(f"{tmp_path}/orders.parquet")
+    again = entry.tables(spark, str(tmp_path))
+    assert again is not first
+    assert again.performance.count() == before + 1
