@@ -126,6 +126,6 @@ def build_performance(orders: DataFrame, customers: DataFrame, warehouses: DataF
     if keys_are_sound((orders, "order_id"), (customers, "customer_id"),
                       (warehouses, "warehouse_id")):
         return performance_from_keys(orders, customers, warehouses, latest, null_points)
-    routes = transforms.build_routes(orders, customers, warehouses)
+    routes = stored(transforms.build_routes(orders, customers, warehouses), "routes")
     risk = transforms.build_delivery_risk(routes, latest, null_points)
     return delivery_performance(fact_shipments(orders, customers), routes, risk)

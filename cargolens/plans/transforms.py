@@ -68,14 +68,17 @@ def latest_weather(weather: DataFrame, tie: str | None = None) -> DataFrame:
             .select("warehouse_id", "temperature", "wind_speed"))
 
 
-def build_delivery_risk(routes: DataFrame, latest: DataFrame, null_points: int = 0) -> DataFrame:
+def build_delivery_risk(routes: DataFrame, latest: DataFrame, null_points: int = 0,
+                        profile: DataFrame | None = None) -> DataFrame:
     """Score every route against the latest weather of its warehouse.
 
     `null_points` is what each missing weather value scores: 0 by default,
-    `schemas.MISSING_WEATHER_POINTS` to count missing weather as raised risk.
+    `schemas.MISSING_WEATHER_POINTS` to count missing weather as raised risk. `profile`
+    is where to look for warehouses with very many rows, best the orders when
+    `routes` is not a written table.
     """
     observed = lookup_join(routes, latest.select("warehouse_id", "temperature", "wind_speed"),
-                           "warehouse_id", "left", spread=["order_id"])
+                           "warehouse_id", "left", spread=["order_id"], profile=profile)
     return with_risk(observed, null_points).select(*S.DELIVERY_RISK.fieldNames())
 
 

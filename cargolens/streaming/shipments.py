@@ -110,7 +110,7 @@ def run_risk(orders: DataFrame, customers: DataFrame, warehouses: DataFrame, lat
 
     def score(batch: DataFrame, batch_id: int) -> None:
         routes = transforms.build_routes(batch, customers, warehouses)
-        risk = transforms.build_delivery_risk(routes, latest, null_points)
+        risk = transforms.build_delivery_risk(routes, latest, null_points, profile=batch)
         schema["risk"] = risk.schema
         risk.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
 
@@ -131,8 +131,8 @@ def refresh_mart(batch: DataFrame, batch_id: int, root: str, customers: DataFram
     spark = batch.sparkSession
     filed = f"{root}/orders_by_day"
     dated = batch.withColumn(DAY, F.to_date("created_at")).withColumn(BATCH, F.lit(batch_id))
-    (dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(DAY, BATCH).parquet(filed))
+    (dated.hint("rebalance", DAY).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BATCH).parquet(filed))
 
     history = spark.read.schema(dated.schema).parquet(filed)
     touched = history.where(F.col(BATCH) == batch_id).select(DAY).distinct()

@@ -56,12 +56,12 @@ def test_entry(spark):
 def test_tables_are_reused_until_the_files_change(spark, tmp_path):
     for name in entry.testbed.BASE:
         spark.read.parquet(f"{DATA}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
-    first = entry.tables(spark, str(tmp_path))
-    assert entry.tables(spark, str(tmp_path)) is first
-    before = first.performance.count()
+    first = entry.Tables(spark, str(tmp_path)).performance
+    assert entry.Tables(spark, str(tmp_path)).performance is first
+    before = first.count()
     more = spark.read.parquet(f"{DATA}/orders.parquet").limit(1).selectExpr(
         "o_orderkey + 10000000 as o_orderkey", "* except (o_orderkey)")
     more.write.mode("append").parquet(f"{tmp_path}/orders.parquet")
-    again = entry.tables(spark, str(tmp_path))
+    again = entry.Tables(spark, str(tmp_path)).performance
     assert again is not first
-    assert again.performance.count() == before + 1
+    assert again.count() == before + 1
