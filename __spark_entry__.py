@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -237,6 +237,49 @@ def _incremental_mart(t: Tables) -> DataFrame:
 SOME = entry_sql.SOME_FILTERS
 NOTHING = entry_sql.NO_MATCH
 
+
+def _on_mart(report: Callable) -> Callable[[Tables, dict | None], DataFrame]:
+    return lambda t, chosen: report(t.performance, chosen, t.warehouses)
+
+
+def _with_warehouses(report: Callable) -> Callable[[Tables, dict | None], DataFrame]:
+    return lambda t, chosen: report(t.performance, t.warehouses, chosen)
+
+
+def _with_customers(report: Callable) -> Callable[[Tables, dict | None], DataFrame]:
+    return lambda t, chosen: report(t.performance, marts.dim_customers(t.customers), chosen,
+                                    t.warehouses)
+
+
+# Reports that take the row filter; each is registered plain and as `<name>_filtered`.
+REPORTS: dict[str, Callable[[Tables, dict | None], DataFrame]] = {
+    "overview_metrics": _on_mart(analytics.overview_metrics),
+    "shipment_status": _on_mart(analytics.shipment_status),
+    "priority_distribution": _on_mart(analytics.priority_distribution),
+    "shipment_timeline": _on_mart(analytics.shipment_timeline),
+    "risk_summary": _on_mart(analytics.risk_summary),
+    "package_sizes": _on_mart(analytics.package_sizes),
+    "warehouse_performance": _with_warehouses(analytics.warehouse_performance),
+    "warehouse_metrics": _on_mart(analytics.warehouse_metrics),
+    "capacity_index": _with_warehouses(analytics.capacity_index),
+    "top_customers": _with_customers(analytics.top_customers),
+    "customer_metrics": _on_mart(analytics.customer_metrics),
+    "shipments_by_country": _on_mart(analytics.shipments_by_country),
+    "package_behaviour": _on_mart(analytics.package_behaviour),
+    "customer_locations": _with_customers(analytics.customer_locations),
+    "risk_metrics": _on_mart(analytics.risk_metrics),
+    "risk_by_warehouse": _with_warehouses(analytics.risk_by_warehouse),
+    "highest_risk": _on_mart(analytics.highest_risk),
+    "weather_impact": _on_mart(analytics.weather_impact),
+    "risk_histogram": _on_mart(analytics.risk_histogram),
+    "route_metrics": _on_mart(analytics.route_metrics),
+    "route_performance": _on_mart(analytics.route_performance),
+    "route_points": _on_mart(analytics.route_points),
+    "longest_routes": _on_mart(analytics.longest_routes),
+    "routes_by_warehouse": _with_warehouses(analytics.routes_by_warehouse),
+    "distance_histogram": _on_mart(analytics.distance_histogram),
+}
+
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # derived tables
     "routes": lambda t: t.routes,
@@ -261,59 +304,14 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "delivery_performance_orphaned": lambda t: marts.build_performance(
         t.view("orders_orphaned"), t.customers, t.warehouses, t.latest),
     "rebuild": _rebuild,
-    # overview
-    "overview_metrics": lambda t: analytics.overview_metrics(t.performance),
-    "overview_metrics_filtered": lambda t: analytics.overview_metrics(
-        t.performance, SOME, t.warehouses),
-    "overview_metrics_empty": lambda t: analytics.overview_metrics(
-        t.performance, NOTHING, t.warehouses),
-    "shipment_status": lambda t: analytics.shipment_status(t.performance),
-    "shipment_status_filtered": lambda t: analytics.shipment_status(
-        t.performance, SOME, t.warehouses),
-    "priority_distribution": lambda t: analytics.priority_distribution(t.performance),
-    "shipment_timeline": lambda t: analytics.shipment_timeline(t.performance),
-    "shipment_timeline_filtered": lambda t: analytics.shipment_timeline(
-        t.performance, SOME, t.warehouses),
-    "risk_summary": lambda t: analytics.risk_summary(t.performance),
-    "package_sizes": lambda t: analytics.package_sizes(t.performance),
-    # warehouses
-    "warehouse_performance": lambda t: analytics.warehouse_performance(
-        t.performance, t.warehouses),
-    "warehouse_performance_filtered": lambda t: analytics.warehouse_performance(
-        t.performance, t.warehouses, SOME),
+    # reports without or with a fixed filter
+    "overview_metrics_empty": lambda t: REPORTS["overview_metrics"](t, NOTHING),
     "warehouse_performance_idle": lambda t: analytics.warehouse_performance(
         t.performance.where("warehouse_id <> 'WH-001'"), t.warehouses),
-    "warehouse_metrics": lambda t: analytics.warehouse_metrics(t.performance),
-    "warehouse_network": lambda t: analytics.warehouse_network(t.performance, t.warehouses),
-    "warehouse_locations": lambda t: analytics.warehouse_locations(t.view("warehouses")),
-    "capacity_index": lambda t: analytics.capacity_index(t.performance, t.warehouses),
     "capacity_index_empty": lambda t: analytics.capacity_index(
         t.performance.where("false"), t.warehouses),
-    # customers
-    "top_customers": lambda t: analytics.top_customers(
-        t.performance, marts.dim_customers(t.customers)),
-    "customer_metrics": lambda t: analytics.customer_metrics(t.performance),
-    "shipments_by_country": lambda t: analytics.shipments_by_country(t.performance),
-    "package_behaviour": lambda t: analytics.package_behaviour(t.performance),
-    "customer_locations": lambda t: analytics.customer_locations(
-        t.performance, marts.dim_customers(t.customers)),
-    "customer_locations_filtered": lambda t: analytics.customer_locations(
-        t.performance, marts.dim_customers(t.customers), SOME, t.warehouses),
-    # risk
-    "risk_metrics": lambda t: analytics.risk_metrics(t.performance),
-    "risk_by_warehouse": lambda t: analytics.risk_by_warehouse(t.performance, t.warehouses),
-    "highest_risk": lambda t: analytics.highest_risk(t.performance),
-    "weather_impact": lambda t: analytics.weather_impact(t.performance),
-    "risk_histogram": lambda t: analytics.risk_histogram(t.performance),
-    # routes
-    "route_metrics": lambda t: analytics.route_metrics(t.performance),
-    "route_performance": lambda t: analytics.route_performance(t.performance),
-    "route_performance_filtered": lambda t: analytics.route_performance(
-        t.performance, SOME, t.warehouses),
-    "route_points": lambda t: analytics.route_points(t.performance),
-    "longest_routes": lambda t: analytics.longest_routes(t.performance),
-    "routes_by_warehouse": lambda t: analytics.routes_by_warehouse(t.performance, t.warehouses),
-    "distance_histogram": lambda t: analytics.distance_histogram(t.performance),
+    "warehouse_network": lambda t: analytics.warehouse_network(t.performance, t.warehouses),
+    "warehouse_locations": lambda t: analytics.warehouse_locations(t.view("warehouses")),
     "filter_options": lambda t: filters.filter_options(t.performance, t.warehouses),
     # data quality
     "dq_marts": lambda t: quality.run_checks(_clean_tables(t), quality.mart_checks()),
@@ -342,6 +340,11 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+for _name, _report in REPORTS.items():
+    QUERIES[_name] = partial(_report, chosen=None)
+    QUERIES[f"{_name}_filtered"] = partial(_report, chosen=SOME)
+
+
 def _registered(query: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: _comparable(query(Tables(spark, sf_dir)))
 

@@ -132,13 +132,6 @@ from raw_customers where try_cast(latitude as double) is not null
 
 _DP_ROWS = "select * from {}"
 
-_OVERVIEW = """select count(*) shipments, count(distinct customer_id) customers,
-       count(distinct warehouse_id) warehouses, round(avg(distance_km), 4) avg_distance,
-       round(avg(estimated_delivery_hours), 4) avg_delivery,
-       round(avg(package_weight_kg), 4) avg_weight, round(avg(risk_score), 4) avg_risk,
-       count(*) filter (where risk_category in ('HIGH', 'CRITICAL')) high_risk_shipments
-from dp {where}"""
-
 _WAREHOUSE = """select w.name, w.city, w.country, w.capacity, count(d.order_id) shipments,
        round(avg(d.distance_km), 4) avg_distance,
        round(avg(d.estimated_delivery_hours), 4) avg_delivery_hours,
@@ -146,40 +139,96 @@ _WAREHOUSE = """select w.name, w.city, w.country, w.capacity, count(d.order_id)
 from warehouses w left join {dp} d on w.warehouse_id = d.warehouse_id {where}
 group by w.name, w.city, w.country, w.capacity"""
 
-_MODES = """select transport_mode, count(*) shipments, round(avg(distance_km), 4) distance,
-       round(avg(estimated_delivery_hours), 4) as "hours",
-       round(sum(distance_km) / nullif(sum(estimated_delivery_hours), 0), 4) speed
-from dp {where} group by transport_mode"""
-
-_LOCATIONS = """select distinct d.customer_id, c.first_name, c.last_name, c.city, c.country,
-       c.latitude, c.longitude
-from dp d join customers c on d.customer_id = c.customer_id {where}"""
-
-_CAPACITY = """select w.name, w.city, w.country, w.capacity, count(d.order_id) shipments
-from warehouses w left join {dp} d on w.warehouse_id = d.warehouse_id
-group by w.name, w.city, w.country, w.capacity"""
-
-
-def _by(column: str, where: str = "") -> str:
-    return f"select {column}, count(*) shipments from dp {where} group by {column}"
+_CAPACITY = """select *, round(case when max(shipments) over () = 0 then 0e0
+       else shipments / max(shipments) over () * 100e0 end, 4) utilisation_idx
+from (select w.name, w.city, w.country, w.capacity, count(d.order_id) shipments
+      from warehouses w left join {dp} d on w.warehouse_id = d.warehouse_id {where}
+      group by w.name, w.city, w.country, w.capacity)"""
 
 
-def _histogram(column: str, bins: int) -> str:
+def _histogram(column: str, bins: int, where: str) -> str:
     return f"""select bin, count(*) n from (
-  select least(coalesce(cast(floor(({column} - lo) / nullif((hi - lo) / {bins}e0, 0)) as integer),
+  select least(coalesce(cast(floor((v - lo) / nullif((hi - lo) / {bins}e0, 0)) as integer),
                         0), {bins - 1}) bin
-  from dp, (select min({column}) lo, max({column}) hi from dp) where {column} is not null)
+  from (select {column} v, min({column}) over () lo, max({column}) over () hi from dp {where})
+  where v is not null)
 group by bin"""
 
 
-def _index(dp: str) -> str:
-    return f"""select *, round(case when max(shipments) over () = 0 then 0e0
-       else shipments / max(shipments) over () * 100e0 end, 4) utilisation_idx
-from ({_CAPACITY.format(dp=dp)})"""
+def _reports(where: str = "", on_d: str = "") -> dict[str, str]:
+    """The filterable reports; `on_d` is the same filter for a mart called `d`."""
+    def by(column: str) -> str:
+        return f"select {column}, count(*) shipments from dp {where} group by {column}"
+
+    averages = """round(avg(distance_km), 4) avg_distance, {hours}
+            round(avg(risk_score), 4) avg_risk"""
+    return {
+        "overview_metrics": f"""select count(*) shipments, count(distinct customer_id) customers,
+            count(distinct warehouse_id) warehouses,
+            {averages.format(hours='round(avg(estimated_delivery_hours), 4) avg_delivery,')},
+            round(avg(package_weight_kg), 4) avg_weight,
+            count(*) filter (where risk_category in ('HIGH', 'CRITICAL')) high_risk_shipments
+            from dp {where}""",
+        "shipment_status": by("status"),
+        "priority_distribution": by("priority"),
+        "shipment_timeline": f"""select cast(order_date as date) "date", count(*) shipments
+            from dp {where} group by 1""",
+        "risk_summary": by("risk_category"),
+        "package_sizes": by("package_size"),
+        "warehouse_performance": _WAREHOUSE.format(dp="dp", where=on_d),
+        "warehouse_metrics": f"""select count(distinct warehouse_id) warehouses,
+            count(order_id) shipments, {averages.format(hours='')} from dp {where}""",
+        "capacity_index": _CAPACITY.format(dp="dp", where=on_d),
+        "top_customers": f"""select d.customer_id, c.first_name || ' ' || c.last_name customer,
+            c.country, count(d.order_id) shipments, round(avg(d.package_weight_kg), 4) avg_weight
+            from dp d join customers c on d.customer_id = c.customer_id {on_d}
+            group by all order by shipments desc, d.customer_id limit 20""",
+        "customer_metrics": f"""select count(distinct customer_id) customers,
+            count(order_id) shipments, round(avg(package_weight_kg), 4) avg_weight
+            from dp {where}""",
+        "shipments_by_country": by("customer_country")
+            + " order by shipments desc, customer_country limit 15",
+        "package_behaviour": f"""select package_size, count(*) shipments,
+            round(avg(package_weight_kg), 4) avg_weight from dp {where} group by package_size""",
+        "customer_locations": f"""select distinct d.customer_id, c.first_name, c.last_name, c.city,
+            c.country, c.latitude, c.longitude
+            from dp d join customers c on d.customer_id = c.customer_id {on_d}""",
+        "risk_metrics": f"""select count(*) shipments, round(avg(risk_score), 4) avg_risk,
+            max(risk_score) max_risk,
+            count(*) filter (where risk_category in ('HIGH', 'CRITICAL')) high_risk_count
+            from dp {where}""",
+        "risk_by_warehouse": f"""select w.warehouse_id, w.name, count(d.order_id) shipments,
+            round(avg(d.risk_score), 4) avg_risk
+            from dp d join warehouses w on d.warehouse_id = w.warehouse_id {on_d}
+            group by w.warehouse_id, w.name""",
+        "highest_risk": f"""select route_id, order_id, warehouse_id, transport_mode, distance_km,
+            estimated_delivery_hours, temperature, wind_speed, risk_score, risk_category
+            from dp {where} order by risk_score desc nulls last, order_id limit 50""",
+        "weather_impact": f"select temperature, wind_speed, risk_score from dp {where}",
+        "risk_histogram": _histogram("risk_score", 20, where),
+        "route_metrics": f"""select count(*) routes, round(avg(distance_km), 4) avg_distance,
+            round(avg(estimated_delivery_hours), 4) avg_hours,
+            round(sum(distance_km) / nullif(sum(estimated_delivery_hours), 0), 4) avg_speed
+            from dp {where}""",
+        "route_performance": f"""select transport_mode, count(*) shipments,
+            round(avg(distance_km), 4) distance,
+            round(avg(estimated_delivery_hours), 4) as "hours",
+            round(sum(distance_km) / nullif(sum(estimated_delivery_hours), 0), 4) speed
+            from dp {where} group by transport_mode""",
+        "route_points": f"""select distance_km, estimated_delivery_hours, transport_mode
+            from dp {where}""",
+        "longest_routes": f"""select route_id, order_id, warehouse_id, transport_mode, distance_km,
+            estimated_delivery_hours from dp {where}
+            order by distance_km desc nulls last, order_id limit 20""",
+        "routes_by_warehouse": f"""select w.name, count(*) routes,
+            round(avg(d.distance_km), 4) avg_distance
+            from dp d join warehouses w on d.warehouse_id = w.warehouse_id {on_d}
+            group by w.name""",
+        "distance_histogram": _histogram("distance_km", 30, where),
+    }
 
 
 def oracles() -> dict[str, str]:
-    some, some_d = _where(SOME_FILTERS), _where(SOME_FILTERS, "d.")
     head = (testbed.sql_views() + f",\nlatest as ({LATEST.format(weather='weather')})"
             + _tables() + _tables("_dirty", "orders_dirty")
             + _tables("_orphaned", "orders_orphaned")
@@ -219,71 +268,14 @@ def oracles() -> dict[str, str]:
         "delivery_performance_dirty": _DP_ROWS.format("dp_dirty"),
         "delivery_performance_orphaned": _DP_ROWS.format("dp_orphaned"),
         "rebuild": _DP_ROWS.format("dp"),
-        "overview_metrics": _OVERVIEW.format(where=""),
-        "overview_metrics_filtered": _OVERVIEW.format(where=some),
-        "overview_metrics_empty": _OVERVIEW.format(where=_where(NO_MATCH)),
-        "shipment_status": _by("status"),
-        "shipment_status_filtered": _by("status", some),
-        "priority_distribution": _by("priority"),
-        "shipment_timeline": """select cast(order_date as date) "date", count(*) shipments
-            from dp group by 1""",
-        "shipment_timeline_filtered": f"""select cast(order_date as date) "date",
-            count(*) shipments from dp {some} group by 1""",
-        "risk_summary": _by("risk_category"),
-        "package_sizes": _by("package_size"),
-        "warehouse_performance": _WAREHOUSE.format(dp="dp", where=""),
-        "warehouse_performance_filtered": _WAREHOUSE.format(dp="dp", where=some_d),
+        "overview_metrics_empty": _reports(_where(NO_MATCH))["overview_metrics"],
         "warehouse_performance_idle": _WAREHOUSE.format(dp="dp_idle", where=""),
-        "warehouse_metrics": """select count(distinct warehouse_id) warehouses,
-            count(order_id) shipments, round(avg(distance_km), 4) avg_distance,
-            round(avg(risk_score), 4) avg_risk from dp""",
-        "warehouse_network": """select w.name, w.city, w.country, w.latitude,
-            w.longitude, count(d.route_id) routes
+        "capacity_index_empty": _CAPACITY.format(dp="dp_none", where=""),
+        "warehouse_network": """select w.name, w.city, w.country, w.latitude, w.longitude,
+            count(d.route_id) routes
             from warehouses w left join dp d on w.warehouse_id = d.warehouse_id
             group by w.name, w.city, w.country, w.latitude, w.longitude""",
-        "warehouse_locations": """select name, city, country, latitude,
-            longitude from warehouses""",
-        "capacity_index": _index("dp"),
-        "capacity_index_empty": _index("dp_none"),
-        "top_customers": """select d.customer_id, c.first_name || ' ' || c.last_name customer,
-            c.country, count(d.order_id) shipments, round(avg(d.package_weight_kg), 4) avg_weight
-            from dp d join customers c on d.customer_id = c.customer_id
-            group by all order by shipments desc, d.customer_id limit 20""",
-        "customer_metrics": """select count(distinct customer_id) customers,
-            count(order_id) shipments, round(avg(package_weight_kg), 4) avg_weight from dp""",
-        "shipments_by_country": _by("customer_country")
-            + " order by shipments desc, customer_country limit 15",
-        "package_behaviour": """select package_size, count(*) shipments,
-            round(avg(package_weight_kg), 4) avg_weight from dp group by package_size""",
-        "customer_locations": _LOCATIONS.format(where=""),
-        "customer_locations_filtered": _LOCATIONS.format(where=some_d),
-        "risk_metrics": """select count(*) shipments, round(avg(risk_score), 4) avg_risk,
-            max(risk_score) max_risk,
-            count(*) filter (where risk_category in ('HIGH', 'CRITICAL')) high_risk_count
-            from dp""",
-        "risk_by_warehouse": """select w.warehouse_id, w.name, count(d.order_id) shipments,
-            round(avg(d.risk_score), 4) avg_risk
-            from dp d join warehouses w on d.warehouse_id = w.warehouse_id
-            group by w.warehouse_id, w.name""",
-        "highest_risk": """select route_id, order_id, warehouse_id, transport_mode, distance_km,
-            estimated_delivery_hours, temperature, wind_speed, risk_score, risk_category
-            from dp order by risk_score desc nulls last, order_id limit 50""",
-        "weather_impact": "select temperature, wind_speed, risk_score from dp",
-        "risk_histogram": _histogram("risk_score", 20),
-        "route_metrics": """select count(*) routes, round(avg(distance_km), 4) avg_distance,
-            round(avg(estimated_delivery_hours), 4) avg_hours,
-            round(sum(distance_km) / nullif(sum(estimated_delivery_hours), 0), 4) avg_speed
-            from dp""",
-        "route_performance": _MODES.format(where=""),
-        "route_performance_filtered": _MODES.format(where=some),
-        "route_points": "select distance_km, estimated_delivery_hours, transport_mode from dp",
-        "longest_routes": """select route_id, order_id, warehouse_id, transport_mode, distance_km,
-            estimated_delivery_hours from dp
-            order by distance_km desc nulls last, order_id limit 20""",
-        "routes_by_warehouse": """select w.name, count(*) routes,
-            round(avg(d.distance_km), 4) avg_distance
-            from dp d join warehouses w on d.warehouse_id = w.warehouse_id group by w.name""",
-        "distance_histogram": _histogram("distance_km", 30),
+        "warehouse_locations": "select name, city, country, latitude, longitude from warehouses",
         "filter_options": """select 'warehouses' kind, name value from warehouses
             union all select distinct 'statuses', status from dp
             union all select distinct 'priorities', priority from dp
@@ -342,4 +334,7 @@ def oracles() -> dict[str, str]:
         "stream_risk": "select * from risk",
         "incremental_mart": _DP_ROWS.format("dp"),
     }
+    body |= _reports()
+    chosen = _reports(_where(SOME_FILTERS), _where(SOME_FILTERS, "d."))
+    body |= {f"{name}_filtered": sql for name, sql in chosen.items()}
     return {name: head + sql for name, sql in body.items()}
