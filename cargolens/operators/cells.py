@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cargolens.operators.joins import shuffle_width
+from cargolens.operators.joins import shuffle_width, spreader
 from cargolens.sources.workspace import stored
 
 CELL = "__cell"
@@ -40,7 +40,7 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
     tie_type = right.schema[tie].dataType
     queries = left.select(
         key, F.col(left_ts).alias(at), F.lit(1).alias(side), F.lit(None).cast(tie_type).alias(tied),
-        F.xxhash64(*left.columns).alias(rest), F.struct(*left.columns).alias(row),
+        spreader(left.columns).alias(rest), F.struct(*left.columns).alias(row),
         F.lit(None).cast(right.select(F.struct(*payload)).schema[0].dataType).alias(seen))
     known = right.where(F.col(key).isNotNull() & F.col(right_ts).isNotNull()).select(
         key, F.col(right_ts).alias(at), F.lit(0).alias(side), F.col(tie).alias(tied),
@@ -69,8 +69,8 @@ def versioned(df: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
     Adds `valid_from`, `valid_to` (start of the next version, null for the last) and
     `is_current`. Versions of equal time are ordered by `tie`.
     """
-    start, border = "__start", "__border"
-    merged = in_cells(df, key, [ts, tie])
+    start, border, rest = "__start", "__border", "__rest"
+    merged = in_cells(df.withColumn(rest, spreader(df.columns)), key, [ts, tie, rest]).drop(rest)
     next_cell = W.partitionBy(key).orderBy(CELL)
     borders = (merged.groupBy(key, CELL).agg(F.min(F.struct(ts, tie)).alias(start))
                .withColumn(start, F.lead(start).over(next_cell))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT = "__salt"
@@ -12,6 +12,14 @@ def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spreader(columns) -> Column:
+    """A number that differs between rows and, for equal rows, between input partitions.
+
+    It is the same when a lost task runs again, so rows keep their place.
+    """
+    return F.xxhash64(*columns, F.spark_partition_id())
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """True when the planner's size estimate is within its broadcast threshold."""
     # Public PySpark does not expose the estimate that decides on a broadcast.
@@ -44,7 +52,8 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     salt, with one copy of the few hot right rows per salt. Which keys count
     as hot only affects balance, never the result.
 
-    `spread` names the left columns whose hash picks the salt. `profile` is a
+    `spread` names the left columns whose hash picks the salt, together with the input
+    partition, so that copies of one row part as well. `profile` is a
     cheaper frame with the same keys to look for hot ones in, for example the base
     table when `left` is itself a join.
     """
@@ -53,7 +62,7 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
 
     width = shuffle_width(left)
     hot = hot_keys(left if profile is None else profile, key)
-    salt = F.pmod(F.xxhash64(*(spread or left.columns)), F.lit(width)).cast("int")
+    salt = F.pmod(spreader(spread or left.columns), F.lit(width)).cast("int")
     salted = left.withColumn(
         SALT, F.when(F.col(key).isNull() | F.array_contains(hot.scalar(), F.col(key)), salt)
         .otherwise(F.lit(0)))
@@ -71,7 +80,7 @@ def left_join_all(left: DataFrame, rights, key: str) -> DataFrame:
     they do not meet in one task.
     """
     width = shuffle_width(left)
-    salt = F.pmod(F.xxhash64(*left.columns), F.lit(width)).cast("int")
+    salt = F.pmod(spreader(left.columns), F.lit(width)).cast("int")
     joined = left.withColumn(SALT, F.when(F.col(key).isNull(), salt).otherwise(F.lit(0)))
     for right in rights:
         joined = joined.join(right.withColumn(SALT, F.lit(0)), [key, SALT], "left")

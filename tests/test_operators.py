@@ -50,6 +50,19 @@ def test_hot_rows_are_spread(spark, no_broadcast):
     assert max(sizes) < 6000 / 3
 
 
+def test_copies_of_one_row_are_spread(spark, no_broadcast):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        copies = spark.range(0, 4000, 1, 16).select(F.lit("hot").alias("key"), F.lit(1).alias("id"))
+        right = spark.createDataFrame([("hot", 1)], "key string, v int")
+        joined = joins.lookup_join(copies, right, "key", "left", spread=["id"])
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 4000
+    assert max(sizes) <= 4000 / 2
+
+
 def test_size_check(spark, no_broadcast):
     assert not joins.fits_broadcast(spark.range(10))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
@@ -118,6 +131,18 @@ def test_versions_against_brute_force(spark):
     assert got.where("is_current").count() == len({d[0] for d in data})
 
 
+def test_copies_in_ordered_work(spark):
+    copies = spark.range(3000).select(F.lit("hot").alias("k"), F.lit(START).cast("timestamp_ntz")
+                                      .alias("ts"), F.lit(1).alias("id"))
+    placed = cells.in_cells(copies.withColumn("r", joins.spreader(copies.columns)), "k", ["ts", "r"])
+    assert placed.select(cells.CELL).distinct().count() > 1
+    history = cells.versioned(copies, "k", "ts", "id")
+    assert (history.count(), history.where("is_current").count()) == (3000, 1)
+    seen = spark.createDataFrame([("hot", START, 7)], "k string, at timestamp_ntz, o int")
+    got = cells.asof_join(copies, seen, "k", "ts", "at", ["o"], tie="o")
+    assert got.where("o = 7").count() == 3000
+
+
 def test_histogram(spark):
     df = spark.createDataFrame([(float(v),) for v in (0, 1, 9, 10, 10)] + [(None,)], "x double")
     assert rows(histogram(df, "x", 10)) == [(0, 1), (1, 1), (9, 3)]
