@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 from functools import cached_property, partial
 
@@ -9,9 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 import entry_sql
 from cargolens import schemas as S
 from cargolens import testbed
+from cargolens.functions import text
 from cargolens.operators import cells, filters, latest
 from cargolens.plans import analytics, build, marts, quality, transforms
 from cargolens.sources import bronze, conform
@@ -113,6 +118,15 @@ def _comparable(df: DataFrame) -> DataFrame:
 # --- queries that need more than one call --------------------------------
 
 
+def _customer_labels(customers: DataFrame) -> DataFrame:
+    return customers.select(
+        "customer_id", text.full_name("first_name", "last_name").alias("full_name"),
+        text.email_address(F.col("first_name"), F.col("last_name")).alias("email"),
+        text.country_prefix(F.col("country")).alias("nationality"),
+        text.coordinate(F.col("latitude")).alias("latitude"),
+        text.coordinate(F.col("longitude")).alias("longitude"))
+
+
 def _conformed(t: Tables) -> tuple[DataFrame, DataFrame]:
     return conform.split_rejects(t.view("raw_customers"), S.CUSTOMERS)
 
@@ -181,18 +195,20 @@ def _dq_failing_status(t: Tables) -> DataFrame:
     return quality.failing_rows({"orders": t.view("orders_dirty")}, check)
 
 
-def _load_audit(t: Tables) -> DataFrame:
+def _build(t: Tables, root: str) -> DataFrame:
     sources = {"customers": t.customers, "warehouses": t.warehouses,
                "weather": t.weather, "orders": t.orders}
-    return (build.build_all(t.spark, fresh_path(t.spark, "lake"), sources)
-            .select("table_name", "layer", "rows"))
+    return build.build_all(t.spark, root, sources, weather_tie="event_id")
+
+
+def _load_audit(t: Tables) -> DataFrame:
+    return _build(t, fresh_path(t.spark, "lake")).select("table_name", "layer", "rows")
 
 
 def _rebuild(t: Tables) -> DataFrame:
     """The mart as the full rebuild writes it."""
     root = fresh_path(t.spark, "lake")
-    build.build_all(t.spark, root, {"customers": t.customers, "warehouses": t.warehouses,
-                                    "weather": t.weather, "orders": t.orders})
+    _build(t, root)
     return build.read_mart(t.spark, root, "delivery_performance")
 
 
@@ -291,6 +307,11 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "delivery_risk": lambda t: t.risk(),
     "delivery_risk_missing_penalty": lambda t: t.risk(S.MISSING_WEATHER_POINTS),
     "risk_profile": lambda t: transforms.risk_profile(t.risk()),
+    "score_range": lambda t: transforms.score_range(t.risk()),
+    "customer_labels": lambda t: _customer_labels(t.view("customers")),
+    "order_stamps": lambda t: t.orders.select(
+        "order_id", text.iso_text(F.col("created_at")).alias("iso"),
+        text.file_stamp(F.col("created_at")).alias("stamp")),
     "stg_customers": lambda t: marts.stg_customers(t.view("customers")),
     "stg_orders": lambda t: marts.stg_orders(t.orders),
     "dim_customers": lambda t: marts.dim_customers(t.view("customers")),

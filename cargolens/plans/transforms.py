@@ -120,3 +120,7 @@ def risk_profile(risk: DataFrame) -> DataFrame:
             .agg(F.count("*").alias("routes"), F.min("risk_score").alias("min_score"),
                  F.max("risk_score").alias("max_score"))
             .orderBy("risk_level"))
+
+
+def score_range(risk: DataFrame) -> DataFrame:
+    return risk.agg(F.min("risk_score").alias("min_score"), F.max("risk_score").alias("max_score"))

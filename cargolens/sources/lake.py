@@ -24,15 +24,15 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{TABLES[name][0]}/{name}"
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """`df` with a row counter that fills while the next action runs."""
-    seen = Observation(name)
+    seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
 def save(df: DataFrame, path: str) -> int:
     """Replace the Parquet table at `path`; returns the rows written, without a second scan."""
-    watched, seen = counted(df, "save")
+    watched, seen = counted(df)
     watched.write.mode("overwrite").parquet(path)
     return seen.get["rows"]
 
@@ -45,7 +45,7 @@ def load_table(spark: SparkSession, name: str, path: str, database: str | None =
     """Replace the catalog table `name` by the Parquet data at `path`; returns its row count."""
     if name not in TABLES:
         raise ValueError(f"unregistered table: {name!r}")
-    watched, seen = counted(spark.read.parquet(path), name)
+    watched, seen = counted(spark.read.parquet(path))
     target = f"{database}.{name}" if database else name
     watched.write.mode("overwrite").saveAsTable(target)
     return seen.get["rows"]

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from cargolens import schemas as S
 from cargolens.operators.latest import latest_per_key
 from cargolens.plans import marts, transforms
 
@@ -38,8 +39,15 @@ def on_disk_state(spark):
 
 
 def event_time(df: DataFrame, column: str, delay: str) -> DataFrame:
-    """Watermark on `column`; naive time stamps are read in the session's zone."""
-    return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
+    """Watermark on a naive time stamp, which is taken as UTC in whatever zone the session is."""
+    local = F.col(column).cast("timestamp")
+    return (df.withColumn(column, F.from_utc_timestamp(local, F.current_timezone()))
+            .withWatermark(column, delay))
+
+
+def naive_time(column: str) -> Column:
+    """The naive time stamp back from event time."""
+    return F.to_utc_timestamp(column, F.current_timezone()).cast("timestamp_ntz")
 
 
 def _run(stream: DataFrame, checkpoint: str, mode: str, each) -> StreamingQuery:
@@ -58,7 +66,7 @@ def daily_counts(orders: DataFrame, delay: str = "1 day") -> DataFrame:
     """Shipments per day of a stream of orders."""
     timed = event_time(orders.select("order_id", "created_at"), "created_at", delay)
     return (timed.groupBy(F.window("created_at", "1 day")).agg(F.count("*").alias("shipments"))
-            .select(F.col("window.start").cast("timestamp_ntz").cast("date").alias("date"),
+            .select(naive_time("window.start").cast("date").alias("date"),
                     "shipments"))
 
 
@@ -94,8 +102,7 @@ def first_arrivals(orders: DataFrame, delay: str = "1 day") -> DataFrame:
 
 def run_dedupe(orders: DataFrame, path: str, checkpoint: str, delay: str = "1 day") -> DataFrame:
     """Write the stream without repeats to `path` and read it back."""
-    once = first_arrivals(orders, delay).withColumn(
-        "created_at", F.col("created_at").cast("timestamp_ntz"))
+    once = first_arrivals(orders, delay).withColumn("created_at", naive_time("created_at"))
     with on_disk_state(orders.sparkSession):
         query = (once.writeStream.format("parquet").outputMode("append").option("path", path)
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -106,18 +113,13 @@ def run_dedupe(orders: DataFrame, path: str, checkpoint: str, delay: str = "1 da
 def run_risk(orders: DataFrame, customers: DataFrame, warehouses: DataFrame, latest: DataFrame,
              path: str, checkpoint: str, null_points: int = 0) -> DataFrame:
     """Route and score a stream of orders batch by batch, with the batch operators."""
-    schema = {}
-
     def score(batch: DataFrame, batch_id: int) -> None:
         routes = transforms.build_routes(batch, customers, warehouses)
         risk = transforms.build_delivery_risk(routes, latest, null_points, profile=batch)
-        schema["risk"] = risk.schema
         risk.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
 
     _run(orders, checkpoint, "append", score)
-    spark = orders.sparkSession
-    reader = spark.read.schema(schema["risk"]) if schema else spark.read
-    return reader.parquet(path).drop(BATCH)
+    return orders.sparkSession.read.schema(S.DELIVERY_RISK).parquet(path).drop(BATCH)
 
 
 def refresh_mart(batch: DataFrame, batch_id: int, root: str, customers: DataFrame,

@@ -257,6 +257,13 @@ def oracles() -> dict[str, str]:
         "delivery_risk_missing_penalty": "select * from risk_penalty",
         "risk_profile": """select risk_level, count(*) routes, min(risk_score) min_score,
             max(risk_score) max_score from risk group by risk_level""",
+        "score_range": "select min(risk_score) min_score, max(risk_score) max_score from risk",
+        "customer_labels": """select customer_id, first_name || ' ' || last_name full_name,
+            lower(first_name) || '.' || replace(lower(last_name), ' ', '') || '@example.eu' email,
+            upper(substring(country, 1, 2)) nationality, round(latitude, 4) latitude,
+            round(longitude, 4) longitude from customers""",
+        "order_stamps": """select order_id, strftime(created_at, '%Y-%m-%dT%H:%M:%S') iso,
+            strftime(created_at, '%Y%m%d_%H%M%S_%f') stamp from ship_orders""",
         "stg_customers": staged,
         "stg_orders": """select order_id, customer_id, warehouse_id, package_weight_kg,
             package_size, priority, status, created_at from ship_orders""",
