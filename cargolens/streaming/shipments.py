@@ -122,26 +122,35 @@ def run_risk(orders: DataFrame, customers: DataFrame, warehouses: DataFrame, lat
     return orders.sparkSession.read.schema(S.DELIVERY_RISK).parquet(path).drop(BATCH)
 
 
+def _day(column: str) -> Column:
+    """Day of a time stamp; orders without one are filed under the first day there is."""
+    return F.coalesce(F.to_date(column), F.lit("0001-01-01").cast("date"))
+
+
 def refresh_mart(batch: DataFrame, batch_id: int, root: str, customers: DataFrame,
                  warehouses: DataFrame, latest: DataFrame) -> None:
     """Take a batch of orders into the mart; only the days it touches are rewritten.
 
     The batch is filed under its day and batch number (a repeat overwrites itself).
     The mart rows of the touched days are then rebuilt from all filed orders of
-    those days, where the latest filed version of an order counts.
+    those days, where the latest filed version of an order counts; orders without an
+    id are all kept.
     """
     spark = batch.sparkSession
     filed = f"{root}/orders_by_day"
-    dated = batch.withColumn(DAY, F.to_date("created_at")).withColumn(BATCH, F.lit(batch_id))
+    dated = batch.withColumn(DAY, _day("created_at")).withColumn(BATCH, F.lit(batch_id))
     (dated.hint("rebalance", DAY).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BATCH).parquet(filed))
 
     history = spark.read.schema(dated.schema).parquet(filed)
     touched = history.where(F.col(BATCH) == batch_id).select(DAY).distinct()
-    orders = history.join(touched, DAY, "left_semi")
-    newest = latest_per_key(orders, ["order_id", DAY], [BATCH])
+    # Days are few whatever the data size (all of the calendar's are 3.7 million dates), and
+    # broadcast they prune the history's folders before it is read.
+    orders = history.join(F.broadcast(touched), DAY, "left_semi")
+    named = latest_per_key(orders.where(F.col("order_id").isNotNull()), ["order_id", DAY], [BATCH])
+    newest = named.unionByName(orders.where(F.col("order_id").isNull()))
     rows = (marts.build_performance(newest.drop(BATCH, DAY), customers, warehouses, latest)
-            .withColumn(DAY, F.to_date("order_date")))
+            .withColumn(DAY, _day("order_date")))
     (rows.hint("rebalance", DAY).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(f"{root}/mart"))
 

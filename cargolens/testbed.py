@@ -7,6 +7,7 @@ backticks) in DuckDB, so a query and its SQL counterpart start from the same row
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 BASE = ("region", "nation", "customer", "supplier", "orders", "events")
 
@@ -119,8 +120,16 @@ VIEWS = {
 }
 
 
+# (application, path) -> schema, so that file footers are read once and not per query
+_SCHEMAS: dict[tuple, StructType] = {}
+
+
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.conf.get("spark.app.id"), path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str, **replaced: DataFrame) -> DataFrame:

@@ -106,6 +106,16 @@ def test_repeated_batch_changes_nothing(spark, feed, world):
     assert spark.read.parquet(f"{feed.out}/mart").count() == 30
 
 
+def test_refresh_keeps_orders_without_day_or_id(spark, feed, world):
+    undated = orders_of(spark, 0, 3).withColumn("created_at", F.lit(None).cast("timestamp_ntz"))
+    unnamed = orders_of(spark, 3, 5).withColumn("order_id", F.lit(None).cast("string"))
+    batch = orders_of(spark, 10, 20).unionByName(undated).unionByName(unnamed)
+    shipments.refresh_mart(batch, 0, feed.out, *world)
+    got = spark.read.parquet(f"{feed.out}/mart").select(*marts.PERFORMANCE)
+    assert rows(got) == rows(marts.build_performance(batch, *world))
+    assert got.count() == 15
+
+
 def test_state_store_setting_is_restored(spark):
     before = spark.conf.get(shipments.STATE_STORE)
     with shipments.on_disk_state(spark):
