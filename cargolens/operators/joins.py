@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT = "__salt"
+PARTS = "__parts"
 
 
 def shuffle_width(df: DataFrame) -> int:
@@ -29,17 +30,19 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """One row, one array column `hot`: keys with more than a fair partition's rows.
+    """Keys with more than a fair partition's rows, and into how many parts to split each.
 
     A frequent-items sketch finds them in a single scan of one column. There are
-    at most as many such keys as shuffle partitions, whatever the data size.
+    fewer such keys than shuffle partitions, whatever the data size, and all parts
+    together are at most five times as many.
     """
     width = shuffle_width(df)
-    tracked = max(10_000, 20 * width)
+    tracked = min(1_000_000, max(10_000, 20 * width))
     top = df.agg(F.expr(f"approx_top_k(`{key}`, {width}, {tracked})").alias("top"),
-                 F.count(key).alias("total"))
-    heavy = F.filter("top", lambda t: t["item"].isNotNull() & (t["count"] * width > F.col("total")))
-    return top.select(F.transform(heavy, lambda t: t["item"]).alias("hot"))
+                 F.count(key).alias("total")).select("total", F.inline("top"))
+    shares = F.col("count") * width / F.col("total")
+    return (top.where(F.col("item").isNotNull() & (F.col("count") * width > F.col("total")))
+            .select(F.col("item").alias(key), F.ceil(4 * shares).cast("int").alias(PARTS)))
 
 
 def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
@@ -48,9 +51,9 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
 
     A right side within the broadcast threshold is left to the planner, which
     then broadcasts it. Beyond that the join shuffles, and rows of hot keys (and
-    of the null key, which never matches) are spread over all partitions by a
-    salt, with one copy of the few hot right rows per salt. Which keys count
-    as hot only affects balance, never the result.
+    of the null key, which never matches) are spread over the partitions by a salt,
+    with one copy of the few hot right rows per salt. Which keys count as hot only
+    affects balance, never the result.
 
     `spread` names the left columns whose hash picks the salt, together with the input
     partition, so that copies of one row part as well. `profile` is a
@@ -61,15 +64,15 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
         return left.join(right, key, how)
 
     width = shuffle_width(left)
-    hot = hot_keys(left if profile is None else profile, key)
-    salt = F.pmod(spreader(spread or left.columns), F.lit(width)).cast("int")
-    salted = left.withColumn(
-        SALT, F.when(F.col(key).isNull() | F.array_contains(hot.scalar(), F.col(key)), salt)
-        .otherwise(F.lit(0)))
-    copies = right.withColumn(
-        SALT, F.explode(F.when(F.array_contains(hot.scalar(), F.col(key)),
-                               F.sequence(F.lit(0), F.lit(width - 1)))
-                        .otherwise(F.array(F.lit(0)))))
+    hot = F.broadcast(hot_keys(left if profile is None else profile, key))  # < width rows
+    parts = F.when(F.col(key).isNull(), F.lit(width)).otherwise(F.coalesce(PARTS, F.lit(1)))
+    salted = (left.join(hot, key, "left")
+              .withColumn(SALT, F.pmod(spreader(spread or left.columns), parts).cast("int"))
+              .drop(PARTS))
+    copies = (right.join(hot, key, "left")
+              .withColumn(SALT, F.explode(F.sequence(F.lit(0),
+                                                     F.coalesce(PARTS, F.lit(1)) - 1)))
+              .drop(PARTS))
     return salted.join(copies, [key, SALT], how).drop(SALT)
 
 

@@ -17,7 +17,8 @@ def workspace(spark: SparkSession) -> str:
     a cluster a machine-local folder would be lost with its machine, so there
     the setting is required.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_SETTING, None)
+    base = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_SETTING, None)
+            or spark.sparkContext.getCheckpointDir())
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")

@@ -32,10 +32,19 @@ def test_salted_join_equals_plain_join(spark, no_broadcast, how):
 
 
 def test_hot_keys_are_found(spark):
-    assert joins.hot_keys(skewed(spark), "key").first().hot == ["hot"]
+    found = rows(joins.hot_keys(skewed(spark), "key"))
+    assert [k for k, _ in found] == ["hot"]
+    assert 4 * 8 * 0.3 < found[0][1] <= 4 * 8 * 0.5
     even = spark.range(1000).withColumn("key", F.col("id").cast("string"))
-    assert joins.hot_keys(even, "key").first().hot == []
-    assert joins.hot_keys(even.limit(0), "key").first().hot == []
+    assert rows(joins.hot_keys(even, "key")) == []
+    assert rows(joins.hot_keys(even.where("false"), "key")) == []
+
+
+def test_few_equal_keys_are_not_copied_everywhere(spark):
+    few = spark.range(6000).withColumn("key", (F.col("id") % 6).cast("string"))
+    found = rows(joins.hot_keys(few, "key"))
+    assert len(found) == 6
+    assert sum(parts for _, parts in found) <= 5 * 8
 
 
 def test_hot_rows_are_spread(spark, no_broadcast):
