@@ -110,9 +110,9 @@ EXACT = {"latitude", "longitude", "package_weight_kg", "temperature", "wind_spee
 
 
 def _comparable(df: DataFrame) -> DataFrame:
-    """Averages and ratios to 4 decimals: their last digits depend on the order of summation."""
+    """Averages and ratios to 4 decimals, exact ties upwards (see `entry_sql`)."""
     computed = {f.name for f in df.schema if f.dataType == T.DoubleType()} - EXACT
-    return df.withColumns({c: F.round(c, 4) for c in computed}) if computed else df
+    return df.withColumns({c: F.round(F.col(c) + 1e-9, 4) for c in computed}) if computed else df
 
 
 # --- queries that need more than one call --------------------------------

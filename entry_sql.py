@@ -1,4 +1,9 @@
-"""SQL counterparts of the registered queries, for DuckDB."""
+"""SQL counterparts of the registered queries, for DuckDB.
+
+Averages and ratios are rounded to 4 decimals. Their last digits depend on the order of
+summation, which would tip an exact tie (138.74 / 16 = 8.67125) either way, so both sides
+add 1e-9 first.
+"""
 
 from __future__ import annotations
 
@@ -133,14 +138,15 @@ from raw_customers where try_cast(latitude as double) is not null
 _DP_ROWS = "select * from {}"
 
 _WAREHOUSE = """select w.name, w.city, w.country, w.capacity, count(d.order_id) shipments,
-       round(avg(d.distance_km), 4) avg_distance,
-       round(avg(d.estimated_delivery_hours), 4) avg_delivery_hours,
-       round(avg(d.risk_score), 4) avg_risk
+       round(avg(d.distance_km) + 1e-9, 4) avg_distance,
+       round(avg(d.estimated_delivery_hours) + 1e-9, 4) avg_delivery_hours,
+       round(avg(d.risk_score) + 1e-9, 4) avg_risk
 from warehouses w left join {dp} d on w.warehouse_id = d.warehouse_id {where}
 group by w.name, w.city, w.country, w.capacity"""
 
 _CAPACITY = """select *, round(case when max(shipments) over () = 0 then 0e0
-       else shipments / max(shipments) over () * 100e0 end, 4) utilisation_idx
+       else shipments / max(shipments) over () * 100e0 end + 1e-9, 4)
+       utilisation_idx
 from (select w.name, w.city, w.country, w.capacity, count(d.order_id) shipments
       from warehouses w left join {dp} d on w.warehouse_id = d.warehouse_id {where}
       group by w.name, w.city, w.country, w.capacity)"""
@@ -160,13 +166,13 @@ def _reports(where: str = "", on_d: str = "") -> dict[str, str]:
     def by(column: str) -> str:
         return f"select {column}, count(*) shipments from dp {where} group by {column}"
 
-    averages = """round(avg(distance_km), 4) avg_distance, {hours}
-            round(avg(risk_score), 4) avg_risk"""
+    averages = """round(avg(distance_km) + 1e-9, 4) avg_distance, {hours}
+            round(avg(risk_score) + 1e-9, 4) avg_risk"""
     return {
         "overview_metrics": f"""select count(*) shipments, count(distinct customer_id) customers,
             count(distinct warehouse_id) warehouses,
-            {averages.format(hours='round(avg(estimated_delivery_hours), 4) avg_delivery,')},
-            round(avg(package_weight_kg), 4) avg_weight,
+            {averages.format(hours='round(avg(estimated_delivery_hours) + 1e-9, 4) avg_delivery,')},
+            round(avg(package_weight_kg) + 1e-9, 4) avg_weight,
             count(*) filter (where risk_category in ('HIGH', 'CRITICAL')) high_risk_shipments
             from dp {where}""",
         "shipment_status": by("status"),
@@ -180,25 +186,25 @@ def _reports(where: str = "", on_d: str = "") -> dict[str, str]:
             count(order_id) shipments, {averages.format(hours='')} from dp {where}""",
         "capacity_index": _CAPACITY.format(dp="dp", where=on_d),
         "top_customers": f"""select d.customer_id, c.first_name || ' ' || c.last_name customer,
-            c.country, count(d.order_id) shipments, round(avg(d.package_weight_kg), 4) avg_weight
+            c.country, count(d.order_id) shipments, round(avg(d.package_weight_kg) + 1e-9, 4) avg_weight
             from dp d join customers c on d.customer_id = c.customer_id {on_d}
             group by all order by shipments desc, d.customer_id limit 20""",
         "customer_metrics": f"""select count(distinct customer_id) customers,
-            count(order_id) shipments, round(avg(package_weight_kg), 4) avg_weight
+            count(order_id) shipments, round(avg(package_weight_kg) + 1e-9, 4) avg_weight
             from dp {where}""",
         "shipments_by_country": by("customer_country")
             + " order by shipments desc, customer_country limit 15",
         "package_behaviour": f"""select package_size, count(*) shipments,
-            round(avg(package_weight_kg), 4) avg_weight from dp {where} group by package_size""",
+            round(avg(package_weight_kg) + 1e-9, 4) avg_weight from dp {where} group by package_size""",
         "customer_locations": f"""select distinct d.customer_id, c.first_name, c.last_name, c.city,
             c.country, c.latitude, c.longitude
             from dp d join customers c on d.customer_id = c.customer_id {on_d}""",
-        "risk_metrics": f"""select count(*) shipments, round(avg(risk_score), 4) avg_risk,
+        "risk_metrics": f"""select count(*) shipments, round(avg(risk_score) + 1e-9, 4) avg_risk,
             max(risk_score) max_risk,
             count(*) filter (where risk_category in ('HIGH', 'CRITICAL')) high_risk_count
             from dp {where}""",
         "risk_by_warehouse": f"""select w.warehouse_id, w.name, count(d.order_id) shipments,
-            round(avg(d.risk_score), 4) avg_risk
+            round(avg(d.risk_score) + 1e-9, 4) avg_risk
             from dp d join warehouses w on d.warehouse_id = w.warehouse_id {on_d}
             group by w.warehouse_id, w.name""",
         "highest_risk": f"""select route_id, order_id, warehouse_id, transport_mode, distance_km,
@@ -206,14 +212,14 @@ def _reports(where: str = "", on_d: str = "") -> dict[str, str]:
             from dp {where} order by risk_score desc nulls last, order_id limit 50""",
         "weather_impact": f"select temperature, wind_speed, risk_score from dp {where}",
         "risk_histogram": _histogram("risk_score", 20, where),
-        "route_metrics": f"""select count(*) routes, round(avg(distance_km), 4) avg_distance,
-            round(avg(estimated_delivery_hours), 4) avg_hours,
-            round(sum(distance_km) / nullif(sum(estimated_delivery_hours), 0), 4) avg_speed
+        "route_metrics": f"""select count(*) routes, round(avg(distance_km) + 1e-9, 4) avg_distance,
+            round(avg(estimated_delivery_hours) + 1e-9, 4) avg_hours,
+            round(sum(distance_km) / nullif(sum(estimated_delivery_hours), 0) + 1e-9, 4) avg_speed
             from dp {where}""",
         "route_performance": f"""select transport_mode, count(*) shipments,
-            round(avg(distance_km), 4) distance,
-            round(avg(estimated_delivery_hours), 4) as "hours",
-            round(sum(distance_km) / nullif(sum(estimated_delivery_hours), 0), 4) speed
+            round(avg(distance_km) + 1e-9, 4) distance,
+            round(avg(estimated_delivery_hours) + 1e-9, 4) as "hours",
+            round(sum(distance_km) / nullif(sum(estimated_delivery_hours), 0) + 1e-9, 4) speed
             from dp {where} group by transport_mode""",
         "route_points": f"""select distance_km, estimated_delivery_hours, transport_mode
             from dp {where}""",
@@ -221,7 +227,7 @@ def _reports(where: str = "", on_d: str = "") -> dict[str, str]:
             estimated_delivery_hours from dp {where}
             order by distance_km desc nulls last, order_id limit 20""",
         "routes_by_warehouse": f"""select w.name, count(*) routes,
-            round(avg(d.distance_km), 4) avg_distance
+            round(avg(d.distance_km) + 1e-9, 4) avg_distance
             from dp d join warehouses w on d.warehouse_id = w.warehouse_id {on_d}
             group by w.name""",
         "distance_histogram": _histogram("distance_km", 30, where),
@@ -244,9 +250,9 @@ def oracles() -> dict[str, str]:
     body = {
         "routes": "select * from routes",
         "route_profile": """select count(*) routes, min(distance_km) min_km,
-            max(distance_km) max_km, round(avg(distance_km), 4) mean_km,
+            max(distance_km) max_km, round(avg(distance_km) + 1e-9, 4) mean_km,
             min(estimated_hours) min_hours, max(estimated_hours) max_hours,
-            round(avg(estimated_hours), 4) mean_hours,
+            round(avg(estimated_hours) + 1e-9, 4) mean_hours,
             count(*) filter (where transport_mode = 'van') van_routes,
             count(*) filter (where transport_mode = 'truck') truck_routes,
             count(*) filter (where transport_mode = 'air') air_routes from routes""",
