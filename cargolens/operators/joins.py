@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cargolens.sources.workspace import stored
+
 SALT = "__salt"
 PARTS = "__parts"
 
@@ -64,7 +66,10 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
         return left.join(right, key, how)
 
     width = shuffle_width(left)
-    hot = F.broadcast(hot_keys(left if profile is None else profile, key))  # < width rows
+    # Written, because both sides must see the very same list: a sketch that is computed twice
+    # may estimate differently, and a salt without its copy would lose rows. It has fewer rows
+    # than there are partitions, which bounds the broadcast.
+    hot = F.broadcast(stored(hot_keys(left if profile is None else profile, key), "hot_keys"))
     parts = F.when(F.col(key).isNull(), F.lit(width)).otherwise(F.coalesce(PARTS, F.lit(1)))
     salted = (left.join(hot, key, "left")
               .withColumn(SALT, F.pmod(spreader(spread or left.columns), parts).cast("int"))
