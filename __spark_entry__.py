@@ -23,6 +23,14 @@ from cargolens.sources import bronze, conform
 from cargolens.sources.workspace import fresh_path, stored
 from cargolens.streaming import shipments
 
+try:
+    import corpus_pipeline
+    from cargolens.llm import entry as text_entry
+except ModuleNotFoundError as missing:  # the text operators may be left out
+    if missing.name not in ("corpus_pipeline", "cargolens.llm"):
+        raise
+    corpus_pipeline = text_entry = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -376,8 +384,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _registered(query) for name, query in QUERIES.items()}
+    own = {name: _registered(query) for name, query in QUERIES.items()}
+    if text_entry is None:
+        return own
+    return own | text_entry.QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return entry_sql.oracles()
+    own = entry_sql.oracles()
+    if text_entry is None:
+        return own
+    sql = corpus_pipeline.ORACLE_SQL
+    return own | text_entry.ORACLES | ({"pipeline": sql} if sql else {})
