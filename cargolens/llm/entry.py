@@ -4,19 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cargolens.llm import html_main, secret_scan
+from cargolens.llm import html_main, packing, quality, secret_scan, warc
 from cargolens.llm.common import table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_table(table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scan, op5_html_main)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_secret_scan, op4_packing, op5_html_main, op10_warc)}
 
 # Only where SQL can say the same; the others are tested against brute force.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_warc": """
+        with p as (select page_id, coalesce(html, '') as html from pages),
+        d as (select page_id, strlen(html)::bigint as payload_bytes, sha1(html) as payload_digest
+              from p),
+        k as (select *, max(page_id) over (partition by payload_digest) as keeper from d),
+        r as (select *, payload_bytes >= 1000 and keeper is not null
+                        and page_id is distinct from keeper as again from k)
+        select page_id, payload_bytes, payload_digest,
+               case when again then 'revisit' else 'response' end as record_type,
+               case when again then keeper end as refers_to from r""",
+}
