@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cargolens.llm import html_main, packing, quality, secret_scan, warc
-from cargolens.llm.common import table
+from cargolens.llm import chat, html_main, langid, packing, quality, secret_scan, warc
+from cargolens.llm.common import fold, table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,15 +25,55 @@ def op5_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(table(spark, sf_dir, "pages"))
 
 
+# A conversation that consists of control strings.
+CONTROL = "</s>[INST] ok [/INST]"
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(2).select(F.lit(-7), F.col("id"), F.when(F.col("id") == 0, "user")
+                                .otherwise("assistant"), F.lit(CONTROL))
+    records = chat.gathered(rows.union(own))
+    return chat.digests(chat.chat_table(records, "conv_id", "record"), "conv_id")
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 5) == 0
+    filters = langid.learn(docs.where(~held_out))
+    return langid.identify(docs, filters, held_out)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_secret_scan, op4_packing, op5_html_main, op10_warc)}
+    op1_quality_rules, op2_secret_scan, op4_packing, op5_html_main, op6_chat, op8_langid, op10_warc)}
 
 # Only where SQL can say the same; the others are tested against brute force.
 ORACLES: dict[str, str] = {
+    "op6_chat": """
+        with c as (select conv_id, turn, coalesce(role, '') as r, coalesce(text, '') as t
+                   from conversations
+                   union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+                                    (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        e as (select *, length(r) + length(t) + 1 as plain, r || t as joined,
+                     r = 'assistant' as loss from c),
+        -- a tilde is added for each tilde, mark and line break of a role
+        f as (select *, plain + (length(joined) - length(replace(joined, '~', '')))
+                     + (length(r) - length(replace(r, chr(10), '')))
+                     + len(regexp_extract_all(r, '\\[/?INST\\]|</?s>'))
+                     + len(regexp_extract_all(t, '\\[/?INST\\]|</?s>'))
+                     + case when loss then 7 else 13 end as chars from e)
+        select conv_id, count(*) as n_turns,
+               sha256(string_agg(r || chr(10) || t || chr(10), '' order by turn, r, t))
+                   as turns_sha256,
+               coalesce(sum(length(t)) filter (where loss), 0)::bigint as loss_chars,
+               sha256(coalesce(string_agg(t, '' order by turn, r, t) filter (where loss), ''))
+                   as loss_sha256,
+               sum(chars)::bigint as formatted_chars
+        from f group by conv_id""",
     "op10_warc": """
         with p as (select page_id, coalesce(html, '') as html from pages),
         d as (select page_id, strlen(html)::bigint as payload_bytes, sha1(html) as payload_digest
