@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolens.llm import chat, html_main, langid, packing, quality, secret_scan, warc
+from cargolens.llm import chat, decontam, html_main, langid, packing, quality, secret_scan, warc
 from cargolens.llm.common import fold, table
 
 
@@ -37,6 +37,10 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.chat_table(records, "conv_id", "record"), "conv_id")
 
 
+def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 5) == 0
@@ -49,7 +53,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_secret_scan, op4_packing, op5_html_main, op6_chat, op8_langid, op10_warc)}
+    op1_quality_rules, op2_secret_scan, op4_packing, op5_html_main, op6_chat, op7_decontam, op8_langid, op10_warc)}
 
 # Only where SQL can say the same; the others are tested against brute force.
 ORACLES: dict[str, str] = {

@@ -1,0 +1,81 @@
+"""Decontamination against a brute-force search of every item in every document."""
+import pytest
+
+from cargolens.llm import decontam, entry
+
+DATA = "/root/testdata/sf0.01"
+ITEM = "zero one two three four five six seven eight nine ten eleven twelve"
+DOCS = [(1, None), (2, ""), (3, f"so {ITEM.upper()}, and"), (4, "one two three"), (5, "short"),
+        (6, "the " * 30_000 + ITEM), (None, ITEM), (3, ITEM), (7, "zero one two three four then")]
+ITEMS = [(10, ITEM), (10, ITEM), (11, None), (12, ""), (13, "short"), (None, "one two three"),
+         (14, " ".join(f"w{i}" for i in range(500)))]
+
+
+def brute(docs, items):
+    found = set()
+    for doc, text in docs:
+        words = decontam.words_of(text)
+        for item, wanted in items:
+            grams = decontam.shingles(decontam.words_of(wanted))
+            length = len(next(iter(grams), ()))
+            own = set(zip(*(words[k:] for k in range(length)), strict=False)) if length else set()
+            if grams and len(grams & own) >= decontam.COVERAGE * len(grams):
+                found.add((doc, item))
+    return found
+
+
+def test_query(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{DATA}/documents.parquet")
+            .select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{DATA}/benchmark.parquet")
+             .select("item_id", "text").collect()]
+    rows = entry.op7_decontam(spark, DATA).collect()
+    got = [(r["doc_id"], r["item_id"]) for r in rows]
+    assert len(got) == len(set(got)) > 0
+    assert set(got) == brute(docs, items)
+
+
+@pytest.mark.parametrize("shard", [1, 1024])
+def test_odd_rows(spark, monkeypatch, shard):
+    monkeypatch.setattr(decontam, "SHARD", shard)
+    extra = DOCS + [(8, " ".join(f"w{i}" for i in range(200, 480)))]
+    docs = spark.createDataFrame([(*d, "x") for d in extra], "doc_id int, text string, score string")
+    items = spark.createDataFrame([(*i, "x") for i in ITEMS], "item_id int, text string, coverage string")
+    rows = decontam.leaks(docs, items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == brute(extra, ITEMS)
+    assert sum(r["doc_id"] == 3 and r["item_id"] == 10 for r in rows) == 4  # repeated rows
+    clean = decontam.keep_clean(docs, items)
+    assert clean.columns == docs.columns
+    assert sorted(r["doc_id"] for r in clean.collect()) == [1, 2, 7]
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id int, text string")
+    items = spark.createDataFrame(ITEMS, "item_id int, text string")
+    assert decontam.leaks(docs, items.where("false")).collect() == []
+    assert decontam.leaks(docs.where("false"), items).collect() == []
+    assert decontam.keep_clean(docs, items.where("false")).count() == len(DOCS)
+
+
+def test_answers_count():
+    index = decontam.build([(1, ITEM, "the answer is forty two of course")])
+    asked = f"{ITEM}. nothing else"
+    told = f"{ITEM}. the answer is forty two of course"
+    assert [f[:2] for f in decontam.leaks_of(index, [asked, told, None])] == [(1, 0)]
+
+
+def test_retrieval_is_all_above_the_threshold():
+    """The blocks that are opened lose no passage that reaches a chunk's threshold."""
+    texts = [" ".join(f"w{(i * k) % 97}" for i in range(40)) for k in range(1, 60)]
+    index = decontam.build([(k, t, None) for k, t in enumerate(texts)])
+    docs = [decontam.words_of(" ".join(texts[k:k + 4])) for k in range(0, 56, 3)]
+    got = set(index.matches(docs))
+    want = set()
+    for d, words in enumerate(docs):
+        for at in range(0, len(words), decontam.STEP):
+            here = {index.terms[w] for w in words[at:at + 2 * decontam.STEP]}
+            for item, terms, impacts, least in index.chunks:
+                score = sum(i for t, i in zip(terms, impacts, strict=True) if t in here)
+                if score >= least:
+                    want.add((d, item, round(score, 6)))
+    assert {(d, i, round(s, 6)) for d, i, s in got} == want
