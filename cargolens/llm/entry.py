@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolens.llm import chat, decontam, html_main, langid, packing, quality, secret_scan, warc
+from cargolens.llm import chat, decontam, html_main, langid, near_dup, packing, quality, secret_scan, warc
 from cargolens.llm.common import fold, table
 
 
@@ -17,6 +17,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_table(table(spark, sf_dir, "documents"))
 
 
+def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
@@ -53,7 +57,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_secret_scan, op4_packing, op5_html_main, op6_chat, op7_decontam, op8_langid, op10_warc)}
+    op1_quality_rules, op2_secret_scan, op3_near_dup, op4_packing, op5_html_main, op6_chat, op7_decontam, op8_langid, op10_warc)}
 
 # Only where SQL can say the same; the others are tested against brute force.
 ORACLES: dict[str, str] = {
