@@ -49,9 +49,10 @@ def powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
         for b in (base, pow(base, -1, 1 << 64)))
 
 
-def word_hashes(text: str | None) -> np.ndarray:
+def word_hashes(text: str | bytes | None) -> np.ndarray:
     """64-bit hashes of a text's words, which end at the six ASCII white space characters."""
-    data = np.frombuffer(utf8(text or ""), np.uint8)
+    raw = text if isinstance(text, bytes) else utf8(text or "")
+    data = np.frombuffer(raw, np.uint8)
     inside = (data != 32) & ((data < 9) | (data > 13))
     edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     starts, ends = edges[::2], edges[1::2]

@@ -1,0 +1,63 @@
+"""Language identification: held-out accuracy, filters without misses, odd rows."""
+import zlib
+
+import numpy as np
+
+from cargolens.llm import entry, langid
+
+DATA = "/root/testdata/sf0.1"
+
+
+def test_query_and_held_out_accuracy(spark):
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    rows = entry.op8_langid(spark, DATA).collect()
+    assert len(rows) == len(docs)
+    right = total = 0
+    for r in rows:
+        doc = docs[r["doc_id"]]
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1
+        assert (r["lang_pred"] == "und") == (not any(map(str.isalpha, doc["text"] or "")))
+        if r["held_out"] and doc["lang"]:
+            total += 1
+            right += r["lang_pred"] == doc["lang"]
+    assert total > 1000 and right >= 0.995 * total
+
+
+def test_trigrams():
+    keys, owner = langid.trigrams(["Ab c", "", "1é"])
+    seen = [tuple(int(k) >> s & 0x1FFFFF for s in (42, 21, 0)) for k in keys]
+    text = ["".join(map(chr, s)) for s in seen]
+    assert list(zip(text, owner.tolist(), strict=True)) == [
+        (" ab", 0), ("ab ", 0), (" c ", 0), (" é ", 2)]
+
+
+def test_filters_miss_nothing_and_few_pass_by_chance():
+    rng = np.random.default_rng(3)
+    names = [f"l{k:03d}" for k in range(130)]  # three columns of masks
+    profiles = {n: np.unique(rng.integers(1, 1 << 62, 2000)).astype(np.uint64) for n in names}
+    filters = langid.Filters.build(profiles, names[0])
+    for k in (0, 63, 64, 129):
+        bit = np.uint64(1) << np.uint64(k % 64)
+        a, b, c = (filters.masks[p, k // 64] for p in filters.places(profiles[names[k]]))
+        assert (a & b & c & bit != 0).all()
+        others = rng.integers(1, 1 << 62, 200_000).astype(np.uint64)
+        a, b, c = (filters.masks[p, k // 64] for p in filters.places(others))
+        assert abs((a & b & c & bit != 0).mean() - filters.false_share[k]) < 5e-5
+
+
+def test_odd_rows(spark):
+    rows = [("the cat and the dog", "en"), ("le chat et le chien", "fr"), (None, "en"), ("", "fr"), ("123", None),
+            ("the " * 100_000, None), ("x", "en"), ("日本", None), ("the cat and the dog", "en")]
+    df = spark.createDataFrame([(i, *r, "x") for i, r in enumerate(rows)],
+                               "doc_id int, text string, lang string, score string")
+    held = df["doc_id"] < 0
+    filters = langid.learn(df)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in
+           langid.identify(df, filters, held).collect()}
+    assert [got[k][0] for k in range(9)] == ["en", "fr", "und", "und", "und", "en", "en", "en", "en"]
+    assert got[7][1] == 0.0
+    nothing = langid.learn(df.where("lang is null"))
+    assert nothing is None
+    assert {r["lang_pred"] for r in langid.identify(df, nothing, held).collect()} == {"und"}
+    assert langid.identify(df.where("false"), filters, held).collect() == []

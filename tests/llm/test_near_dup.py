@@ -1,0 +1,132 @@
+"""Near-duplicate classes against all pairs, and signatures against similarities."""
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from cargolens.llm import bagminhash, entry, near_dup
+
+DATA = "/root/testdata/sf0.01"
+
+
+def shingles(text):
+    words = (text or "").encode().split()
+    width = min(5, len(words))
+    return Counter(zip(*(words[k:] for k in range(width)), strict=False)) if words else Counter()
+
+
+def brute(docs):
+    """id -> smallest id of its class, by comparing all pairs that share a shingle."""
+    found = {k: shingles(t) for k, t in docs}
+    where = defaultdict(set)
+    for k, grams in found.items():
+        for gram in grams:
+            where[gram].add(k)
+    cls = {k: k for k in found}
+
+    def top(k):
+        while cls[k] != k:
+            k = cls[k]
+        return k
+
+    pairs = {(a, b) for ids in where.values() for a in ids for b in ids if a < b}
+    for a, b in pairs:
+        shared = sum((found[a] & found[b]).values())
+        total = sum(found[a].values()) + sum(found[b].values()) - shared
+        if shared >= near_dup.SIMILARITY * total - 1e-9:
+            low, high = sorted((top(a), top(b)))
+            cls[high] = low
+    return {k: top(k) for k in found}
+
+
+def test_query(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{DATA}/documents.parquet")
+            .select("doc_id", "text").collect()]
+    rows = entry.op3_near_dup(spark, DATA).collect()
+    assert len(rows) == len(docs)
+    assert {r["doc_id"]: r["class_id"] for r in rows} == brute(docs)
+
+
+def chain(n=60, size=200):
+    """Texts of which each is near the next one only: links form one long chain."""
+    words = [f"w{k}" for k in range(size + 8 * n)]
+    return [(k, " ".join(words[8 * k:8 * k + size])) for k in range(n)]
+
+
+def copies(n, size=120, seed=1):
+    """Near copies of one text, each with one word changed."""
+    rng = np.random.default_rng(seed)
+    base = [f"c{seed}x{k}" for k in range(size)]
+    out = []
+    for k in range(n):
+        words = list(base)
+        words[int(rng.integers(size))] = f"new{k}"
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("served", [2, 64])
+def test_chains_and_groups(spark, monkeypatch, served):
+    """Links that no smallest node takes part in are found in the later rounds."""
+    monkeypatch.setattr(near_dup, "SERVED", served)
+    monkeypatch.setattr(near_dup, "SIMILARITY", 0.8)
+    shared = " ".join(f"s{k}" for k in range(150))
+    half = [f"{shared} {' '.join(f'h{j}x{k}' for k in range(60))}" for j in range(40)]
+    texts = [t for _, t in chain(25)] + copies(80) + copies(10, seed=2) + half
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.classes(df).collect()}
+    assert got == brute(docs)
+
+
+def test_odd_rows(spark):
+    one = "a b c d e f g h i j k l m n o p"
+    rows = [(1, None), (2, None), (3, ""), (4, " \n"), (5, "one two"), (6, "one two"), (7, "one two x"),
+            (8, one), (9, one + " q"), (9, one + " q"), (None, one), (None, "alone here"),
+            (10, "z " * 30_000), (11, "z " * 29_000), (12, "z " * 10_000)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows],
+                               "doc_id bigint, text string, node string, class_id int")
+    got = sorted(map(tuple, near_dup.classes(df).collect()), key=repr)
+    assert got == sorted([(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 5), (7, 7), (8, 8), (9, 8), (9, 8),
+                          (None, 8), (None, None), (10, 10), (11, 10), (12, 12)], key=repr)
+    kept = near_dup.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r["doc_id"] or 0 for r in kept.collect())) == [
+        0, 0, 1, 2, 3, 4, 5, 7, 8, 10, 12]
+    assert near_dup.classes(df.where("false")).collect() == []
+    assert near_dup.keep_one(df.where("false")).collect() == []
+
+
+def test_repeated_rows_leave_one(spark):
+    df = spark.createDataFrame([(5, "some words here")] * 4 + [(6, "other words")],
+                               "doc_id bigint, text string")
+    assert sorted(r["doc_id"] for r in near_dup.keep_one(df).collect()) == [5, 6]
+
+
+@pytest.mark.parametrize("most", [1, 3, 9])
+def test_signatures_are_unbiased(most):
+    rng = np.random.default_rng(most)
+    errors = []
+    for _ in range(80):
+        base = rng.integers(1, 1 << 60, 200).astype(np.uint64)
+        a = np.repeat(base[:150], rng.integers(1, most + 1, 150))
+        b = np.repeat(base[50:], rng.integers(1, most + 1, 150))
+        x, y = bagminhash.signatures([a, b])
+        errors.append((x == y).mean() - bagminhash.similarity(a, b))
+    assert abs(np.mean(errors)) < 0.015
+
+
+def test_signatures_do_not_depend_on_company():
+    rng = np.random.default_rng(5)
+    sets = [rng.integers(1, 1 << 60, n).astype(np.uint64) for n in (1, 3, 15, 16, 127, 128, 500)]
+    both = bagminhash.signatures(sets)
+    for k, one in enumerate(sets):
+        assert (bagminhash.signatures([one])[0] == both[k]).all()
+    # A set that grows across a batch limit keeps most of its signature.
+    grown = bagminhash.signatures([sets[4], np.append(sets[4], np.uint64(7))])
+    assert (grown[0] == grown[1]).mean() > 0.95
+
+
+def test_words_are_those_of_split():
+    for text in ("", " ", "a", " a\tb\n\x0bc\x0c\rd ", "é\x85x \x1c y", "x" * 70_000):
+        assert len(bagminhash.word_hashes(text)) == len(text.encode().split())
