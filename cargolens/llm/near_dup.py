@@ -58,16 +58,20 @@ def banded(text: Column) -> Column:
     return hashed(text)
 
 
-@F.arrow_udf("double")
-def similarity(left: pa.Array, right: pa.Array) -> pa.Array:
+def similarity(left: Column, right: Column) -> Column:
     """Weighted Jaccard similarity of the shingles of two texts; the left text often repeats."""
-    out, last, shingles = [], None, None
-    for a, b in zip(left.to_pylist(), right.to_pylist(), strict=True):
-        if a != last:
-            last, shingles = a, bagminhash.shingle_hashes(bagminhash.word_hashes(a))
-        other = bagminhash.shingle_hashes(bagminhash.word_hashes(b))
-        out.append(bagminhash.similarity(shingles, other))
-    return pa.array(out, pa.float64())
+
+    @F.arrow_udf("double")
+    def compared(lefts: pa.Array, rights: pa.Array) -> pa.Array:
+        out, last, shingles = [], None, None
+        for a, b in zip(lefts.to_pylist(), rights.to_pylist(), strict=True):
+            if a != last:
+                last, shingles = a, bagminhash.shingle_hashes(bagminhash.word_hashes(a))
+            other = bagminhash.shingle_hashes(bagminhash.word_hashes(b))
+            out.append(bagminhash.similarity(shingles, other))
+        return pa.array(out, pa.float64())
+
+    return compared(left, right)
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -75,15 +79,16 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b")
-    return stored(both.select("a", "b", (1 - similarity("text_a", "text_b")).alias("d")), "pairs")
+    return stored(both.select("a", "b", (1 - similarity(F.col("text_a"), F.col("text_b"))).alias("d")), "pairs")
 
 
 def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """Classes of nodes after adding links (a, b) to the classes in `labels` (node, cls).
 
-    Links between classes are contracted to links between their names; every name takes the smallest name
-    it is linked to, the names' names are looked up once more, and this repeats until no link
-    joins two classes. The number of classes that still change at least halves each time.
+    Every class takes the smallest name it is linked to, that name's new name is looked up at once, and
+    this repeats with the links that still join different classes until there are none. Ends of equal
+    class stay equal, so a dropped link is not needed again; the smallest node of a component never
+    changes its name, so in the end all have that name.
     """
     nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     if labels is None:
@@ -94,11 +99,11 @@ def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     while True:
         one = labels.select(F.col("node").alias("a"), F.col("cls").alias("ca"))
         two = labels.select(F.col("node").alias("b"), F.col("cls").alias("cb"))
-        joined = links.join(one, "a").join(two, "b").where("ca <> cb").select("ca", "cb")
-        joined = stored(joined.distinct(), "contracted")
-        if joined.isEmpty():
+        links = stored(links.join(one, "a").join(two, "b").where("ca <> cb")
+                       .select("a", "b", "ca", "cb"), "links")
+        if links.isEmpty():
             return labels
-        ends = joined.union(joined.select("cb", "ca"))
+        ends = links.select("ca", "cb").union(links.select("cb", "ca"))
         hooked = (ends.groupBy(F.col("ca").alias("cls")).agg(F.min("cb").alias("to"))
                   .select("cls", F.least("cls", "to").alias("to")))
         hooked = stored(hooked, "hooked")
@@ -107,7 +112,7 @@ def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
             "cls", F.coalesce("further", "to").alias("to"))
         labels = stored(labels.join(hooked, "cls", "left").select(
             "node", F.coalesce("to", "cls").alias("cls")), "labels")
-        links = joined.select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        links = links.select("a", "b")
 
 
 def nodes_of(docs: DataFrame, key: str, text: str) -> DataFrame:
