@@ -23,6 +23,7 @@ from cargolens.llm.common import utf8
 SHINGLE = 5
 BANDS, ROWS = 25, 5  # at similarity 0.8 a pair shares no band with probability 5e-5
 COMPONENTS = BANDS * ROWS
+SKETCH = -(-COMPONENTS // 7)  # numbers of a sketch
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -143,6 +144,14 @@ def bands(components: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketches(components: np.ndarray) -> np.ndarray:
+    """Eight bits of every component, seven components to a number, so that numbers stay positive."""
+    small = np.zeros((len(components), SKETCH * 7), np.uint64)
+    small[:, :components.shape[1]] = components & np.uint64(255)
+    return (small.reshape(-1, SKETCH, 7) << np.arange(0, 56, 8, dtype=np.uint64)).sum(
+        2, dtype=np.uint64)
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Weighted Jaccard similarity of two sorted arrays, as multisets."""
     if not len(a) or not len(b):

@@ -2,14 +2,18 @@
 
 1. Equal texts are one node, named by its smallest id; signatures are computed per row in Arrow batches.
 2. Nodes that agree in a whole band share a bucket. In a first round every member is paired with
-   the bucket's smallest node, so a bucket of n near copies costs n pairs and not n squared.
+   the bucket's head, so a bucket of n near copies costs n pairs and not n squared. Head is the member
+   that shares buckets with most others: the text that a group of edited copies has in its middle, if
+   it is there, heads all their buckets.
 3. Pairs are verified on the texts: weighted Jaccard similarity of the five-word shingle multisets of
    `SIMILARITY` or more makes a link, and links make classes (connected components).
-4. A link between members that are not both linked to the smallest node may still be missing. In further
-   rounds members outside the smallest node's class are paired with all members of other classes, a
-   bounded number of them per bucket and round, until none is left. The distance 1 - similarity is a
-   metric, so pairs whose distances to the smallest node differ by more than a link allows are skipped.
-   The classes are those that all pairs of all buckets would give.
+4. A link between members that are not both linked to the head may still be missing. In further
+   rounds members outside the head's class are paired with all members of other classes, a
+   bounded number of them per bucket and round, until none is left. The classes are those that all
+   pairs of all buckets would give.
+
+Pairs are only verified if their signatures agree in `AGREE` of 125 components or more; a pair of
+similarity 0.8 fails that with probability 6e-6, and shares no bucket with probability 5e-5.
 
 Documents without words (null, empty or blank text) are classes of their own. Texts of one to four
 words are one shingle. Rows with the same id are one document. Rows without id have the class of
@@ -19,6 +23,9 @@ an empty result; only the named columns are read, so extra ones cannot clash.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,47 +36,58 @@ from cargolens.operators.joins import lookup_join
 from cargolens.sources.workspace import stored
 
 SIMILARITY = 0.8
-SERVED = 64  # members of a bucket that are paired with all others per round
+SERVED = 256  # members of a bucket that are paired with all others per round
+REMEMBERED = 1000  # texts whose shingles are remembered while pairs are compared
 TOGETHER = 100  # texts whose signatures are computed at once
+AGREE = 81  # components in which the signatures of a pair must agree, of 125
 BANDS = [f"b{k}" for k in range(bagminhash.BANDS)]
+SKETCH = [f"s{k}" for k in range(bagminhash.SKETCH)]
 
 
 def banded(text: Column) -> Column:
     """Band hashes of a text column; null for texts without words."""
-    fields = ",".join(f"{b}:bigint" for b in BANDS)
+    fields = ",".join(f"{c}:bigint" for c in BANDS + SKETCH)
 
     @F.arrow_udf(f"struct<{fields}>")
     def hashed(batch: pa.Array) -> pa.Array:
         texts = batch.to_pylist()
-        columns = [[] for _ in BANDS]
+        known = np.zeros(len(texts), bool)
+        table = np.zeros((len(texts), len(BANDS) + len(SKETCH)), np.uint64)
         for at in range(0, len(texts), TOGETHER):
             words = [bagminhash.word_hashes(t) for t in texts[at:at + TOGETHER]]
             own = [k for k, w in enumerate(words) if len(w)]
-            rows = [None] * len(words)
             if own:
-                found = bagminhash.bands(bagminhash.signatures(
-                    [bagminhash.shingle_hashes(words[k]) for k in own])).astype("i8")
-                for k, row in zip(own, found.tolist(), strict=True):
-                    rows[k] = row
-            for b, column in enumerate(columns):
-                column += [None if r is None else r[b] for r in rows]
-        return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], BANDS)
+                found = bagminhash.signatures([bagminhash.shingle_hashes(words[k]) for k in own])
+                rows = [at + k for k in own]
+                known[rows] = True
+                table[rows] = np.hstack([bagminhash.bands(found), bagminhash.sketches(found)])
+        return pa.StructArray.from_arrays(
+            [pa.array(column, mask=~known) for column in table.view(np.int64).T], BANDS + SKETCH)
 
     return hashed(text)
 
 
+def agreement(mine: str, theirs: str) -> Column:
+    """Number of equal components of two sketches whose columns have these prefixes."""
+    differ = F.lit(0)
+    for c in SKETCH:
+        bits = F.col(mine + c).bitwiseXOR(F.col(theirs + c))
+        seven = F.lit(0x7F7F7F7F7F7F7F)
+        # In each byte the high bit of (low bits + 127) or of the byte itself tells that it is not 0.
+        marks = (bits.bitwiseAND(seven) + seven).bitwiseOR(bits).bitwiseAND(F.lit(0x80808080808080))
+        differ = differ + F.bit_count(marks)
+    return F.lit(bagminhash.COMPONENTS) - differ
+
+
 def similarity(left: Column, right: Column) -> Column:
-    """Weighted Jaccard similarity of the shingles of two texts; the left text often repeats."""
+    """Weighted Jaccard similarity of the shingles of two texts; texts of a group often repeat."""
 
     @F.arrow_udf("double")
     def compared(lefts: pa.Array, rights: pa.Array) -> pa.Array:
-        out, last, shingles = [], None, None
-        for a, b in zip(lefts.to_pylist(), rights.to_pylist(), strict=True):
-            if a != last:
-                last, shingles = a, bagminhash.shingle_hashes(bagminhash.word_hashes(a))
-            other = bagminhash.shingle_hashes(bagminhash.word_hashes(b))
-            out.append(bagminhash.similarity(shingles, other))
-        return pa.array(out, pa.float64())
+        shingles = lru_cache(REMEMBERED)(
+            lambda text: bagminhash.shingle_hashes(bagminhash.word_hashes(text)))
+        return pa.array([bagminhash.similarity(shingles(a), shingles(b)) for a, b in
+                         zip(lefts.to_pylist(), rights.to_pylist(), strict=True)], pa.float64())
 
     return compared(left, right)
 
@@ -116,7 +134,7 @@ def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def nodes_of(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One stored row per document row: id, digest of the text, band hashes; both null without words."""
+    """One stored row per document row: id, digest of the text and hashes; null without words."""
     rows = docs.select(F.col(key).alias("id"), F.md5(F.col(text).cast("binary")).alias("digest"),
                        banded(F.col(text)).alias("bands"))
     rows = rows.select("id", F.when(F.col("bands.b0").isNotNull(), F.col("digest"))
@@ -135,53 +153,60 @@ def link_classes(docs: DataFrame, key: str, text: str, reps: DataFrame,
                  least: float = SIMILARITY) -> DataFrame:
     """(node, cls) of all nodes that are linked to another one."""
     far = 1 - least + 1e-9
-    members = reps.select("node", F.explode(F.array(*BANDS)).alias("bucket"))
-    heads = members.groupBy("bucket").agg(F.min("node").alias("head"), F.count("*").alias("n"))
+    members = reps.select("node", F.explode(F.array(*BANDS)).alias("bucket"), *SKETCH)
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
     # Buckets of one member are most of all; they end here.
-    members = stored(members.join(heads.where("n > 1"), "bucket"), "members")
-    pairs = (members.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
-             .distinct())
+    members = stored(members.join(sizes.where("n > 1"), "bucket"), "members")
+    company = members.groupBy("node").agg(F.sum("n").alias("company"))
+    most = (members.join(company, "node").groupBy("bucket")
+            .agg(F.max(F.struct("company", (-F.col("node")).alias("minus"))).alias("most")))
+    heads = most.select("bucket", (-F.col("most.minus")).alias("head"))
+    members = stored(members.join(heads, "bucket"), "headed")
     texts = candidates(docs, key, text, members.select("node").distinct())
-    done = verified(pairs, texts)
+
+    def pairs_of(near: DataFrame) -> DataFrame:
+        """Pairs of a leader and a node that agree enough, each once, the smaller one first."""
+        return near.select(F.least("node", "leader").alias("a"),
+                           F.greatest("node", "leader").alias("b")).distinct()
+
+    heads = members.where("node = head").select(
+        "bucket", F.col("node").alias("leader"), *(F.col(c).alias(f"l{c}") for c in SKETCH))
+    near = members.join(heads, (members["bucket"] == heads["bucket"])
+                        & (F.col("node") != F.col("leader")) & (agreement("", "l") >= AGREE))
+    done = verified(pairs_of(near), texts)
     labels = merged(None, done.where(F.col("d") <= far).select("a", "b"))
 
-    # Buckets of two are settled. In others, members with their distance to the head.
-    members = members.where("n > 2").join(
-        done.select(F.col("a").alias("head"), F.col("b").alias("node"), "d"), ["head", "node"],
-        "left").select("bucket", "head", "node", F.coalesce("d", F.lit(0.0)).alias("d"))
-    members = stored(members, "members").withColumn("served", F.lit(False))
+    # Buckets of two are settled.
+    members = members.where("n > 2").withColumn("served", F.col("node") == F.col("head"))
     while True:
         of_node = labels
         of_head = labels.select(F.col("node").alias("head"), F.col("cls").alias("head_cls"))
         classed = (members.join(of_node, "node", "left").join(of_head, "head", "left")
                    .withColumn("cls", F.coalesce("cls", "node"))
-                   .withColumn("head_cls", F.coalesce("head_cls", "head")))
-        # Buckets whose members are all of one class have nothing to find.
-        mixed = (classed.groupBy("bucket").agg(F.max(~F.col("served") & (F.col("cls") != F.col("head_cls")))
-                                               .alias("open")).where("open").select("bucket"))
-        classed = stored(classed.join(mixed, "bucket", "left_semi"), "classed")
-        waiting = classed.where(~F.col("served") & (F.col("cls") != F.col("head_cls")))
-        turn = waiting.selectExpr("bucket", "node", "row_number() over "
-                                  "(partition by bucket order by node) as turn")
+                   .withColumn("waits", ~F.col("served")
+                               & (F.col("cls") != F.coalesce("head_cls", "head")))
+                   .drop("head_cls"))
+        # Buckets without members outside the head's class have nothing more to find.
+        mixed = classed.groupBy("bucket").agg(F.max("waits").alias("open")).where("open")
+        classed = stored(classed.join(mixed.select("bucket"), "bucket", "left_semi"), "classed")
+        turn = classed.where("waits").selectExpr(
+            "bucket", "node", "row_number() over (partition by bucket order by node) as turn")
         leaders = stored(turn.where(F.col("turn") <= SERVED).drop("turn"), "leaders")
         if leaders.isEmpty():
             return labels
         leading = classed.join(leaders, ["bucket", "node"]).select(
             "bucket", F.col("node").alias("leader"), F.col("cls").alias("leader_cls"),
-            F.col("d").alias("leader_d"))
-        near = (classed.where("node <> head").join(leading, "bucket")
-                .where((F.col("cls") != F.col("leader_cls"))
-                       & (F.abs(F.col("d") - F.col("leader_d")) <= far)))
-        pairs = near.select(F.least("node", "leader").alias("a"),
-                            F.greatest("node", "leader").alias("b")).distinct()
-        pairs = stored(pairs.join(done, ["a", "b"], "left_anti"), "new_pairs")
+            *(F.col(c).alias(f"l{c}") for c in SKETCH))
+        near = classed.join(leading, (classed["bucket"] == leading["bucket"])
+                            & (F.col("cls") != F.col("leader_cls"))
+                            & (agreement("", "l") >= AGREE))
+        pairs = stored(pairs_of(near).join(done, ["a", "b"], "left_anti"), "new_pairs")
         if not pairs.isEmpty():
             fresh = verified(pairs, texts)
             done = done.union(fresh)
-            links = fresh.where(F.col("d") <= far).select("a", "b")
-            labels = merged(labels, links)
+            labels = merged(labels, fresh.where(F.col("d") <= far).select("a", "b"))
         members = (classed.join(leaders.withColumn("now", F.lit(True)), ["bucket", "node"], "left")
-                   .select("bucket", "head", "node", "d",
+                   .select("bucket", "head", "node", "n", *SKETCH,
                            (F.col("served") | F.coalesce("now", F.lit(False))).alias("served")))
 
 
@@ -191,7 +216,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
     rows = nodes_of(docs, key, text)
     worded = rows.where(F.col("digest").isNotNull())
     reps = stored(worded.groupBy("digest").agg(F.min("id").alias("node"),
-                                               *(F.min(b).alias(b) for b in BANDS)), "reps")
+                                               *(F.min(c).alias(c) for c in BANDS + SKETCH)), "reps")
     labels = link_classes(docs, key, text, reps.where(F.col("node").isNotNull()), least)
     # A node may stand for several texts if they share an id; its classes are the same.
     named = reps.select("digest", "node").join(labels, "node", "left").select(
