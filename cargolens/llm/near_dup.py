@@ -13,7 +13,10 @@
    pairs of all buckets would give.
 
 Pairs are only verified if their signatures agree in `AGREE` of 125 components or more; a pair of
-similarity 0.8 fails that with probability 6e-6, and shares no bucket with probability 5e-5.
+similarity 0.8 fails that with probability 6e-6, and shares no bucket with probability 5e-5. In the
+further rounds a node's shingles that no other node of those rounds has are counted first: what is
+left bounds the overlap with any of them, and pairs whose bound is below the threshold are skipped.
+In a large group of copies with edits of their own these are nearly all the pairs without a link.
 
 Documents without words (null, empty or blank text) are classes of their own. Texts of one to four
 words are one shingle. Rows with the same id are one document. Rows without id have the class of
@@ -23,6 +26,7 @@ an empty result; only the named columns are read, so extra ones cannot clash.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -92,6 +96,31 @@ def similarity(left: Column, right: Column) -> Column:
     return compared(left, right)
 
 
+def shareable(texts: DataFrame) -> DataFrame:
+    """(node, size, common): a text's shingles, and how many of them some other text has too."""
+
+    def elements(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            for node, text in zip(batch[0], batch[1], strict=True):
+                shingles = np.sort(bagminhash.shingle_hashes(bagminhash.word_hashes(text.as_py())))
+                first = np.searchsorted(shingles, shingles)  # the n-th equal one is another element
+                numbered = bagminhash.mixed(shingles + np.arange(len(shingles)).astype(np.uint64)
+                                            - first.astype(np.uint64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(node, len(numbered)), pa.array(numbered.view(np.int64))],
+                    ["node", "element"])
+
+    kind = texts.schema["node"].dataType.simpleString()
+    found = texts.select("node", "text").mapInArrow(elements, f"node {kind}, element bigint")
+    alone = (found.groupBy("element").agg(F.count("*").alias("n"), F.min("node").alias("node"))
+             .where("n = 1").groupBy("node").agg(F.count("*").alias("alone")))
+    words = F.size(F.split(F.trim(F.regexp_replace("text", r"[\x09-\x0D\x20]+", " ")), " "))
+    size = F.greatest(words - (bagminhash.SHINGLE - 1), F.lit(1))
+    sizes = texts.select("node", size.alias("size")).join(alone, "node", "left")
+    return sizes.select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0)))
+                        .alias("common"))
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b, d): the distance of each pair of nodes."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -176,19 +205,28 @@ def link_classes(docs: DataFrame, key: str, text: str, reps: DataFrame,
     done = verified(pairs_of(near), texts)
     labels = merged(None, done.where(F.col("d") <= far).select("a", "b"))
 
-    # Buckets of two are settled.
+    # Buckets of two are settled, and those without members outside the head's class.
     members = members.where("n > 2").withColumn("served", F.col("node") == F.col("head"))
-    while True:
-        of_node = labels
+
+    def with_classes(members: DataFrame) -> DataFrame:
         of_head = labels.select(F.col("node").alias("head"), F.col("cls").alias("head_cls"))
-        classed = (members.join(of_node, "node", "left").join(of_head, "head", "left")
+        classed = (members.join(labels, "node", "left").join(of_head, "head", "left")
                    .withColumn("cls", F.coalesce("cls", "node"))
                    .withColumn("waits", ~F.col("served")
                                & (F.col("cls") != F.coalesce("head_cls", "head")))
                    .drop("head_cls"))
-        # Buckets without members outside the head's class have nothing more to find.
         mixed = classed.groupBy("bucket").agg(F.max("waits").alias("open")).where("open")
-        classed = stored(classed.join(mixed.select("bucket"), "bucket", "left_semi"), "classed")
+        return stored(classed.join(mixed.select("bucket"), "bucket", "left_semi"), "classed")
+
+    classed = with_classes(members)
+    if classed.isEmpty():
+        return labels
+    open_texts = texts.join(classed.select("node").distinct(), "node", "left_semi")
+    classed = stored(classed.join(shareable(open_texts), "node"), "classed")
+    overlap = F.least("common", "leader_common")
+    enough = overlap >= least * (F.col("size") + F.col("leader_size") - overlap) - 1e-6
+    carried = ["size", "common", *SKETCH]
+    while True:
         turn = classed.where("waits").selectExpr(
             "bucket", "node", "row_number() over (partition by bucket order by node) as turn")
         leaders = stored(turn.where(F.col("turn") <= SERVED).drop("turn"), "leaders")
@@ -196,9 +234,10 @@ def link_classes(docs: DataFrame, key: str, text: str, reps: DataFrame,
             return labels
         leading = classed.join(leaders, ["bucket", "node"]).select(
             "bucket", F.col("node").alias("leader"), F.col("cls").alias("leader_cls"),
+            F.col("size").alias("leader_size"), F.col("common").alias("leader_common"),
             *(F.col(c).alias(f"l{c}") for c in SKETCH))
         near = classed.join(leading, (classed["bucket"] == leading["bucket"])
-                            & (F.col("cls") != F.col("leader_cls"))
+                            & (F.col("cls") != F.col("leader_cls")) & enough
                             & (agreement("", "l") >= AGREE))
         pairs = stored(pairs_of(near).join(done, ["a", "b"], "left_anti"), "new_pairs")
         if not pairs.isEmpty():
@@ -206,8 +245,9 @@ def link_classes(docs: DataFrame, key: str, text: str, reps: DataFrame,
             done = done.union(fresh)
             labels = merged(labels, fresh.where(F.col("d") <= far).select("a", "b"))
         members = (classed.join(leaders.withColumn("now", F.lit(True)), ["bucket", "node"], "left")
-                   .select("bucket", "head", "node", "n", *SKETCH,
+                   .select("bucket", "head", "node", *carried,
                            (F.col("served") | F.coalesce("now", F.lit(False))).alias("served")))
+        classed = with_classes(members)
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
