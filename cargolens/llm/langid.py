@@ -31,8 +31,9 @@ from cargolens.sources.workspace import stored
 LEAST_SHARE = 1e-4  # so a profile has at most 10,000 trigrams
 LEAST_RATIO = 0.25  # of the share in the language where the trigram is most common
 BITS = 18  # each language's filter has 2^BITS bits
-CHUNK = 500_000  # characters handled at a time
-KEPT = 1_000_000  # distinct trigrams a task holds before it hands them on
+CHUNK = 200_000  # characters handled at a time
+SLICE = 500  # texts handled at a time
+KEPT = 500_000  # distinct trigrams a task holds before it hands them on
 BLANK = 32
 
 
@@ -139,9 +140,9 @@ def counted(rows: DataFrame, text: str, lang: str) -> DataFrame:
                      pa.array(times)], schema=schema)
             held.clear()
 
-        for batch in batches:
+        for part_of in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             by_lang: dict[str, list[str]] = {}
-            for name, value in zip(batch[1].to_pylist(), batch[0].to_pylist(), strict=True):
+            for name, value in zip(part_of[1].to_pylist(), part_of[0].to_pylist(), strict=True):
                 by_lang.setdefault(name, []).append(value)
             for name, texts in by_lang.items():
                 for _, part in chunks(texts):
@@ -188,8 +189,10 @@ def predicted(docs: DataFrame, text: Column, filters: Filters | None) -> Column:
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def judged(batch: pa.Array) -> pa.Array:
-        texts = [v or "" for v in batch.to_pylist()]
-        found = shared.value.judge(texts) if shared.value else [("und", 0.0)] * len(texts)
+        found = []
+        for at in range(0, len(batch), SLICE):  # few texts are Python strings at a time
+            texts = [v or "" for v in batch.slice(at, SLICE).to_pylist()]
+            found += shared.value.judge(texts) if shared.value else [("und", 0.0)] * len(texts)
         return pa.StructArray.from_arrays(
             [pa.array([f[0] for f in found], pa.string()),
              pa.array([f[1] for f in found], pa.float64())], ["lang_pred", "score"])
