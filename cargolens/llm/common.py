@@ -7,6 +7,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cargolens.sources.workspace import fresh_path
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 # The white space that separates words: space and code points 9 to 13.
@@ -21,6 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored_small(df: DataFrame, name: str) -> DataFrame:
+    """Like `stored`, but compressed harder, for intermediate tables of the input's size."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def utf8(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 

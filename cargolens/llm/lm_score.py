@@ -32,11 +32,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from cargolens.llm.bagminhash import GOLDEN, word_hashes
-from cargolens.llm.common import utf8
+from cargolens.llm.common import stored_small, utf8
 from cargolens.sources.workspace import stored
 
 DEPTH = 4  # bytes of the longest context
-GROUP = 16_000_000  # characters of a group of texts, or one longer text
+GROUP = 24_000_000  # characters of a group of texts, or one longer text
 CHUNK = 1_000_000  # bytes handled at a time
 EDGE = 255  # a byte that UTF-8 never has: it stands before a text and ends it
 WORDS, STRINGS = 0, 1  # kinds of keys
@@ -275,8 +275,8 @@ def grouped(docs: DataFrame, held_out: Column, key: str, text: str) -> DataFrame
                 [*batch.columns, pa.array(numbers, pa.int64())],
                 [*batch.schema.names, "grp"])
 
-    return stored(rows.mapInArrow(number, f"doc {kind}, held_out boolean, text string, grp bigint"),
-                  "grouped")
+    return stored_small(rows.mapInArrow(
+        number, f"doc {kind}, held_out boolean, text string, grp bigint"), "grouped")
 
 
 def slices_of(rows: DataFrame) -> DataFrame:
@@ -305,7 +305,7 @@ def slices_of(rows: DataFrame) -> DataFrame:
         yield from hand_on()
 
     schema = "grp bigint, kind bigint, key bigint, n bigint"
-    return stored(rows.select("text", "held_out", "grp").mapInArrow(count, schema), "slices")
+    return stored_small(rows.select("text", "held_out", "grp").mapInArrow(count, schema), "slices")
 
 
 def string_values(slices: DataFrame) -> DataFrame:
@@ -361,7 +361,7 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id",
     out_type = to_arrow_type(docs.schema[key].dataType)
 
     def judge(texts_of: pa.Table, values_of: pa.Table) -> pa.Table:
-        texts = [lowered(t) for t in texts_of["text"].to_pylist()]
+        texts = [lowered(t.as_py()) for t in texts_of["text"]]
         held = np.array(texts_of["held_out"].to_pylist(), bool)
         kinds = values_of["kind"].to_numpy()
         keys = values_of["key"].to_numpy().view(np.uint64)

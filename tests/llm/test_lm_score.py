@@ -76,7 +76,7 @@ def check(rows, docs, held):
         assert r["score"] == pytest.approx(tree[k], rel=1e-6, abs=2e-6)
 
 
-@pytest.mark.parametrize("group", [16_000_000, 40])
+@pytest.mark.parametrize("group", [24_000_000, 40])
 def test_small_texts(spark, monkeypatch, group):
     """In one group, and in groups so small that words and strings are spread over many."""
     monkeypatch.setattr(lm_score, "GROUP", group)
