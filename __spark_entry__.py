@@ -151,6 +151,28 @@ def _bronze_replay(t: Tables) -> DataFrame:
     return conform.split_rejects(replayed, S.CUSTOMERS)[0]
 
 
+def _bronze_rejects(t: Tables) -> DataFrame:
+    """Landed documents of which some are cut off and some have no results."""
+    landing = f"{fresh_path(t.spark, 'bronze')}/customers_20260102_030405_000006"
+    number = F.col("c_custkey") % 13
+    document = F.concat(F.lit('{"results": [{"customer_id": "CUST-'), F.col("c_custkey"), F.lit('"}]'))
+    text = (F.when(number == 0, document)
+            .when(number == 1, F.concat(F.lit('{"info": {"seed": "CUST-'), F.col("c_custkey"), F.lit('"}}')))
+            .otherwise(F.concat(document, F.lit("}"))))
+    testbed.base_table(t.spark, t.sf_dir, "customer").select(text.alias("value")).write.text(landing)
+    rejects = bronze.customer_rejects(t.spark, landing)
+    found = F.regexp_extract(F.coalesce("record", "document"), "CUST-[0-9]+", 0)
+    return rejects.select("reason", found.alias("customer_id"))
+
+
+def _distance_histogram_nan(t: Tables) -> DataFrame:
+    """Distances of low risk turned into NaN are left out like nulls."""
+    low = F.coalesce(F.col("risk_category") == "LOW", F.lit(True))
+    spoilt = t.performance.withColumn("distance_km", F.when(low, F.lit(float("nan")))
+                                      .otherwise(F.col("distance_km")))
+    return analytics.distance_histogram(spoilt, None, t.warehouses)
+
+
 def _bronze_weather(t: Tables) -> DataFrame:
     landing = fresh_path(t.spark, "bronze")
     records = t.weather.select(*S.WEATHER.fieldNames())
@@ -226,6 +248,12 @@ def _asof(t: Tables) -> DataFrame:
                            ["temperature", "wind_speed"], tie="event_id")
 
 
+def _risk_asof(t: Tables, orders: str) -> DataFrame:
+    routes = transforms.build_routes(t.view(orders), t.customers, t.warehouses,
+                                     carry=["created_at"])
+    return transforms.build_delivery_risk_asof(routes, t.weather, tie="event_id")
+
+
 def _customer_scd(t: Tables) -> DataFrame:
     history = cells.versioned(t.view("customer_versions"), "customer_id", "changed_at",
                               "version_id")
@@ -236,14 +264,12 @@ def _stream_paths(t: Tables, name: str) -> tuple[str, str]:
     return fresh_path(t.spark, name), fresh_path(t.spark, f"{name}-checkpoint")
 
 
-def _stream_timeline(t: Tables) -> DataFrame:
-    return shipments.run_timeline(t.stream("ship_orders"), *_stream_paths(t, "timeline"),
-                                  delay="40 days")
+def _stream_timeline(t: Tables, orders: str = "ship_orders") -> DataFrame:
+    return shipments.run_timeline(t.stream(orders), *_stream_paths(t, "timeline"))
 
 
-def _stream_dedupe(t: Tables) -> DataFrame:
-    return shipments.run_dedupe(t.stream("orders_repeated"), *_stream_paths(t, "dedupe"),
-                                delay="40 days")
+def _stream_dedupe(t: Tables, orders: str = "orders_repeated") -> DataFrame:
+    return shipments.run_dedupe(t.stream(orders), *_stream_paths(t, "dedupe"))
 
 
 def _stream_risk(t: Tables) -> DataFrame:
@@ -341,6 +367,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         t.performance.where("false"), t.warehouses),
     "warehouse_network": lambda t: analytics.warehouse_network(t.performance, t.warehouses),
     "warehouse_locations": lambda t: analytics.warehouse_locations(t.view("warehouses")),
+    "distance_histogram_nan": lambda t: _distance_histogram_nan(t),
     "filter_options": lambda t: filters.filter_options(t.performance, t.warehouses),
     # data quality
     "dq_marts": lambda t: quality.run_checks(_clean_tables(t), quality.mart_checks()),
@@ -354,16 +381,19 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "dedupe_latest": lambda t: latest.latest_per_key(
         t.view("customer_versions"), "customer_id", ["changed_at", "version_id"]),
     "bronze_replay": _bronze_replay,
+    "bronze_rejects": _bronze_rejects,
     "bronze_weather": _bronze_weather,
     "weather_history": _weather_history,
     "load_audit": _load_audit,
     # extensions
     "asof_weather": _asof,
-    "delivery_risk_asof": lambda t: transforms.build_delivery_risk_asof(
-        t.routes, t.orders, t.weather, tie="event_id"),
+    "delivery_risk_asof": lambda t: _risk_asof(t, "ship_orders"),
+    "delivery_risk_asof_dirty": lambda t: _risk_asof(t, "orders_dirty"),
     "customer_scd": _customer_scd,
     "stream_timeline": _stream_timeline,
+    "stream_timeline_undated": lambda t: _stream_timeline(t, "orders_undated"),
     "stream_dedupe": _stream_dedupe,
+    "stream_dedupe_unnamed": lambda t: _stream_dedupe(t, "orders_unnamed"),
     "stream_risk": _stream_risk,
     "incremental_mart": _incremental_mart,
 }

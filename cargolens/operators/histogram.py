@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Rows per bin (0-based) between the smallest and the largest value.
 
-    Nulls are left out, empty bins too; a constant column is bin 0. The value range is
+    Nulls and NaN are left out, empty bins too; a constant column is bin 0. The value range is
     one struct from a scalar subquery, so there is no join.
     """
-    values = df.where(F.col(column).isNotNull()).select(column)
+    number = F.col(column)
+    values = df.where(number.isNotNull() & ~F.isnan(number.cast("double"))).select(column)
     span = values.agg(F.struct(F.min(column).cast("double").alias("lo"),
                                F.max(column).cast("double").alias("hi")).alias("span"))
     placed = values.withColumn("__span", span.scalar())

@@ -34,17 +34,18 @@ def fits_broadcast(df: DataFrame) -> bool:
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys with more than a fair partition's rows, and into how many parts to split each.
 
-    A frequent-items sketch finds them in a single scan of one column. There are
+    The keys are counted exactly: counts are combined on the map side, so one small row per key and
+    task is shuffled, however the rows are spread, and the total is added up from the counts. There are
     fewer such keys than shuffle partitions, whatever the data size, and all parts
     together are at most five times as many.
     """
     width = shuffle_width(df)
-    tracked = min(1_000_000, max(10_000, 20 * width))
-    top = df.agg(F.expr(f"approx_top_k(`{key}`, {width}, {tracked})").alias("top"),
-                 F.count(key).alias("total")).select("total", F.inline("top"))
-    shares = F.col("count") * width / F.col("total")
-    return (top.where(F.col("item").isNotNull() & (F.col("count") * width > F.col("total")))
-            .select(F.col("item").alias(key), F.ceil(4 * shares).cast("int").alias(PARTS)))
+    counts = stored(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n")),
+                    "key_counts")
+    total = counts.agg(F.sum("__n")).first()[0] or 1
+    shares = F.col("__n") * width / F.lit(total)
+    return (counts.where(shares > 1)
+            .select(key, F.ceil(4 * shares).cast("int").alias(PARTS)))
 
 
 def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
@@ -66,9 +67,8 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
         return left.join(right, key, how)
 
     width = shuffle_width(left)
-    # Written, because both sides must see the very same list: a sketch that is computed twice
-    # may estimate differently, and a salt without its copy would lose rows. It has fewer rows
-    # than there are partitions, which bounds the broadcast.
+    # Written, so that the counts are not made twice. The list has fewer rows than there are
+    # partitions, which bounds the broadcast.
     hot = F.broadcast(stored(hot_keys(left if profile is None else profile, key), "hot_keys"))
     parts = F.when(F.col(key).isNull(), F.lit(width)).otherwise(F.coalesce(PARTS, F.lit(1)))
     salted = (left.join(hot, key, "left")

@@ -11,8 +11,8 @@ def latest_per_key(df: DataFrame, keys, order) -> DataFrame:
 
     `order` lists columns from most to least significant; end it with a unique
     column to make ties deterministic. A null sorts lowest, and the chosen
-    row is kept whole, nulls included. Runs as a map-side combined aggregate, so
-    neither history length nor a hot key needs a sort in one task.
+    row is kept whole, nulls included. Every input task sorts its own rows by key and sends one row
+    per key on, so a long history or a hot key is never shuffled whole nor sorted in one task.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     rest = [c for c in df.columns if c not in keys]

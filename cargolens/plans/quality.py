@@ -46,7 +46,8 @@ def _violation(check: Check) -> Column:
         bad = bad | (value <= check.above)
     if check.high is not None:
         bad = bad | (value > check.high)
-    return value.isNotNull() & bad
+    # NaN compares as larger than any number and so would pass a lower bound.
+    return value.isNotNull() & (bad | F.isnan(value.cast("double")))
 
 
 def _repeated(df: DataFrame, column: str) -> DataFrame:

@@ -47,14 +47,18 @@ def with_risk(df: DataFrame, null_points: int = 0) -> DataFrame:
             .withColumn("risk_level", scoring.risk_level(F.col("risk_score"))))
 
 
-def build_routes(orders: DataFrame, customers: DataFrame, warehouses: DataFrame) -> DataFrame:
-    """One route per order whose customer and warehouse are known."""
-    keys = orders.select("order_id", "customer_id", "warehouse_id")
+def build_routes(orders: DataFrame, customers: DataFrame, warehouses: DataFrame,
+                 carry=()) -> DataFrame:
+    """One route per order whose customer and warehouse are known.
+
+    `carry` names further order columns that the routes keep.
+    """
+    keys = orders.select("order_id", "customer_id", "warehouse_id", *carry)
     located = lookup_join(keys, customer_points(customers), "customer_id", "inner",
                           spread=["order_id"])
     located = lookup_join(located, warehouse_points(warehouses), "warehouse_id", "inner",
                           spread=["order_id"], profile=keys)
-    return with_route(located).select(*S.ROUTES.fieldNames())
+    return with_route(located).select(*S.ROUTES.fieldNames(), *carry)
 
 
 def latest_weather(weather: DataFrame, tie: str | None = None) -> DataFrame:
@@ -82,17 +86,15 @@ def build_delivery_risk(routes: DataFrame, latest: DataFrame, null_points: int =
     return with_risk(observed, null_points).select(*S.DELIVERY_RISK.fieldNames())
 
 
-def build_delivery_risk_asof(routes: DataFrame, orders: DataFrame, weather: DataFrame, tie: str,
+def build_delivery_risk_asof(routes: DataFrame, weather: DataFrame, tie: str,
                              null_points: int = 0) -> DataFrame:
     """Score every route against the weather of its warehouse at the time of the order.
 
-    Needs one row per order id in `orders`.
+    The routes have to carry `created_at` (`build_routes(..., carry=["created_at"])`). Each is matched on
+    its own, so orders with a repeated or missing id are scored like all others.
     """
-    placed = orders.select("order_id", "warehouse_id", "created_at")
-    at_order = asof_join(placed, weather, "warehouse_id", "created_at", "timestamp",
+    observed = asof_join(routes, weather, "warehouse_id", "created_at", "timestamp",
                          ["temperature", "wind_speed"], tie)
-    observed = routes.join(at_order.select("order_id", "temperature", "wind_speed"), "order_id",
-                           "left")
     return with_risk(observed, null_points).select(*S.DELIVERY_RISK.fieldNames())
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from cargolens import schemas as S
 from cargolens.functions.text import iso_text, stamp_of_file
 from cargolens.operators.latest import latest_per_key
+from cargolens.sources.conform import RejectedRecords
 
 
 def all_text(schema: T.StructType) -> T.StructType:
@@ -57,23 +58,78 @@ def land_weather(weather: DataFrame, directory: str, stamp: str) -> str:
     return path
 
 
+CORRUPT = "_corrupt_record"
+
+
 def _replay(spark: SparkSession, paths, schema: T.StructType, multi_line: bool) -> DataFrame:
-    raw = spark.read.schema(schema).option("multiLine", multi_line).json(paths)
-    return raw.withColumn("ingested_at", stamp_of_file(F.col("_metadata.file_path")))
+    """Documents in `schema`, with the raw text of unreadable ones in `_corrupt_record`."""
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    raw = spark.read.schema(whole).option("multiLine", multi_line).json(paths)
+    return raw.withColumns({"ingested_at": stamp_of_file(F.col("_metadata.file_path")),
+                            "file": F.col("_metadata.file_path")})
 
 
-def replay_customers(spark: SparkSession, paths, multi_line: bool = False) -> DataFrame:
-    """Customer records of landed payloads, still as text, with `ingested_at`.
+def _readable(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    # The reader refuses to look for unreadable documents alone, as when rows are only counted, so
+    # the condition names a field as well.
+    field = F.length(F.to_json(F.struct(schema.fieldNames()[0]))) > 0
+    return raw.where(F.col(CORRUPT).isNull() & field)
+
+
+def _rejects(raw: DataFrame, schema: T.StructType, broken) -> DataFrame:
+    """(file, reason, record, document) of unreadable documents and of those that `broken` names.
 
-    `multi_line=True` reads files that hold one indented document each.
+    An unreadable document is kept as the text `record`, another one as JSON in `document`.
     """
+    reason = F.when(F.col(CORRUPT).isNotNull(), "unreadable").otherwise(broken)
+    return (raw.withColumn("reason", reason).where(F.col("reason").isNotNull())
+            .select("file", "reason", F.col(CORRUPT).alias("record"),
+                    F.when(F.col(CORRUPT).isNull(), F.to_json(F.struct(*schema.fieldNames())))
+                    .alias("document")))
+
+
+def _checked(rejects: DataFrame, on_error: str) -> None:
+    if on_error not in ("fail", "skip"):
+        raise ValueError(f"on_error is 'fail' or 'skip', not {on_error!r}")
+    if on_error == "fail" and (bad := rejects.count()):
+        raise RejectedRecords(f"{bad} landed documents cannot be replayed")
+
+
+def customer_rejects(spark: SparkSession, paths, multi_line: bool = False) -> DataFrame:
+    """Landed customer documents that cannot be replayed: cut off, mistyped or without results."""
     raw = _replay(spark, paths, CUSTOMER_PAYLOAD, multi_line)
+    return _rejects(raw, CUSTOMER_PAYLOAD, F.when(F.col("results").isNull(), "no results"))
+
+
+def replay_customers(spark: SparkSession, paths, multi_line: bool = False,
+                     on_error: str = "fail") -> DataFrame:
+    """Customer records of landed payloads, still as text, with `ingested_at`.
+
+    `multi_line=True` reads files that hold one indented document each. A document that cannot be replayed
+    fails the batch; with `on_error="skip"` it is left to `customer_rejects`.
+    """
+    _checked(customer_rejects(spark, paths, multi_line), on_error)
+    raw = _readable(_replay(spark, paths, CUSTOMER_PAYLOAD, multi_line), CUSTOMER_PAYLOAD)
     return raw.select(F.explode("results").alias("r"), "ingested_at").select("r.*", "ingested_at")
 
 
-def replay_weather(spark: SparkSession, paths, multi_line: bool = False) -> DataFrame:
-    """Weather history of landed files: typed, with `ingested_at`."""
+def weather_rejects(spark: SparkSession, paths, multi_line: bool = False) -> DataFrame:
+    """Landed weather records that are unreadable or hold a value of the wrong type."""
     raw = _replay(spark, paths, all_text(S.WEATHER), multi_line)
+    bad = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
+                  f"{f.name} invalid") for f in S.WEATHER]
+    return _rejects(raw, S.WEATHER, F.coalesce(*bad))
+
+
+def replay_weather(spark: SparkSession, paths, multi_line: bool = False,
+                   on_error: str = "fail") -> DataFrame:
+    """Weather history of landed files: typed, with `ingested_at`.
+
+    A record that is unreadable or holds a value of the wrong type fails the batch; with
+    `on_error="skip"` it is left to `weather_rejects`, in the history a wrong value is then null.
+    """
+    _checked(weather_rejects(spark, paths, multi_line), on_error)
+    raw = _readable(_replay(spark, paths, all_text(S.WEATHER), multi_line), S.WEATHER)
     return raw.select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in S.WEATHER], "ingested_at")
 

@@ -7,8 +7,6 @@ by batch, which a repeated batch overwrites.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,41 +18,13 @@ from cargolens.plans import marts, transforms
 BATCH = "batch_id"
 DAY = "order_day"
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-@contextmanager
-def on_disk_state(spark):
-    """Queries started inside keep their state in RocksDB, so it may outgrow the heap."""
-    before = spark.conf.get(STATE_STORE, None)
-    spark.conf.set(STATE_STORE, ON_DISK)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(STATE_STORE)
-        else:
-            spark.conf.set(STATE_STORE, before)
-
-
-def event_time(df: DataFrame, column: str, delay: str) -> DataFrame:
-    """Watermark on a naive time stamp, which is taken as UTC in whatever zone the session is."""
-    local = F.col(column).cast("timestamp")
-    return (df.withColumn(column, F.from_utc_timestamp(local, F.current_timezone()))
-            .withWatermark(column, delay))
-
-
-def naive_time(column: str) -> Column:
-    """The naive time stamp back from event time."""
-    return F.to_utc_timestamp(column, F.current_timezone()).cast("timestamp_ntz")
+COUNTS = "date date, shipments bigint"
 
 
-def _run(stream: DataFrame, checkpoint: str, mode: str, each) -> StreamingQuery:
-    with on_disk_state(stream.sparkSession):
-        query = (stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-                 .foreachBatch(each).trigger(availableNow=True).start())
-        query.awaitTermination()
+def _run(stream: DataFrame, checkpoint: str, each) -> StreamingQuery:
+    query = (stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+             .foreachBatch(each).trigger(availableNow=True).start())
+    query.awaitTermination()
     return query
 
 
@@ -62,52 +32,53 @@ def _batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/{BATCH}={batch_id}"
 
 
-def daily_counts(orders: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Shipments per day of a stream of orders."""
-    timed = event_time(orders.select("order_id", "created_at"), "created_at", delay)
-    return (timed.groupBy(F.window("created_at", "1 day")).agg(F.count("*").alias("shipments"))
-            .select(naive_time("window.start").cast("date").alias("date"),
-                    "shipments"))
+def _readable(spark, path: str, schema) -> DataFrame:
+    """What the batches wrote; an empty folder of batch -1 makes it readable before the first."""
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("overwrite").parquet(_batch_folder(path, -1))
+    return spark.read.schema(empty.schema).parquet(path)
 
 
-def run_timeline(orders: DataFrame, path: str, checkpoint: str,
-                 delay: str = "1 day") -> DataFrame:
-    """Keep the daily counts of a stream up to date below `path` and read them back.
+def run_timeline(orders: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Count the shipments of a stream per day below `path` and read the counts back.
 
-    Each batch writes only the days it changed; the newest batch of a day holds.
+    Counts are additive, so each batch writes its own and reading adds them up: no state, no
+    watermark, and orders that are late or have no day (a null day) count like all others.
     """
-    def write(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counts = (batch.groupBy(F.to_date("created_at").alias("date"))
+                  .agg(F.count("*").alias("shipments")))
+        counts.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
 
-    _run(daily_counts(orders, delay), checkpoint, "update", write)
+    _run(orders, checkpoint, write)
     return read_timeline(orders.sparkSession, path)
 
 
 def read_timeline(spark, path: str) -> DataFrame:
-    changes = spark.read.schema(f"date date, shipments bigint, {BATCH} bigint").parquet(path)
-    return latest_per_key(changes, "date", [BATCH]).select("date", "shipments")
+    return (_readable(spark, path, COUNTS).groupBy("date")
+            .agg(F.sum("shipments").alias("shipments")))
 
 
-def first_arrivals(orders: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Each order once, however often it is repeated within the watermark delay.
+def run_dedupe(orders: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Write each order of a stream once, when it first arrives, and read all back.
 
-    Repeats are first dropped per input partition, so that an order which makes up a
-    large share of the stream reaches its final state partition as a few rows only.
+    A batch drops its own repeats (combined on the map side, so a much repeated order is a few rows
+    when it is shuffled) and the ids that earlier batches filed, of which only the id column is read.
+    However late a repeat comes, it is recognised. Orders without id cannot be repeats and stay.
     """
-    timed = event_time(orders, "created_at", delay)
-    local = timed.withColumn("__part", F.spark_partition_id())
-    return (local.dropDuplicatesWithinWatermark(["order_id", "__part"]).drop("__part")
-            .dropDuplicatesWithinWatermark(["order_id"]))
+    spark = orders.sparkSession
+    _readable(spark, path, orders.schema)
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        named = batch.where(F.col("order_id").isNotNull()).dropDuplicates(["order_id"])
+        # A batch that runs again must not see its own earlier rows.
+        earlier = spark.read.schema(orders.schema).parquet(path).where(F.col(BATCH) != batch_id)
+        new = named.join(earlier.select("order_id"), "order_id", "left_anti")
+        kept = new.unionByName(batch.where(F.col("order_id").isNull()))
+        kept.select(*orders.columns).write.mode("overwrite").parquet(_batch_folder(path, batch_id))
 
-def run_dedupe(orders: DataFrame, path: str, checkpoint: str, delay: str = "1 day") -> DataFrame:
-    """Write the stream without repeats to `path` and read it back."""
-    once = first_arrivals(orders, delay).withColumn("created_at", naive_time("created_at"))
-    with on_disk_state(orders.sparkSession):
-        query = (once.writeStream.format("parquet").outputMode("append").option("path", path)
-                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-        query.awaitTermination()
-    return orders.sparkSession.read.schema(once.schema).parquet(path)
+    _run(orders, checkpoint, write)
+    return spark.read.schema(orders.schema).parquet(path).select(*orders.columns)
 
 
 def run_risk(orders: DataFrame, customers: DataFrame, warehouses: DataFrame, latest: DataFrame,
@@ -118,8 +89,8 @@ def run_risk(orders: DataFrame, customers: DataFrame, warehouses: DataFrame, lat
         risk = transforms.build_delivery_risk(routes, latest, null_points, profile=batch)
         risk.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
 
-    _run(orders, checkpoint, "append", score)
-    return orders.sparkSession.read.schema(S.DELIVERY_RISK).parquet(path).drop(BATCH)
+    _run(orders, checkpoint, score)
+    return _readable(orders.sparkSession, path, S.DELIVERY_RISK).drop(BATCH)
 
 
 def _day(column: str) -> Column:
@@ -161,5 +132,5 @@ def run_mart(orders: DataFrame, root: str, checkpoint: str, customers: DataFrame
     def take(batch: DataFrame, batch_id: int) -> None:
         refresh_mart(batch, batch_id, root, customers, warehouses, latest)
 
-    _run(orders, checkpoint, "append", take)
+    _run(orders, checkpoint, take)
     return orders.sparkSession.read.parquet(f"{root}/mart").select(*marts.PERFORMANCE)

@@ -46,7 +46,7 @@ _STATUS = """case when o_orderstatus = 'F' and o_orderkey % 7 = 0 then 'cancelle
             when o_orderkey % 2 = 0 then 'created' else 'processing' end"""
 
 
-def _orders(order_id: str, customer_id: str, status: str) -> str:
+def _orders(order_id: str, customer_id: str, status: str, dated: str = "true") -> str:
     return f"""
 select {order_id} order_id, {customer_id} customer_id,
        {_padded('WH', 'site')} warehouse_id,
@@ -56,8 +56,8 @@ select {order_id} order_id, {customer_id} customer_id,
        case when o_orderpriority in ('1-URGENT', '2-HIGH') then 'priority'
             when o_orderpriority = '3-MEDIUM' then 'express' else 'standard' end priority,
        {status} status,
-       (select min(ts) from {{events}})
-           + interval '1' second * cast((o_orderkey * 173) % 2592000 as int) created_at
+       case when {dated} then (select min(ts) from {{events}})
+           + interval '1' second * cast((o_orderkey * 173) % 2592000 as int) end created_at
 from (select *, (o_orderkey * 31 + o_custkey) % (select count(*) from {{supplier}}) site
       from {{orders}})"""
 
@@ -84,6 +84,12 @@ ORDERS_ORPHANED = _orders(_ORDER_ID, _DIRTY_CUSTOMER, _STATUS)
 ORDERS_REPEATED = f"""{ORDERS}
 union all {ORDERS} where o_orderkey % 7 = 0"""
 
+# Every 11th order has no time; some have no id, and every 7th arrives a second time.
+ORDERS_UNDATED = _orders(_ORDER_ID, _CUSTOMER_ID, _STATUS, "o_orderkey % 11 <> 0")
+_UNNAMED = _orders(_DIRTY_ID, _CUSTOMER_ID, _STATUS)
+ORDERS_UNNAMED = f"""{_UNNAMED}
+union all {_UNNAMED} where o_orderkey % 7 = 0"""
+
 # All customer fields as text; some coordinates do not parse or are missing.
 RAW_CUSTOMERS = """
 select concat('CUST-', cast(c_custkey as string)) customer_id,
@@ -116,6 +122,7 @@ VIEWS = {
     "customers": CUSTOMERS, "warehouses": WAREHOUSES, "ship_orders": ORDERS, "weather": WEATHER,
     "weather_tied": WEATHER_TIED, "orders_dirty": ORDERS_DIRTY,
     "orders_orphaned": ORDERS_ORPHANED, "orders_repeated": ORDERS_REPEATED,
+    "orders_undated": ORDERS_UNDATED, "orders_unnamed": ORDERS_UNNAMED,
     "raw_customers": RAW_CUSTOMERS, "customer_versions": CUSTOMER_VERSIONS,
 }
 

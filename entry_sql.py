@@ -128,6 +128,12 @@ from ship_orders o asof left join (
          order by event_id desc) rn from weather) where rn = 1) w
 on o.warehouse_id = w.warehouse_id and o.created_at >= w."timestamp" """
 
+# Routes of the dirty orders that keep their time.
+_DATED_ROUTES = (ROUTES.format(orders="orders_dirty")
+                 .replace("concat('RT-', order_id)", "'RT-' || order_id")
+                 .replace("order_id, customer_id, warehouse_id", "order_id, customer_id, warehouse_id, created_at")
+                 .replace("o.order_id, o.customer_id, o.warehouse_id,", "o.order_id, o.customer_id, o.warehouse_id, o.created_at,"))
+
 _RAW_OK = """select customer_id, title, first_name, last_name, gender, email, phone,
        cast(street_number as bigint) street_number, street_name, city, state, country, postcode,
        try_cast(latitude as double) latitude,
@@ -337,13 +343,29 @@ def oracles() -> dict[str, str]:
         "delivery_risk_asof": f"select * from ({RISK.format(missing=0, routes='routes')})".replace(
             "left join latest l on r.warehouse_id = l.warehouse_id",
             f"left join ({_ASOF}) l on r.order_id = l.order_id"),
+        "delivery_risk_asof_dirty": RISK.format(missing=0, routes=f"({_DATED_ROUTES})").replace(
+            "left join latest l on r.warehouse_id = l.warehouse_id",
+            """asof left join (select * from (select *, row_number() over (
+                 partition by warehouse_id, "timestamp" order by event_id desc) rn from weather)
+               where rn = 1) l
+               on r.warehouse_id = l.warehouse_id and r.created_at >= l."timestamp" """),
         "customer_scd": """select customer_id, version_id, city, changed_at valid_from,
               lead(changed_at) over v valid_to, lead(changed_at) over v is null is_current
             from customer_versions
             window v as (partition by customer_id order by changed_at, version_id)""",
         "stream_timeline": """select cast(created_at as date) "date", count(*) shipments
             from ship_orders group by 1""",
+        "stream_timeline_undated": """select cast(created_at as date) "date", count(*) shipments
+            from orders_undated group by 1""",
         "stream_dedupe": "select * from ship_orders",
+        "stream_dedupe_unnamed": """select * exclude (rn) from (
+              select *, row_number() over (partition by order_id) rn from orders_unnamed)
+            where rn = 1 or order_id is null""",
+        "bronze_rejects": """select 'unreadable' reason, 'CUST-' || c_custkey customer_id
+            from customer where c_custkey % 13 = 0
+            union all select 'no results', 'CUST-' || c_custkey from customer
+            where c_custkey % 13 = 1""",
+        "distance_histogram_nan": _histogram("distance_km", 30, "where risk_category <> 'LOW'"),
         "stream_risk": "select * from risk",
         "incremental_mart": _DP_ROWS.format("dp"),
     }

@@ -61,7 +61,7 @@ def test_timeline_over_two_runs(spark, feed):
     expected = None
     for part in (orders_of(spark, 0, 30), orders_of(spark, 20, 80)):
         feed.add(part.coalesce(2))
-        got = shipments.run_timeline(feed.stream, feed.out, feed.checkpoint, delay="30 days")
+        got = shipments.run_timeline(feed.stream, feed.out, feed.checkpoint)
         expected = feed.all.groupBy(F.to_date("created_at").alias("date")).count()
         assert rows(got) == rows(expected)
     assert expected.count() == 4
@@ -70,9 +70,9 @@ def test_timeline_over_two_runs(spark, feed):
 def test_dedupe_across_files_and_runs(spark, feed):
     hot = orders_of(spark, 5, 6)
     feed.add(orders_of(spark, 0, 30).unionByName(hot).unionByName(hot).repartition(3))
-    shipments.run_dedupe(feed.stream, feed.out, feed.checkpoint, delay="30 days")
+    shipments.run_dedupe(feed.stream, feed.out, feed.checkpoint)
     feed.add(orders_of(spark, 10, 50).coalesce(1))
-    got = shipments.run_dedupe(feed.stream, feed.out, feed.checkpoint, delay="30 days")
+    got = shipments.run_dedupe(feed.stream, feed.out, feed.checkpoint)
     assert rows(got) == rows(orders_of(spark, 0, 50))
 
 
@@ -116,8 +116,33 @@ def test_refresh_keeps_orders_without_day_or_id(spark, feed, world):
     assert got.count() == 15
 
 
-def test_state_store_setting_is_restored(spark):
-    before = spark.conf.get(shipments.STATE_STORE)
-    with shipments.on_disk_state(spark):
-        assert spark.conf.get(shipments.STATE_STORE) == shipments.ON_DISK
-    assert spark.conf.get(shipments.STATE_STORE) == before
+def backwards(spark, feed, parts):
+    """Files in an order in which most orders are late."""
+    for part in parts:
+        feed.add(part.coalesce(1))
+
+
+def test_late_and_undated_orders_count(spark, feed):
+    undated = orders_of(spark, 900, 902).withColumn("created_at", F.lit(None).cast("timestamp_ntz"))
+    backwards(spark, feed, [orders_of(spark, 600, 610), orders_of(spark, 0, 5), undated,
+                            orders_of(spark, 300, 303)])
+    got = shipments.run_timeline(feed.stream, feed.out, feed.checkpoint)
+    expected = feed.all.groupBy(F.to_date("created_at").alias("date")).count()
+    assert rows(got) == rows(expected)
+    assert sum(r.shipments for r in got.collect()) == 20
+
+
+def test_late_repeats_are_recognised_and_unnamed_orders_stay(spark, feed):
+    unnamed = orders_of(spark, 900, 903).withColumn("order_id", F.lit(None).cast("string"))
+    backwards(spark, feed, [orders_of(spark, 600, 610), orders_of(spark, 0, 5).unionByName(unnamed),
+                            orders_of(spark, 0, 610), unnamed])
+    got = shipments.run_dedupe(feed.stream, feed.out, feed.checkpoint)
+    assert rows(got) == rows(orders_of(spark, 0, 610).unionByName(unnamed).unionByName(unnamed))
+
+
+def test_streams_over_nothing(spark, feed, world):
+    feed.add(orders_of(spark, 0, 1).where("false"))
+    assert shipments.run_timeline(feed.stream, feed.out, feed.checkpoint).collect() == []
+    assert shipments.run_dedupe(feed.stream, feed.out + "2", feed.checkpoint + "2").collect() == []
+    assert shipments.run_risk(feed.stream, *world, feed.out + "3",
+                              feed.checkpoint + "3").collect() == []
