@@ -225,9 +225,9 @@ def _dq_failing_status(t: Tables) -> DataFrame:
     return quality.failing_rows({"orders": t.view("orders_dirty")}, check)
 
 
-def _build(t: Tables, root: str) -> DataFrame:
+def _build(t: Tables, root: str, orders: str = "ship_orders") -> DataFrame:
     sources = {"customers": t.customers, "warehouses": t.warehouses,
-               "weather": t.weather, "orders": t.orders}
+               "weather": t.weather, "orders": t.view(orders)}
     return build.build_all(t.spark, root, sources, weather_tie="event_id")
 
 
@@ -235,10 +235,10 @@ def _load_audit(t: Tables) -> DataFrame:
     return _build(t, fresh_path(t.spark, "lake")).select("table_name", "layer", "rows")
 
 
-def _rebuild(t: Tables) -> DataFrame:
+def _rebuild(t: Tables, orders: str = "ship_orders") -> DataFrame:
     """The mart as the full rebuild writes it."""
     root = fresh_path(t.spark, "lake")
-    _build(t, root)
+    _build(t, root, orders)
     return build.read_mart(t.spark, root, "delivery_performance")
 
 
@@ -359,6 +359,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "delivery_performance_orphaned": lambda t: marts.build_performance(
         t.view("orders_orphaned"), t.customers, t.warehouses, t.latest),
     "rebuild": _rebuild,
+    "rebuild_dirty": lambda t: _rebuild(t, "orders_dirty"),
     # reports without or with a fixed filter
     "overview_metrics_empty": lambda t: REPORTS["overview_metrics"](t, NOTHING),
     "warehouse_performance_idle": lambda t: analytics.warehouse_performance(

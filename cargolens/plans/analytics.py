@@ -31,24 +31,25 @@ def _speed() -> Column:
 # --- key figures: one row, also when nothing matches ---------------------
 
 
-def _distinct(df: DataFrame, column: str) -> Column:
-    """Number of different non-null values, as a scalar subquery."""
-    values = df.where(F.col(column).isNotNull()).select(column).distinct()
-    return values.agg(F.count("*").alias("n")).scalar()
+AVERAGED = {"avg_distance": "distance_km", "avg_delivery": "estimated_delivery_hours",
+            "avg_weight": "package_weight_kg", "avg_risk": "risk_score"}
 
 
 def overview_metrics(dp: DataFrame, filters=None, warehouses=None) -> DataFrame:
-    """Two distinct counts in one aggregate would triple every row; here each reads one column."""
+    """One pass over the mart: sums per customer and warehouse, then all figures from these rows."""
     chosen = apply_filters(dp, filters, warehouses)
-    figures = chosen.agg(
-        _shipments(), F.avg("distance_km").alias("avg_distance"),
-        F.avg("estimated_delivery_hours").alias("avg_delivery"),
-        F.avg("package_weight_kg").alias("avg_weight"), F.avg("risk_score").alias("avg_risk"),
-        _high_risk().alias("high_risk_shipments"))
-    return figures.select(
-        "shipments", _distinct(chosen, "customer_id").alias("customers"),
-        _distinct(chosen, "warehouse_id").alias("warehouses"), "avg_distance", "avg_delivery",
-        "avg_weight", "avg_risk", "high_risk_shipments")
+    pairs = chosen.groupBy("customer_id", "warehouse_id").agg(
+        _shipments(), _high_risk().alias("high"),
+        *[F.sum(c).alias(f"sum_{name}") for name, c in AVERAGED.items()],
+        *[F.count(c).alias(f"n_{name}") for name, c in AVERAGED.items()])
+    none = F.lit(0).cast("bigint")
+    return pairs.agg(
+        F.coalesce(F.sum("shipments"), none).alias("shipments"),
+        F.count_distinct("customer_id").alias("customers"),
+        F.count_distinct("warehouse_id").alias("warehouses"),
+        *[(F.sum(f"sum_{name}") / F.nullif(F.sum(f"n_{name}"), none)).alias(name)
+          for name in AVERAGED],
+        F.coalesce(F.sum("high"), none).alias("high_risk_shipments"))
 
 
 def customer_metrics(dp: DataFrame, filters=None, warehouses=None) -> DataFrame:

@@ -6,7 +6,9 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cargolens.operators.latest import latest_per_key
 from cargolens.plans import marts, transforms
 from cargolens.sources import lake
 
@@ -17,14 +19,22 @@ def mart_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/marts/{name}"
 
 
+def newest_orders(orders: DataFrame) -> DataFrame:
+    """One row per order id, the one of the latest time; orders without id stay as they are."""
+    order = ["created_at", *(c for c in orders.columns if c not in ("order_id", "created_at"))]
+    named = latest_per_key(orders.where(F.col("order_id").isNotNull()), "order_id", order)
+    return named.unionByName(orders.where(F.col("order_id").isNull()))
+
+
 def build_all(spark: SparkSession, root: str, sources: dict[str, DataFrame],
               null_points: int = 0, weather_tie: str | None = None) -> DataFrame:
     """Write silver, gold and mart tables below `root`, replacing what is there.
 
     `sources` holds typed customers, warehouses, weather and orders; `weather_tie` is a
-    weather column that decides between equal time stamps. Every stage reads
-    the files of the stage before, so a lost executor never reaches further back, and
-    a run that is repeated leaves the same tables. Returns the row audit.
+    weather column that decides between equal time stamps. Tables of the lake are written in the columns
+    and types that `lake.TABLES` declares, and of orders with one id only the newest is kept, orders
+    without id all. Every stage reads the files of the stage before, so a lost executor never
+    reaches further back, and a run that is repeated leaves the same tables. Returns the row audit.
 
     With sound keys the wide mart is computed once and routes, risk and fact are
     projections of it; otherwise each table is built by its own joins.
@@ -40,14 +50,17 @@ def build_all(spark: SparkSession, root: str, sources: dict[str, DataFrame],
 
     def write(name: str, layer: str, df: DataFrame) -> DataFrame:
         path = mart_path(root, name) if layer == "mart" else lake.table_path(root, name)
+        df = df if layer == "mart" else lake.declared(df, name)
         rows = lake.save(df, path)
         steps.append((name, layer, path, rows))
         return spark.read.schema(df.schema).parquet(path)
 
+    sources = sources | {"orders": newest_orders(sources["orders"])}
     silver = together({name: ("silver", sources[name])
                        for name, (layer, _) in lake.TABLES.items() if layer == "silver"})
     latest_path = f"{root.rstrip('/')}/gold/latest_weather"
-    latest = transforms.latest_weather(silver["weather"], weather_tie)
+    # The tie column is no column of the table, so this looks at the source itself.
+    latest = transforms.latest_weather(sources["weather"], weather_tie)
     lake.save(latest, latest_path)
     latest = spark.read.schema(latest.schema).parquet(latest_path)
 

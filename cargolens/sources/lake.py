@@ -37,6 +37,12 @@ def save(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
+def declared(df: DataFrame, name: str) -> DataFrame:
+    """`df` in the columns and types that the registry declares; columns it lacks are null."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None))
+                       .cast(f.dataType).alias(f.name) for f in TABLES[name][1]])
+
+
 def read(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
     return spark.read.schema(schema or TABLES[name][1]).parquet(table_path(root, name))
 

@@ -287,6 +287,10 @@ def oracles() -> dict[str, str]:
         "delivery_performance_dirty": _DP_ROWS.format("dp_dirty"),
         "delivery_performance_orphaned": _DP_ROWS.format("dp_orphaned"),
         "rebuild": _DP_ROWS.format("dp"),
+        # Repeated orders are copies, so the newest of them is any.
+        "rebuild_dirty": _DP_ROWS.format(
+            "(select distinct * from dp_dirty where order_id is not null "
+            "union all select * from dp_dirty where order_id is null)"),
         "overview_metrics_empty": _reports(_where(NO_MATCH))["overview_metrics"],
         "warehouse_performance_idle": _WAREHOUSE.format(dp="dp_idle", where=""),
         "capacity_index_empty": _CAPACITY.format(dp="dp_none", where=""),
