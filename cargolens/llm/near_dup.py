@@ -182,10 +182,13 @@ def link_classes(docs: DataFrame, key: str, text: str, reps: DataFrame,
                  least: float = SIMILARITY) -> DataFrame:
     """(node, cls) of all nodes that are linked to another one."""
     far = 1 - least + 1e-9
-    members = reps.select("node", F.explode(F.array(*BANDS)).alias("bucket"), *SKETCH)
+    members = reps.select("node", F.explode(F.array(*BANDS)).alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
-    # Buckets of one member are most of all; they end here.
+    # Buckets of one member are most of all; they end here, before the sketches come in.
     members = stored(members.join(sizes.where("n > 1"), "bucket"), "members")
+    sketched = reps.select("node", *SKETCH).join(members.select("node").distinct(), "node",
+                                                 "left_semi").dropDuplicates(["node"])
+    members = stored(members.join(sketched, "node"), "sketched")
     company = members.groupBy("node").agg(F.sum("n").alias("company"))
     most = (members.join(company, "node").groupBy("bucket")
             .agg(F.max(F.struct("company", (-F.col("node")).alias("minus"))).alias("most")))
