@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cargolens.llm.common import SPACES, free_name, utf8
 
-SAMPLE_PER_CLASS = 1000  # labelled rows of each class the classifier is fitted on, at most
+SAMPLE_PER_CLASS = 500  # labelled rows of each class the classifier is fitted on, at most
 SAMPLE_CHARS = 20_000  # texts beyond this length are not taken into that sample
 THRESHOLD = 0.1  # least probability of good quality: a text goes when junk is nine times as likely
 BITS = 18  # n-gram features are hashed into 2^BITS weights
@@ -194,9 +194,8 @@ def fit(texts: list[str], good: list[bool], prior: float, rounds: int = 60) -> M
     if any(len(set(good[part].tolist())) < 2 for part in (held, ~held)):
         return None
     train = np.flatnonzero(~held)
-    parts = [features([texts[i]]) for i in train]
     columns, values, lengths = [], [], []
-    for part in parts:
+    for part in (features([texts[i]]) for i in train):
         length = 0
         for slot, _ in part:
             unique, times = np.unique(slot, return_counts=True)
@@ -205,7 +204,7 @@ def fit(texts: list[str], good: list[bool], prior: float, rounds: int = 60) -> M
             length += len(unique)
         lengths.append(length)
     columns, values = np.concatenate(columns), np.concatenate(values)
-    rows = np.repeat(np.arange(len(train)), lengths)
+    rows = np.repeat(np.arange(len(train), dtype=np.int32), lengths)
     y = good[train].astype(float)
     # Frequent and rare slots get steps of their own size (Adagrad).
     weights, bias = np.zeros(1 << BITS), 0.0
