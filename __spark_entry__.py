@@ -203,7 +203,7 @@ def _dirty_tables(t: Tables) -> dict[str, DataFrame]:
 def _clean_tables(t: Tables) -> dict[str, DataFrame]:
     return {"customers": t.customers, "warehouses": t.warehouses, "orders": t.orders,
             "dim_customers": marts.dim_customers(t.customers),
-            "fact_shipments": t.performance.select(*marts.FACT),
+            "fact_shipments": marts.fact_shipments(t.orders, t.customers),
             "delivery_performance": t.performance}
 
 
@@ -284,6 +284,17 @@ def _incremental_mart(t: Tables) -> DataFrame:
                               t.warehouses, t.latest)
 
 
+def _incremental_mart_moved(t: Tables) -> DataFrame:
+    """All orders in a first batch; in a second every 5th moves by three days and is delivered."""
+    root = fresh_path(t.spark, "mart")
+    moved = (t.orders.where("cast(substring(order_id, 5) as bigint) % 5 = 0")
+             .withColumns({"created_at": F.expr("created_at + interval 3 days"),
+                           "status": F.lit("delivered")}))
+    for number, batch in enumerate((t.orders, moved)):
+        shipments.refresh_mart(batch, number, root, t.customers, t.warehouses, t.latest)
+    return shipments.read_mart(t.spark, root)
+
+
 SOME = entry_sql.SOME_FILTERS
 NOTHING = entry_sql.NO_MATCH
 
@@ -333,6 +344,8 @@ REPORTS: dict[str, Callable[[Tables, dict | None], DataFrame]] = {
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # derived tables
     "routes": lambda t: t.routes,
+    "routes_shuffled": lambda t: transforms.build_routes(t.orders, t.customers, t.warehouses,
+                                                         small=False),
     "route_profile": lambda t: transforms.route_profile(t.routes),
     "mode_profile": lambda t: transforms.mode_profile(t.routes),
     "latest_weather": lambda t: transforms.latest_weather(t.weather, tie="event_id"),
@@ -350,6 +363,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "stg_orders": lambda t: marts.stg_orders(t.orders),
     "dim_customers": lambda t: marts.dim_customers(t.view("customers")),
     "fact_shipments": lambda t: marts.fact_shipments(t.orders, t.customers),
+    "fact_shipments_shuffled": lambda t: marts.fact_shipments(t.orders, t.customers, small=False),
     "fact_shipments_orphaned": lambda t: marts.fact_shipments(
         t.view("orders_orphaned"), t.customers),
     "delivery_performance": lambda t: t.performance,
@@ -397,6 +411,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "stream_dedupe_unnamed": lambda t: _stream_dedupe(t, "orders_unnamed"),
     "stream_risk": _stream_risk,
     "incremental_mart": _incremental_mart,
+    "incremental_mart_moved": _incremental_mart_moved,
 }
 
 

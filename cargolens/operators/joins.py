@@ -49,7 +49,8 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
-                spread=None, profile: DataFrame | None = None) -> DataFrame:
+                spread=None, profile: DataFrame | None = None,
+                small: bool | None = None) -> DataFrame:
     """Join a large, possibly skewed `left` with the table `right` on `key`.
 
     A right side within the broadcast threshold is left to the planner, which
@@ -61,9 +62,10 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     `spread` names the left columns whose hash picks the salt, together with the input
     partition, so that copies of one row part as well. `profile` is a
     cheaper frame with the same keys to look for hot ones in, for example the base
-    table when `left` is itself a join.
+    table when `left` is itself a join. `small` states whether the right side is small; without it the
+    planner's estimate decides.
     """
-    if left.isStreaming or fits_broadcast(right):
+    if left.isStreaming or (fits_broadcast(right) if small is None else small):
         return left.join(right, key, how)
 
     width = shuffle_width(left)

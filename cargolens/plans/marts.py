@@ -34,11 +34,12 @@ def _customer_place(customers: DataFrame) -> DataFrame:
                             F.col("country").alias("customer_country"))
 
 
-def fact_shipments(orders: DataFrame, customers: DataFrame) -> DataFrame:
+def fact_shipments(orders: DataFrame, customers: DataFrame,
+                   small: bool | None = None) -> DataFrame:
     """Every order, with its customer's city and country where the customer is known."""
     dated = stg_orders(orders).withColumnRenamed("created_at", "order_date")
     placed = lookup_join(dated, _customer_place(customers), "customer_id", "left",
-                         spread=["order_id"])
+                         spread=["order_id"], small=small)
     return placed.select(*FACT)
 
 

@@ -48,16 +48,16 @@ def with_risk(df: DataFrame, null_points: int = 0) -> DataFrame:
 
 
 def build_routes(orders: DataFrame, customers: DataFrame, warehouses: DataFrame,
-                 carry=()) -> DataFrame:
+                 carry=(), small: bool | None = None) -> DataFrame:
     """One route per order whose customer and warehouse are known.
 
-    `carry` names further order columns that the routes keep.
+    `carry` names further order columns that the routes keep; `small` is as in `lookup_join`.
     """
     keys = orders.select("order_id", "customer_id", "warehouse_id", *carry)
     located = lookup_join(keys, customer_points(customers), "customer_id", "inner",
-                          spread=["order_id"])
+                          spread=["order_id"], small=small)
     located = lookup_join(located, warehouse_points(warehouses), "warehouse_id", "inner",
-                          spread=["order_id"], profile=keys)
+                          spread=["order_id"], profile=keys, small=small)
     return with_route(located).select(*S.ROUTES.fieldNames(), *carry)
 
 

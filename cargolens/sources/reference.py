@@ -54,7 +54,7 @@ CITIES = [
 def reference_warehouses(spark: SparkSession, count: int = 4) -> DataFrame:
     """The first `count` warehouses, numbered from WH-001."""
     if count > len(WAREHOUSES):
-        raise ValueError(f"Only {len(WAREHOUSES)} warehouses defined")
+        raise ValueError(f"{count} warehouses asked for, the table has {len(WAREHOUSES)}")
     rows = [(number, *row) for number, row in enumerate(WAREHOUSES[:count], start=1)]
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.WAREHOUSES[1:])
     numbered = spark.createDataFrame(rows, f"number int, {fields}")

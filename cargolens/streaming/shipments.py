@@ -14,9 +14,11 @@ from pyspark.sql.streaming import StreamingQuery
 from cargolens import schemas as S
 from cargolens.operators.latest import latest_per_key
 from cargolens.plans import marts, transforms
+from cargolens.sources.workspace import stored
 
 BATCH = "batch_id"
 DAY = "order_day"
+GONE = "moved_away"
 
 COUNTS = "date date, shipments bigint"
 
@@ -102,30 +104,61 @@ def refresh_mart(batch: DataFrame, batch_id: int, root: str, customers: DataFram
                  warehouses: DataFrame, latest: DataFrame) -> None:
     """Take a batch of orders into the mart; only the days it touches are rewritten.
 
-    The batch is filed under its day and batch number (a repeat overwrites itself).
-    The mart rows of the touched days are then rebuilt from all filed orders of
-    those days, where the latest filed version of an order counts; orders without an
-    id are all kept.
+    Of several versions of an order in the batch the latest in time counts. The batch is filed under day
+    and batch number (a repeat overwrites itself), and where an order was filed under another day
+    before, a mark there says that it has gone. The mart rows of all these days are then rebuilt from
+    what is filed under them: the last filed version of an order, unless it is gone; orders
+    without an id are all kept. To find earlier days, only ids and days of the history are read.
     """
     spark = batch.sparkSession
     filed = f"{root}/orders_by_day"
-    dated = batch.withColumn(DAY, _day("created_at")).withColumn(BATCH, F.lit(batch_id))
-    (dated.hint("rebalance", DAY).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BATCH).parquet(filed))
-
-    history = spark.read.schema(dated.schema).parquet(filed)
-    touched = history.where(F.col(BATCH) == batch_id).select(DAY).distinct()
+    rest = [c for c in batch.columns if c not in ("order_id", "created_at")]
+    named = latest_per_key(batch.where(F.col("order_id").isNotNull()), "order_id",
+                           ["created_at", *rest])
+    dated = (named.unionByName(batch.where(F.col("order_id").isNull()))
+             .withColumns({GONE: F.lit(False), DAY: _day("created_at"), BATCH: F.lit(batch_id)}))
+
+    def history() -> DataFrame:
+        return spark.read.schema(dated.schema).parquet(filed)
+
+    def file(rows: DataFrame) -> None:
+        (rows.hint("rebalance", DAY).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BATCH).parquet(filed))
+
+    if batch_id > 0:
+        now = dated.where(F.col("order_id").isNotNull()).select("order_id", F.col(DAY).alias("now"))
+        left = (history().where(F.col(BATCH) < batch_id).select("order_id", DAY).distinct()
+                .join(now, "order_id").where(F.col(DAY) != F.col("now")).drop("now"))
+        marks = left.withColumns({GONE: F.lit(True), BATCH: F.lit(batch_id)})
+        dated_all = dated.unionByName(marks, allowMissingColumns=True)
+        file(stored(dated_all, "batch"))
+    else:
+        file(dated)
+
+    touched = stored(history().where(F.col(BATCH) == batch_id).select(DAY).distinct(), "days")
     # Days are few whatever the data size (all of the calendar's are 3.7 million dates), and
     # broadcast they prune the history's folders before it is read.
-    orders = history.join(F.broadcast(touched), DAY, "left_semi")
-    named = latest_per_key(orders.where(F.col("order_id").isNotNull()), ["order_id", DAY], [BATCH])
-    newest = named.unionByName(orders.where(F.col("order_id").isNull()))
-    rows = (marts.build_performance(newest.drop(BATCH, DAY), customers, warehouses, latest)
-            .withColumn(DAY, _day("order_date")))
+    orders = history().join(F.broadcast(touched), DAY, "left_semi")
+    known = latest_per_key(orders.where(F.col("order_id").isNotNull()), ["order_id", DAY],
+                           [BATCH, GONE])
+    newest = stored(known.unionByName(orders.where(F.col("order_id").isNull()))
+                    .where(~F.col(GONE)).drop(BATCH, GONE, DAY), "newest")
+    rows = (marts.build_performance(newest, customers, warehouses, latest)
+            .withColumns({DAY: _day("order_date"), GONE: F.lit(False)}))
+    # A day that all its orders left keeps one marked row, which readers drop: nothing else would
+    # overwrite what stands there.
+    emptied = touched.join(newest.select(_day("created_at").alias(DAY)).distinct(), DAY, "left_anti")
+    rows = rows.unionByName(emptied.withColumn(GONE, F.lit(True)), allowMissingColumns=True)
     (rows.hint("rebalance", DAY).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(f"{root}/mart"))
 
 
+def read_mart(spark, root: str) -> DataFrame:
+    """The refreshed mart."""
+    mart = spark.read.parquet(f"{root}/mart")
+    return mart.where(~F.col(GONE)).select(*marts.PERFORMANCE)
+
+
 def run_mart(orders: DataFrame, root: str, checkpoint: str, customers: DataFrame,
              warehouses: DataFrame, latest: DataFrame) -> DataFrame:
     """Refresh the mart from a stream of orders and read it back."""
@@ -133,4 +166,4 @@ def run_mart(orders: DataFrame, root: str, checkpoint: str, customers: DataFrame
         refresh_mart(batch, batch_id, root, customers, warehouses, latest)
 
     _run(orders, checkpoint, take)
-    return orders.sparkSession.read.parquet(f"{root}/mart").select(*marts.PERFORMANCE)
+    return read_mart(orders.sparkSession, root)

@@ -255,6 +255,7 @@ def oracles() -> dict[str, str]:
        latitude, longitude from customers"""
     body = {
         "routes": "select * from routes",
+        "routes_shuffled": "select * from routes",
         "route_profile": """select count(*) routes, min(distance_km) min_km,
             max(distance_km) max_km, round(avg(distance_km) + 1e-9, 4) mean_km,
             min(estimated_hours) min_hours, max(estimated_hours) max_hours,
@@ -281,6 +282,7 @@ def oracles() -> dict[str, str]:
             package_size, priority, status, created_at from ship_orders""",
         "dim_customers": staged,
         "fact_shipments": "select * from fact",
+        "fact_shipments_shuffled": "select * from fact",
         "fact_shipments_orphaned": "select * from fact_orphaned",
         "delivery_performance": _DP_ROWS.format("dp"),
         "delivery_performance_joined": _DP_ROWS.format("dp"),
@@ -372,6 +374,10 @@ def oracles() -> dict[str, str]:
         "distance_histogram_nan": _histogram("distance_km", 30, "where risk_category <> 'LOW'"),
         "stream_risk": "select * from risk",
         "incremental_mart": _DP_ROWS.format("dp"),
+        "incremental_mart_moved": """select * exclude (moved) replace (
+              case when moved then order_date + interval 3 days else order_date end as order_date,
+              case when moved then 'delivered' else status end as status)
+            from (select *, cast(substring(order_id, 5) as bigint) % 5 = 0 moved from dp)""",
     }
     body |= _reports()
     chosen = _reports(_where(SOME_FILTERS), _where(SOME_FILTERS, "d."))

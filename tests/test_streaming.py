@@ -116,6 +116,22 @@ def test_refresh_keeps_orders_without_day_or_id(spark, feed, world):
     assert got.count() == 15
 
 
+def test_a_moved_order_stands_under_its_new_day_only(spark, feed, world):
+    at = [START + timedelta(days=n) for n in range(3)]
+    def version(name, day, status):
+        return (name, "c-1", "WH-001", 1.0, "small", "express", status, day)
+    batches = [[version("a", at[0], "created"), version("b", at[0], "created")],
+               [version("a", at[1], "shipped")],
+               [version("a", at[2], "late"), version("a", at[1], "early"), version("b", at[0], "shipped")],
+               [version("b", at[2], "delivered")]]
+    for number, data in enumerate(batches):
+        for _ in range(2):  # a repeated batch changes nothing
+            shipments.refresh_mart(spark.createDataFrame(data, S.ORDERS), number, feed.out, *world)
+    got = shipments.read_mart(spark, feed.out)
+    assert rows(got, "order_id", "status", "order_date") == [
+        ("a", "late", at[2]), ("b", "delivered", at[2])]
+
+
 def backwards(spark, feed, parts):
     """Files in an order in which most orders are late."""
     for part in parts:
