@@ -133,7 +133,7 @@ def classified(pages: DataFrame, key: str = "page_id", url: str = "url",
     rows = rows.join(F.broadcast(hot.select("digest", F.col("keeper").alias("hot"))),
                      "digest", "left")
     alone = F.col("hot").isNotNull() | ~large
-    rows = rows.withColumn("lookup", F.when(alone, F.concat(F.lit("-"), F.expr("uuid()")))
+    rows = rows.withColumn("lookup", F.when(alone, F.concat(F.lit("-"), F.monotonically_increasing_id()))
                            .otherwise(F.col("digest")))
     rows = rows.join(cold.select(F.col("digest").alias("lookup"), F.col("keeper").alias("cold")),
                      "lookup", "left")
