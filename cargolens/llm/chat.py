@@ -15,10 +15,17 @@ Null text counts as empty, a null role as the empty role. Records that are no JS
 fingerprint has no mapping get no turns and the layout `unknown`. Rows with a null conversation id
 form one conversation; rows of one turn number are ordered by role and text, repeated rows stay. An empty
 table gives an empty one. Only the named columns are read, so extra ones cannot clash.
+
+The variant parser takes no text of 20 million characters and no record of 128 MB. Records of more than
+`WHOLE` bytes get their fingerprint from an outline, in which texts are empty and equal neighbours
+among array items stand once, and their turns from a JSON reader without these limits (numbers that
+stand where a text should then keep their spelling). What no reader takes is an error, never a lost record. A
+conversation is one value, so it ends at the 2 GB of a value in Spark.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +35,7 @@ from cargolens.llm.common import free_name
 
 LOSS_ROLE = "assistant"
 TURNS = "array<struct<role:string,text:string>>"
+WHOLE = 16_000_000  # bytes of a record that the variant parser surely takes
 
 
 # --- marks --------------------------------------------------------------
@@ -112,18 +120,50 @@ class Mapping:
         parts = [leaf.split(".") for leaf in self.leaves()]
         return sorted({".".join(p[:k]) for p in parts for k in range(1, len(p) + 1)})
 
+    def kind(self) -> str:
+        """Type of the messages."""
+        return f"array<struct<`{self.role}`:string,`{self.text}`:string>>"
+
+    def schema(self) -> str:
+        """The type of a record in this layout."""
+        leaves = [(self.messages, self.kind())] if self.messages else [
+            (path, "string") for path, _ in self.fields]
+        tree: dict = {}
+        for path, kind in leaves:
+            *above, leaf = path.split(".")
+            inner = tree
+            for name in above:
+                inner = inner.setdefault(name, {})
+            inner[leaf] = kind
+
+        def written(of: dict) -> str:
+            return "struct<" + ",".join(f"`{k}`:{v if isinstance(v, str) else written(v)}"
+                                        for k, v in of.items()) + ">"
+
+        return written(tree)
+
     def turns(self, record: Column) -> Column:
         """The canonical turns of a JSON record in this layout."""
         value = F.try_parse_json(record)
+        # Without the limits; the outline has shown that the record is sound, so a failure is one of size.
+        read = F.from_json(record, self.schema(), {"mode": "FAILFAST", "maxStringLen": str(2**31 - 1)})
+
+        def large(path: str) -> Column:
+            found = read
+            for name in path.split("."):
+                found = found[name]
+            return found
 
-        def field(path: str, kind: str) -> Column:
-            return F.try_variant_get(value, f"$.{path}", kind)
+        return F.when(is_whole(record), self.turns_of(
+            lambda path, kind: F.try_variant_get(value, f"$.{path}", kind))).otherwise(
+                self.turns_of(lambda path, _: large(path)))
 
+    def turns_of(self, field: Callable[[str, str], Column]) -> Column:
         if not self.messages:
             return F.array(*(F.struct(F.lit(role).alias("role"),
                                       field(path, "string").alias("text"))
                              for path, role in self.fields))
-        items = field(self.messages, f"array<struct<`{self.role}`:string,`{self.text}`:string>>")
+        items = field(self.messages, self.kind())
 
         def turn(item: Column) -> Column:
             role = item[self.role]
@@ -174,6 +214,31 @@ MAPPINGS = (
 )
 
 
+# A JSON string. Possessive, so that long ones need no stack.
+STRING = r'"(?:[^"\\\x00-\x1f]++|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+"'
+
+
+def is_whole(record: Column) -> Column:
+    return F.coalesce(F.octet_length(record), F.lit(0)) <= WHOLE
+
+
+def outline(record: Column) -> Column:
+    """The record with empty texts; of equal flat objects in a row the first stands alone."""
+    body = STRING[1:-1]
+    empty = F.regexp_replace(record, rf'({STRING}\s*+:)|("){body}(")', "$1$2$3")
+    item = rf'\{{(?:[^{{}}"]++|{STRING})*+\}}'
+    return F.regexp_replace(empty, rf"({STRING})|({item})(?:\s*+,\s*+\2)++", "$1$2")
+
+
+def parsed(record: Column) -> Column:
+    """The record, or the outline of a large one, as a variant; null when it is no JSON."""
+    short = outline(record)
+    refused = F.raise_error(F.lit("a record's outline is too large to tell its layout"))
+    return F.when(is_whole(record), F.try_parse_json(record)).otherwise(
+        F.when(is_whole(short), F.try_parse_json(short)).otherwise(
+            F.coalesce(F.try_parse_json(short), refused.cast("variant"))))
+
+
 def path_hash(paths: Column) -> Column:
     return F.xxhash64(F.array_join(F.array_sort(F.array_distinct(paths)), "\n"))
 
@@ -184,7 +249,7 @@ def fingerprint(record: Column) -> Column:
     The paths come from the record's own schema. Type names and the depth marks are dropped, so a
     layout keeps its fingerprint whether a field is text or null.
     """
-    schema = F.schema_of_variant(F.try_parse_json(record))
+    schema = F.schema_of_variant(parsed(record))
     # OBJECT<a: ARRAY<OBJECT<b: STRING>>> is walked as a list of tokens with a stack of names.
     tokens = F.regexp_extract_all(
         schema, F.lit(r"(`(?:[^`]|``)*`: |[^\s<>,:`]+: |OBJECT<|ARRAY<|>)"), F.lit(1))
@@ -214,22 +279,29 @@ def fingerprint(record: Column) -> Column:
 
 
 def canonical(records: DataFrame, record: str, mappings=MAPPINGS,
-              layout: str = "layout", turns: str = "turns") -> DataFrame:
-    """`records` with the layout's name and its canonical turns."""
+              layout: str = "layout", turns: str = "turns", strict: bool = False) -> DataFrame:
+    """`records` with the layout's name and its canonical turns.
+
+    With `strict`, for records that are known to be in one of the layouts, one that is not is an error.
+    """
     print_name = free_name(records, "__fingerprint")
     marked = records.withColumn(print_name, fingerprint(F.col(record)))
-    name, found = F.lit("unknown"), F.array().cast(TURNS)
+    none = F.array().cast(TURNS)
+    if strict:
+        none = F.raise_error(F.lit("a record is in none of the layouts")).cast(TURNS)
+    name, found = F.lit("unknown"), none
     for mapping in reversed(mappings):
         known = F.col(print_name) == path_hash(F.array(*map(F.lit, mapping.paths())))
         name = F.when(known, F.lit(mapping.name)).otherwise(name)
         found = F.when(known, F.coalesce(mapping.turns(F.col(record)).cast(TURNS),
-                                         F.array().cast(TURNS))).otherwise(found)
+                                         none)).otherwise(found)
     return marked.withColumn(layout, name).withColumn(turns, found).drop(print_name)
 
 
-def chat_table(records: DataFrame, key: str, record: str, mappings=MAPPINGS) -> DataFrame:
+def chat_table(records: DataFrame, key: str, record: str, mappings=MAPPINGS,
+               strict: bool = False) -> DataFrame:
     """Key, layout, formatted text and its pieces with the loss mask, for every record."""
-    found = canonical(records.select(key, record), record, mappings, "__layout", "__turns")
+    found = canonical(records.select(key, record), record, mappings, "__layout", "__turns", strict)
     pieces = found.select(key, F.col("__layout").alias("layout"),
                           segments(F.col("__turns")).alias("pieces"))
     return pieces.withColumn("formatted", formatted(F.col("pieces")))

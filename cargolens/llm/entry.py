@@ -38,7 +38,8 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.range(2).select(F.lit(-7), F.col("id"), F.when(F.col("id") == 0, "user")
                                 .otherwise("assistant"), F.lit(CONTROL))
     records = chat.gathered(rows.union(own))
-    return chat.digests(chat.chat_table(records, "conv_id", "record"), "conv_id")
+    return chat.digests(chat.chat_table(records, "conv_id", "record", strict=True),
+                        "conv_id")
 
 
 def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:

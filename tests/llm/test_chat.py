@@ -101,3 +101,41 @@ def test_odd_rows(spark):
     assert table.where("layout = 'unknown'").count() == 0
     empty = chat.chat_table(chat.gathered(df.where("false")), "conv_id", "record")
     assert chat.digests(empty, "conv_id").collect() == []
+
+
+def test_long_texts_and_records(spark):
+    """Beyond 20 million characters of a text, and 128 MB of a record."""
+    sizes = {1: [20_100_000], 2: [5, 20_100_000], 3: [18_000_000] * 8, 4: [5, 5, 20_100_000]}
+    roles = {2: ["user", "assistant"], 4: ["system", "user", "assistant"]}
+    rows = [(c, k, roles.get(c, ["assistant"] * 8)[k], n) for c, of in sizes.items()
+            for k, n in enumerate(of)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, n int").select(
+        "conv_id", "turn", "role", F.expr("repeat('x', n)").alias("text"))
+    table = chat.chat_table(chat.gathered(df), "conv_id", "record", strict=True)
+    got = {r["conv_id"]: r for r in table.select("conv_id", "layout", F.transform(
+        F.filter("pieces", lambda p: p["loss"]), lambda p: F.length(p["text"])).alias("n")).collect()}
+    assert {k: r["n"] for k, r in got.items()} == {
+        k: of[-1:] if k in roles else of for k, of in sizes.items()}
+    assert "unknown" not in {r["layout"] for r in got.values()}
+
+
+def test_large_records_are_read_like_small_ones(spark, monkeypatch):
+    odd = [{"messages": [{"role": r"\" {}\\", "content": '{"a": 1}, {"a": 1}'}] * 3 + [
+        {"role": "x", "content": "é\n\x01"}]}, {"messages": [{"{x},{x}": "a"}]}]
+    texts = [json.dumps(r) for r, _, _ in RECORDS] + [json.dumps(r) for r in odd] + [
+        "{oops", None, r'{"prompt":"\q","completion":"b"}', '{"prompt":"a\nb","completion":"b"}',
+        '{"prompt":"a","completion":"b","prompt":"c"}', '{"prompt": null, "completion": "[1]"}']
+    df = spark.createDataFrame(list(enumerate(texts)), "key int, record string")
+    small = sorted(map(str, chat.canonical(df, "record").collect()))
+    monkeypatch.setattr(chat, "WHOLE", 60)
+    mixed = sorted(map(str, chat.canonical(df.where("length(record) > 60"), "record").collect()))
+    assert mixed and set(mixed) <= set(small)
+    monkeypatch.setattr(chat, "WHOLE", 0)
+    monkeypatch.setattr(chat, "parsed", lambda r: F.try_parse_json(chat.outline(r)))
+    assert sorted(map(str, chat.canonical(df, "record").collect())) == small
+
+
+def test_own_records_must_be_known(spark):
+    df = spark.createDataFrame([(1, '{"a": "b"}')], "key int, record string")
+    with pytest.raises(Exception, match="none of the layouts"):
+        chat.chat_table(df, "key", "record", strict=True).select("formatted").collect()
