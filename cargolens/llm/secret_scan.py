@@ -30,7 +30,8 @@ ASSIGN_HINTS = ("passw", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}")
+# May stand right after "=", as in NAME=value; "=" belongs to a run only as padding at its end.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 # MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 in hexadecimal digits.
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)

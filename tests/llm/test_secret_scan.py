@@ -59,3 +59,17 @@ def test_redaction():
     text = f"a password={RANDOM} b {RANDOM} c"
     assert secret_scan.redact(text, secret_scan.find(text)) == "a [SECRET] b [SECRET] c"
     assert secret_scan.redact("plain", []) == "plain"
+
+
+def test_values_of_names():
+    for before, after in (("AUTH=", ""), ("DB_PWD=", "\n"), ("https://a.b/c?sig=", "&x=1"), ('AUTH="', '"'),
+                          ("AUTH='", "'"), ("AUTH= ", ""), ("a==", "=="), ("export X=", ";"),
+                          ("MY_LONG_SERVICE_ACCOUNT_AUTH=", " ")):
+        text = f"see {before}{RANDOM}{after}"
+        (start, kind, end), = secret_scan.find(text)
+        assert (kind, text[start:end].rstrip("=")) == (3, RANDOM)
+        hidden = f"see {before}[SECRET]{after.lstrip('=')}"
+        assert secret_scan.redact(text, secret_scan.find(text)) == hidden
+    for harmless in ("PATH=path/to/some_long_file_name_2024", "id=550e8400-e29b-41d4-a716-446655440000",
+                     "name=some_long_variable_name", "md5=D41D8CD98F00B204E9800998ECF8427E"):
+        assert secret_scan.find(harmless) == []
