@@ -159,7 +159,6 @@ def tokenizer(path: str | None):
     from cargolens.llm.secret_scan import vocabulary
 
     reference = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
-    reference.encode_special_tokens = True
     return reference, vocabulary(None) if path is None else None
 
 
@@ -181,21 +180,26 @@ class Ids:
     """Token ids of texts as little-endian unsigned 32-bit numbers.
 
     The tokenizer's pattern never joins what stands before a single space with what follows it,
-    so a text without two white space characters in a row is split at its spaces.
+    so a text without two white space characters in a row is split at its spaces. Added tokens such as
+    `<|endoftext|>`, which have one id wherever they stand and which the twin does not know, are an
+    exception: a text with one goes to the tokenizer whole.
     """
 
     def __init__(self, path: str | None):
         self.reference, self.twin = tokenizer(path)
+        self.added = [t.content for t in self.reference.get_added_tokens_decoder().values()]
         self.after_space = Words(self.encode)
 
-    def encode(self, text: str) -> bytes:
-        if self.twin is not None and max(text, default="") < LATIN:
+    def encode(self, text: str, plain: bool = True) -> bytes:
+        if plain and self.twin is not None and max(text, default="") < LATIN:
             ids = self.twin.encode_ordinary(text)
         else:
             ids = self.reference.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            return self.encode(text, plain=False)
         if BLANKS.search(text) or text[:1].isspace() or text[-1:].isspace():
             return self.encode(text)
         first, *rest = text.split(" ")

@@ -113,3 +113,19 @@ def test_packed_examples(spark):
         assert sum(r["loss_tokens"] for r in items) <= 512
     need = max(sum(r[1] for r in rows) / 1024, len(rows) / 8, sum(r[2] for r in rows) / 512)
     assert len(bins) <= 1.15 * need + 8
+
+
+def test_added_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["<|endoftext|> x", "a <|endoftext|> x", "a<|endoftext|><|endoftext|>", "<|endoftext|>  é",
+             "no <|ENDOFTEXT|> and <|endoftext |>", "word " * 2000 + "中<|endoftext|>"]
+    for text in texts:
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(packing.ids_of(None)(text), "<u4").tolist() == want
+    assert plain.encode(texts[0], add_special_tokens=False).ids == [50256, 2124]
+    df = spark.createDataFrame([(1, texts[0])], "doc_id bigint, text string")
+    row = packing.packed_documents(df).first()
+    assert (row["doc_tokens"], row["ids_crc32"]) == (
+        3, zlib.crc32(np.array([50256, 2124, packing.END], "<u4").tobytes()))
