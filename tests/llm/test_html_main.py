@@ -59,3 +59,41 @@ def test_odd_tables(spark):
     rows = sorted(map(tuple, html_main.extract(df).collect()), key=repr)
     assert rows == sorted([(1, None, "", 0), (1, None, "", 0), (None, "u", "x", 1)], key=repr)
     assert html_main.extract(df.where("false")).collect() == []
+
+
+def test_wrappers_with_unlikely_names():
+    one = " ".join(LONG.split())
+    body = f"<p>{LONG}</p><p>{LONG}</p>"
+    for start, end in (("<div class='layout has-sidebar'>", "</div>"), ("<form id='aspnetForm'>", "</form>"),
+                       ("<div id='content-sidebar-wrap'>", "</div>"), ("<nav>", ""),
+                       ("<div class='page sticky-header'><form>", "</form></div>")):
+        for inside in (body, f"<article>{body}</article>", f"<main>{body}</main>",
+                       f"<div>{body}</div><div class='sidebar'><p>{LONG}</p></div>",
+                       f"<article>{body}</article><section id='comments'><p>{LONG * 40}</p></section>"):
+            page = f"<body><header>Site</header>{start}{inside}{end}<footer>Notes</footer></body>"
+            assert html_main.main_text(page) == f"{one}\n\n{one}", page
+    short = "<body><div class='page sticky-header'><p>Short.</p></div></body>"
+    assert html_main.main_text(short) == "Short."
+    hidden = f"<body><div hidden>{body}</div><p>Short.</p></body>"
+    assert html_main.main_text(hidden) == "Short."
+
+
+def test_long_parts_stay_out():
+    one = " ".join(LONG.split())
+    page = f"""<article><p>{LONG}</p></article><section id="comments"><article class="comment"><p>{LONG * 40}</p>
+    </article></section><div class="related"><article><p>{one[:100]}</p></article></div>"""
+    assert html_main.main_text(page) == one
+
+
+def test_unclosed_elements():
+    one = " ".join(LONG.split())
+    for odd in ("<svg><path d='x'>", "<object data='x'>", "<select><option>Choice", "<video src='x'>",
+                "<iframe src='x'>", "<svg><svg></svg>", "<noscript>", "<svg><g>x<select>"):
+        for page in (f"<div>{odd}</div><article><p>{LONG}</p></article>",
+                     f"<article>{odd}<p>{LONG}</p></article>",
+                     f"<article>{odd}<p>{LONG}</p><svg><text>no</text></svg></article>",
+                     f"<div>{odd}<div><p>{LONG}</p></div></div>"):
+            assert html_main.main_text(page) == one, page
+    assert html_main.main_text(f"<p>{LONG}</p><object><div><p>Fallback</p></div></object>") == one
+    many = "<svg>" * 20_000 + f"<p>{LONG}</p>" + "<div><svg></div>" * 20_000
+    assert html_main.main_text(many) == one
