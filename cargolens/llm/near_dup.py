@@ -253,9 +253,8 @@ def link_classes(docs: DataFrame, key: str, text: str, reps: DataFrame,
         classed = with_classes(members)
 
 
-def classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
-            least: float = SIMILARITY) -> DataFrame:
-    """One row per row of `docs`: its id and its class, named by the smallest id in it."""
+def classified(docs: DataFrame, key: str, text: str, least: float) -> DataFrame:
+    """(id, digest, class_id) of every row of `docs`; the digest is null without words."""
     rows = nodes_of(docs, key, text)
     worded = rows.where(F.col("digest").isNotNull())
     reps = stored(worded.groupBy("digest").agg(F.min("id").alias("node"),
@@ -268,19 +267,35 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
     found = lookup_join(rows.select("id", "digest"), stored(named, "named"), "digest", "left",
                         spread=["id"])
     own = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("class_id"))
-    return found.select(F.col("id").alias(key), own.alias("class_id"))
+    return found.select("id", "digest", own.alias("class_id"))
+
+
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
+            least: float = SIMILARITY) -> DataFrame:
+    """One row per row of `docs`: its id and its class, named by the smallest id in it."""
+    return classified(docs, key, text, least).select(F.col("id").alias(key), "class_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The row of the smallest id of every class, once, with its columns; rows without id stay."""
-    found = stored(classes(docs, key, text).where(F.col(key).isNotNull()), "classes")
+    """The row of the smallest id of every class, once, with its columns; rows without id stay.
+
+    Of an id with several texts only those go that are in the class of a smaller id. Near copies are
+    still looked for with one text per id, the smallest.
+    """
+    found = stored(classified(docs, key, text, SIMILARITY).where(F.col("id").isNotNull()), "classes")
     name = free_name(docs, "__key")
-    gone = found.where(F.col(key) != F.col("class_id")).select(F.col(key).alias(name)).distinct()
-    kept = docs.join(gone, F.col(key) == F.col(name), "left_anti")
-    often = found.groupBy(key).count().where("count > 1").select(F.col(key).alias(name))
+    copies = found.where(F.col("id") != F.col("class_id"))
+    gone = copies.select(F.col("id").alias(name)).distinct()
+    often = found.groupBy("id").count().where("count > 1").select(F.col("id").alias(name))
     if often.isEmpty():
-        return kept
+        return docs.join(gone, F.col(key) == F.col(name), "left_anti")
     often = stored(often, "repeated")
-    once = kept.join(often, F.col(key) == F.col(name), "left_anti")
-    again = kept.join(often, F.col(key) == F.col(name), "left_semi").dropDuplicates([key])
+    once = (docs.join(often, F.col(key) == F.col(name), "left_anti")
+            .join(gone, F.col(key) == F.col(name), "left_anti"))
+    digest = free_name(docs, "__digest")
+    texts = copies.select(F.col("id").alias(name), F.col("digest").alias(digest)).distinct()
+    again = (docs.join(often, F.col(key) == F.col(name), "left_semi")
+             .join(texts, (F.col(key) == F.col(name))
+                   & (F.md5(F.col(text).cast("binary")) == F.col(digest)), "left_anti")
+             .dropDuplicates([key]))
     return once.union(again)

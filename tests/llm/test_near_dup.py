@@ -103,6 +103,14 @@ def test_repeated_rows_leave_one(spark):
     assert sorted(r["doc_id"] for r in near_dup.keep_one(df).collect()) == [5, 6]
 
 
+def test_a_shared_id_does_not_take_other_texts_along(spark):
+    one, two = "a b c d e f g h i j k l m n o p", "q r s t u v w x y z and so on"
+    rows = [(3, one), (5, one), (5, two), (5, two), (6, one + " q"), (7, two), (8, "eight alone")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted(map(tuple, near_dup.keep_one(df).collect()))
+    assert kept == [(3, one), (5, two), (8, "eight alone")]
+
+
 @pytest.mark.parametrize("most", [1, 3, 9])
 def test_signatures_are_unbiased(most):
     rng = np.random.default_rng(most)
