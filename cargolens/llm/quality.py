@@ -226,7 +226,8 @@ def fit(texts: list[str], good: list[bool], prior: float, rounds: int = 60) -> M
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
           label: str = "quality", per_class: int = SAMPLE_PER_CLASS) -> Model | None:
-    """Fit on at most `per_class` labelled rows of each class, those of the smallest key hashes.
+    """Fit on at most `per_class` labelled rows of each class, those of the smallest key hashes
+    among the rows of at most `SAMPLE_CHARS` characters.
 
     What the driver gets is that sample, bounded in rows and characters. The proportions of the classes
     are counted over all labels.
@@ -240,8 +241,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
              .select(key, F.col(text).alias("__text")))
     picked = []
     for value in (0, 1):
+        # Long texts are left out first, so that others of the class take their places.
         chosen = (known.where(F.col("__label") == value).select(key).distinct()
-                  .orderBy(F.xxhash64(key), key).limit(per_class))
+                  .join(short.select(key), key, "left_semi").orderBy(F.xxhash64(key), key).limit(per_class))
         found = (short.join(F.broadcast(chosen), key).groupBy(key)
                  .agg(F.min("__text").alias("__text")).orderBy(key).toArrow())
         picked += [(k, t, value == 1) for k, t in

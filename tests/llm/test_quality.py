@@ -77,3 +77,15 @@ def test_odd_tables(spark):
 @pytest.mark.parametrize("good", [[True] * 20, [False] * 20])
 def test_one_class_gives_no_model(good):
     assert quality.fit(["a b"] * 20, good, 0.5) is None
+
+
+def test_long_rows_do_not_shrink_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_CHARS", 20)
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda texts, good, prior: seen.append((texts, good)))
+    docs = spark.createDataFrame([(k, f"text {k}" + " long" * 10 * (k % 4 != 0)) for k in range(80)],
+                                 "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k // 4 % 2) for k in range(80)], "doc_id bigint, quality int")
+    quality.train(docs, labels, per_class=10)
+    (texts, good), = seen
+    assert len(texts) == 20 and sum(good) == 10 and max(map(len, texts)) <= 20
