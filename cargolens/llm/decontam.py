@@ -112,11 +112,14 @@ class Index:
         if not self.chunks:
             return
         known, n_terms = self.terms, len(self.terms)
-        keys, first, owner = [], 0, []
+        keys, back, first, owner = [], [], 0, []
         for k, words in enumerate(texts):
             ids = np.fromiter(map(known.get, words, itertools.repeat(-1)), np.int64, len(words))
             at = np.flatnonzero(ids >= 0)
             keys.append((first + at // STEP) * n_terms + ids[at])
+            # A step is also the second one of a passage, but for a text's first: what is
+            # before that belongs to another text.
+            back.append(keys[-1][at >= STEP] - n_terms)
             steps = len(words) // STEP + 2  # with an empty step, so that texts do not touch
             owner += [k] * steps
             first += steps
@@ -124,7 +127,7 @@ class Index:
         if not len(keys):
             return
         # Passage k is the steps k and k + 1 of a text.
-        both = np.unique(np.concatenate([keys, keys[keys >= n_terms] - n_terms]))
+        both = np.unique(np.concatenate([keys, *back]))
         passage, term = np.divmod(both, n_terms)
         edges = np.searchsorted(passage, np.arange(first + 1))
         opened = self.by_block.reached(passage, term, first)

@@ -79,3 +79,14 @@ def test_retrieval_is_all_above_the_threshold():
                 if score >= least:
                     want.add((d, item, round(score, 6)))
     assert {(d, i, round(s, 6)) for d, i, s in got} == want
+
+
+def test_neighbours_in_a_batch_do_not_matter():
+    """A text's leaks and scores are the same alone and beside texts that hold the item."""
+    index = decontam.build([(1, ITEM, None), (2, " ".join(f"v{i}" for i in range(60)), None)])
+    texts = [ITEM, f"so {ITEM}", None, "", f"{'and ' * 40}{ITEM}", "seven eight nine", ITEM,
+             " ".join(f"v{i}" for i in range(70)), ITEM]
+    together = list(decontam.leaks_of(index, texts))
+    alone = [(k, *f[1:]) for k, text in enumerate(texts) for f in decontam.leaks_of(index, [text])]
+    assert sorted(together) == sorted(alone)
+    assert {k for k, *_ in together} >= {0, 1, 4, 6, 7, 8}
