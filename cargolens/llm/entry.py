@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolens.llm import chat, decontam, html_main, langid, lm_score, near_dup, packing, quality, secret_scan, warc
+from cargolens.llm import chat, decontam, html_main, langid, lm_score, near_dup, packing, periodic, quality, secret_scan, warc
 from cargolens.llm.common import fold, table
 
 
@@ -61,8 +61,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.with_probes(table(spark, sf_dir, "documents"))
+    return periodic.digests(periodic.find(docs))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_secret_scan, op3_near_dup, op4_packing, op5_html_main, op6_chat, op7_decontam, op8_langid, op9_lm_score, op10_warc)}
+    op1_quality_rules, op2_secret_scan, op3_near_dup, op4_packing, op5_html_main, op6_chat, op7_decontam, op8_langid, op9_lm_score, op10_warc,
+    op13_periodic)}
 
 # Only where SQL can say the same; the others are tested against brute force.
 ORACLES: dict[str, str] = {
