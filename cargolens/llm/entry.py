@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolens.llm import chat, decontam, html_main, langid, lm_score, near_dup, packing, periodic, quality, secret_scan, warc
+from cargolens.llm import chat, decontam, html_main, langid, lm_score, near_dup, packing, periodic, quality, ranked, secret_scan, warc
 from cargolens.llm.common import fold, table
 
 
@@ -61,6 +61,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic.with_probes(table(spark, sf_dir, "documents"))
     return periodic.digests(periodic.find(docs))
@@ -68,7 +72,7 @@ def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_secret_scan, op3_near_dup, op4_packing, op5_html_main, op6_chat, op7_decontam, op8_langid, op9_lm_score, op10_warc,
-    op13_periodic)}
+    op12_ranked_search, op13_periodic)}
 
 # Only where SQL can say the same; the others are tested against brute force.
 ORACLES: dict[str, str] = {
@@ -103,4 +107,24 @@ ORACLES: dict[str, str] = {
         select page_id, payload_bytes, payload_digest,
                case when again then 'revisit' else 'response' end as record_type,
                case when again then keeper end as refers_to from r""",
+    "op12_ranked_search": r"""
+        with dt as (select doc_id, unnest(regexp_extract_all(
+                        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents),
+        sizes as (select doc_id, count(*) as n from dt group by doc_id),
+        whole as (select count(*) as docs, sum(n)::bigint as words from sizes),
+        tfs as (select doc_id, term, count(*) as tf from dt group by doc_id, term),
+        ws as (select term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::bigint as w
+               from tfs, whole group by term),
+        qs as (select item_id, unnest(regexp_extract_all(
+                        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+        asked as (select item_id, term, count(*) as c from qs group by item_id, term),
+        sums as (select item_id, doc_id, sum(c * w * ((1000000000 * tf)
+                            // (1000 * tf + 8 * (25 + (75 * n * docs) // words))))::bigint as score
+                 from asked join ws using (term) join tfs using (term) join sizes using (doc_id), whole
+                 group by item_id, doc_id)
+        select item_id, rank, doc_id, score
+        from (select *, (row_number() over (partition by item_id order by score desc, doc_id))::integer as rank
+              from sums where score > 0) where rank <= 10""",
 }
