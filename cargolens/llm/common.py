@@ -46,9 +46,3 @@ def fold(key: str, folds: int) -> Column:
     """crc32 of the key's text modulo `folds`: the split into training and held-out rows."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % folds
 
-
-def stored_by(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Like `stored_small`, with a folder for each value of `column`, so that readers open only theirs."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").partitionBy(column).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,21 +1,23 @@
 """Ranked lexical search: the best documents per item by the NRA method (no random access).
 
 Every term has a list of the documents that hold it, sorted by what the term adds to a document's score (its
-points). The lists are cut at common borders of points, each half of the one before, into bands that are stored
-apart, so all lists are read from their tops to the same border before the next band is opened. What has been seen
-of a document gives it an interval: its score is at least the points seen, and at most these and, for every list of
-the item in which it has not been seen, the most that can still come there: less than the border, no more than
-the list's first points, and nothing once the list has ended.
-
-After each band the k-th best lower end is the item's threshold. A document whose upper end is below it leaves. When
-what a wholly unseen document could still reach is below it too, the item is closed: the membership can only
-shrink, and bands are read for its candidates alone. When all items are closed the remaining bands are read in one go.
-An item is resolved when every candidate's interval is a point, so members, ties and scores are final; items that are
-resolved are not read for any more. Ties go to the smaller key, null keys last, then to the row read first.
-
-Common terms add little, so their long lists stand in late bands, and by then items are mostly closed: the lists are
-joined with few candidates and not with all items. The words of the items reach the scan of the documents as a
-bitmap of fixed size (`BITS`), which may let other words pass but loses none; those drop out in the join.
+points). All lists are read from their tops, and all to the same border before any is read on. What has been seen of a
+document gives it an interval: its score is at least the points seen, and at most these and, for every list of the
+item in which it has not been seen, the most that can still come there: less than the border, no more than the list's
+first points, and nothing once the list has ended. Reading stops for an item as soon as its intervals allow:
+
+* The first stop, where at most `FIRST` of all that the items could read has been read, gives every item a threshold: a
+  score that k documents have already. An item with fewer documents there reads on to the end for its threshold.
+* The second stop is each item's own: the border at which an unseen document could reach no more than a share
+  (`UNSEEN`) of its threshold. A document whose upper end is below the threshold leaves; few candidates stay.
+* Items whose candidates' intervals are not all points by then read the rest of their lists for these candidates, until
+  members, ties and scores are final.
+
+Ties go to the smaller key, null keys last, then to the row read first. The lists are stored in buckets of documents, each
+sorted by points, so that a reading opens the upper part of each bucket and adds up a document's points where they
+are: what the items' common words meet in almost all documents is never shuffled nor stored. The words of the items reach
+the scan of the documents as a bitmap of fixed size (`BITS`), which may let other words pass but loses none; those drop
+out in the join.
 
 Terms are the maximal stretches of ASCII letters and digits and of all characters from 128 on; A-Z become a-z. Null and
 empty texts have no terms, are no results and do not count as documents; items without terms have no results. Texts of
@@ -35,11 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cargolens.llm.common import stored_by, stored_small
-from cargolens.operators.joins import lookup_join
+from cargolens.llm.common import stored_small
+from cargolens.operators.joins import lookup_join, shuffle_width
+from cargolens.sources.workspace import fresh_path
 
 BITS = 1 << 23  # places of the bitmap of item words: 1 MB
-HALVINGS = 12  # borders above zero
+HALVINGS = 12  # borders above zero, each half of the one before
+FIRST = 1 / 8  # share of the items' lists that is read at most before the first thresholds
+UNSEEN = 1 / 4  # share of the threshold that an unseen document may still reach at the second stop
+STEPS = 64  # classes of scores per octave when thresholds are counted
 REMEMBERED = 1 << 18  # words whose place in the bitmap a task remembers
 ROWS = 1024  # rows of an output batch
 FULL = 1_000_000  # every impact is below this
@@ -139,78 +145,105 @@ def with_points(postings: DataFrame, documents: int, length: int):
             .withColumn("points", F.expr("w * ((1000000000 * times) div (1000 * times + 8 * m))")))
 
 
-def bands(postings: DataFrame, borders: list[int]) -> DataFrame:
-    """The lists cut at `borders` (falling): band k holds the points from borders[k] up to borders[k - 1]."""
-    band = sum(((F.col("points") < b).cast("int") for b in borders[:-1]), F.lit(0))
-    return postings.select("row", "id", "term", "points", band.alias("band"))
+def impact_sorted(postings: DataFrame) -> DataFrame:
+    """The postings (row, t, points) in buckets of rows, sorted by points in each."""
+    spark, width = postings.sparkSession, shuffle_width(postings)
+    path = fresh_path(spark, "lists")
+    name = f"lists_{path.rpartition('-')[2]}"
+    (postings.repartition(width, "row").write.option("path", path).option("compression", "zstd")
+     .bucketBy(width, "row").sortBy("points").saveAsTable(name))
+    return spark.table(name)
 
 
-class Race:
-    """The reading of all items' lists, band by band."""
+class Reading:
+    """The lists of all items: `lists` (item, t, count, first, last) and `postings` (row, t, points)."""
 
     def __init__(self, lists: DataFrame, postings: DataFrame, borders: list[int], k: int):
         self.lists, self.postings, self.borders, self.k = lists, postings, borders, k
 
-    def ranked(self, candidates: DataFrame) -> DataFrame:
-        order = W.partitionBy("item").orderBy(F.desc("low"), F.asc_nulls_last("id"), "row")
-        return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= self.k)
-
-    def still(self, border: int):
+    @staticmethod
+    def still(border):
         """The most a list can still give to a document that has not been seen in it."""
         return F.col("count") * F.when(F.col("last") >= border, 0).otherwise(
-            F.least("first", F.lit(border - 1)))
-
-    def read(self, low: int, high: int, seen: DataFrame | None, items: DataFrame | None) -> DataFrame:
-        """Points of the bands from `low` to `high` for open items, and for the candidates of closed ones."""
-        postings = self.postings.where(F.col("band").between(low, high)).drop("band")
-        fields = ("item", "row", "id", "count", "first", "last",
-                  (F.col("points") * F.col("count")).alias("points"))
-        if items is None:
-            return lookup_join(postings, self.lists, "term").select(*fields)
-        open_lists = self.lists.join(items.where("not closed").select("item"), "item", "left_semi")
-        parts = [lookup_join(postings, open_lists, "term").select(*fields)]
-        going = items.where("closed and not resolved").select("item")
-        candidates = lookup_join(seen.select("item", "row"), going.withColumn("__go", F.lit(1)),
-                                 "item").select("item", "row").distinct()
-        wanted = lookup_join(candidates, self.lists, "item", spread=["item", "row"])
-        parts.append(wanted.join(postings, ["row", "term"]).select(*fields))
-        return parts[0].unionByName(parts[1])
-
-    def judge(self, seen: DataFrame, border: int) -> tuple[DataFrame, DataFrame]:
-        """(candidates with their interval's ends, items with threshold and state) after reading to `border`."""
-        ends = (seen.groupBy("item", "row", "id")
-                .agg(F.sum("points").alias("low"), F.sum(self.still(border)).alias("met")))
-        best = (self.ranked(ends).groupBy("item")
-                .agg(F.when(F.count("*") == self.k, F.min("low")).alias("least")))
-        rest = self.lists.groupBy("item").agg(F.sum(self.still(border)).alias("rest"))
-        items = stored_small(rest.join(best, "item", "left"), "thresholds")
-        bound = F.col("low") + F.col("rest") - F.col("met")
-        alive = (lookup_join(ends, items, "item", spread=["item", "row"])
-                 .withColumn("high", bound)
-                 .where((F.col("high") >= F.col("least")) | F.col("least").isNull()))
-        alive = stored_small(alive.select("item", "row", "id", "low", "high"), "candidates")
-        unsure = alive.groupBy("item").agg(F.max(F.col("high") - F.col("low")).alias("width"))
-        closed = (F.col("rest") == 0) | F.coalesce(F.col("rest") < F.col("least"), F.lit(False))
-        states = (items.join(unsure, "item", "left")
-                  .select("item", closed.alias("closed"),
-                          (closed & (F.coalesce("width", F.lit(0)) == 0)).alias("resolved")))
-        return alive, stored_small(states, "states")
+            F.least(F.col("first"), border - 1))
+
+    def seen(self, lists: DataFrame, *more) -> DataFrame:
+        """(item, row, low, ...) of all documents seen when `lists` are read down to their `stop`."""
+        least = lists.agg(F.min("stop")).first()[0]
+        upper = self.postings.where(F.col("points") >= F.lit(least))
+        met = lookup_join(upper, lists, "t").where("points >= stop")
+        return met.groupBy("item", "row").agg(F.sum(F.col("points") * F.col("count")).alias("low"), *more)
+
+    def thresholds(self, lists: DataFrame) -> DataFrame:
+        """(item, least) of the items of which k documents have `least` or more by now.
+
+        The scores are counted by classes, so the k best are not sorted out; `least` is at most a class, about
+        one percent, below the k-th best.
+        """
+        size = F.floor(F.log2(F.col("low")) * STEPS).alias("size")
+        classes = self.seen(lists).where("low > 0").groupBy("item", size).agg(
+            F.count("*").alias("n"), F.min("low").alias("least"))
+        downwards = W.partitionBy("item").orderBy(F.desc("size"))
+        counted = classes.withColumn("n", F.sum("n").over(downwards)).where(F.col("n") >= self.k)
+        return counted.groupBy("item").agg(F.max("least").alias("least"))
+
+    def first_stop(self) -> int:
+        times = self.lists.groupBy("t").agg(F.count("*").alias("times"))
+        readings = [F.sum(F.when(F.col("points") >= b, 1).otherwise(0)).alias(str(k))
+                    for k, b in enumerate(self.borders)]
+        per_term = self.postings.groupBy("t").agg(*readings).join(times, "t")
+        read = per_term.agg(*[F.sum(F.col(str(k)) * F.col("times")) for k in range(len(self.borders))]).first()
+        early = [b for b, n in zip(self.borders, read, strict=True) if n and n <= FIRST * read[-1]]
+        return early[-1] if early else self.borders[0]
+
+    def goals(self, thresholds: DataFrame) -> DataFrame:
+        """(item, least, stop, rest): where each item stops next, and what an unseen document can reach then."""
+        borders = F.explode(F.array(*[F.lit(b).cast("bigint") for b in self.borders])).alias("stop")
+        rests = (self.lists.select("*", borders).groupBy("item", "stop")
+                 .agg(F.sum(self.still(F.col("stop"))).alias("rest")))
+        known = rests.join(thresholds, "item", "left").withColumn("least", F.coalesce("least", F.lit(0)))
+        enough = (F.col("rest") < UNSEEN * F.col("least")) | (F.col("stop") == 0)
+        return known.where(enough).groupBy("item", "least").agg(
+            F.max(F.struct("stop", "rest")).alias("s")).select("item", "least", "s.*")
+
+    def ranked(self, candidates: DataFrame, *ties) -> DataFrame:
+        order = W.partitionBy("item").orderBy(F.desc("low"), *ties)
+        return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= self.k)
+
+    def finished(self, candidates: DataFrame, lists: DataFrame) -> DataFrame:
+        """The candidates of unresolved items with all their points, the others as they are."""
+        best = self.ranked(candidates).groupBy("item").agg(
+            F.when(F.count("*") == self.k, F.min("low")).otherwise(0).alias("best"))
+        near = lookup_join(candidates, best, "item", spread=["item", "row"]).where("high >= best")
+        near = stored_small(near.select("item", "row", "low", "high"), "near")
+        unsure = stored_small(near.where("high > low").select("item").distinct(), "unsure")
+        if unsure.isEmpty():
+            return near
+        going = lookup_join(near, unsure.withColumn("__go", F.lit(True)), "item", "left",
+                            spread=["item", "row"])
+        rest = (going.where("__go").select("item", "row").join(self.postings, "row")
+                .join(lists, ["item", "t"]).where("points < stop")
+                .select("item", "row", (F.col("points") * F.col("count")).alias("low")))
+        return near.select("item", "row", "low").unionByName(rest).groupBy("item", "row").agg(
+            F.sum("low").alias("low"))
 
     def run(self) -> DataFrame:
-        """The k best (item, rank, row, id, low) of every item; `low` is the score."""
-        seen = items = alive = None
-        band, last = 0, len(self.borders) - 1
-        while True:
-            until = last if items is not None and items.where("not closed").isEmpty() else band
-            new = self.read(band, until, seen, items)
-            if seen is not None:
-                kept = seen.join(alive.select("item", "row"), ["item", "row"], "left_semi")
-                new = kept.unionByName(new)
-            seen = stored_small(new, "seen")
-            alive, items = self.judge(seen, self.borders[until])
-            if until == last or items.where("not resolved").isEmpty():
-                return self.ranked(alive.where("low > 0"))
-            band = until + 1
+        """(item, row, low) of the documents that can be among the best; `low` is the score."""
+        early = self.lists.withColumn("stop", F.lit(self.first_stop()).cast("bigint"))
+        thresholds = stored_small(self.thresholds(early), "thresholds")
+        late = self.lists.join(thresholds, "item", "left_anti").withColumn("stop", F.lit(0).cast("bigint"))
+        if not late.isEmpty():
+            thresholds = stored_small(thresholds.unionByName(self.thresholds(late)), "thresholds")
+        goals = stored_small(self.goals(thresholds), "goals")
+        lists = stored_small(self.lists.join(goals, "item").withColumn("still", self.still(F.col("stop"))),
+                             "lists")
+        # The item's figures come with its lists, so that the many documents seen need no join.
+        high = F.col("low") + F.col("rest") - F.col("met")
+        seen = self.seen(lists, F.sum("still").alias("met"), F.max("rest").alias("rest"),
+                         F.max("least").alias("least"))
+        candidates = seen.withColumn("high", high).where("high >= least and low > 0")
+        candidates = stored_small(candidates.select("item", "row", "low", "high"), "candidates")
+        return self.finished(candidates, lists)
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = 10, key: str = "doc_id", text: str = "text",
@@ -220,18 +253,21 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, key: str = "doc_id",
     wanted = exploded(asked.withColumnRenamed("row", "item"), "item").withColumnRenamed("times", "count")
     read = read_terms(docs, key, text, bitmap_of(wanted))
     documents, length = read.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    postings = exploded(read, "row", "id", "n")
-    rarity = stored_small(weights(postings, wanted, documents), "weights")
+    postings = exploded(read, "row", "n")
+    rarity = stored_small(weights(postings, wanted, documents)
+                          .withColumn("t", F.monotonically_increasing_id()), "weights")
     heaviest = rarity.agg(F.coalesce(F.max("w"), F.lit(0))).first()[0]
     borders = [heaviest * FULL >> n for n in range(1, HALVINGS + 1)] + [0]
     scored = with_points(lookup_join(postings, rarity, "term", spread=["row"]), documents, max(length, 1))
     # Points of 0 change no score.
-    listed = bands(scored.where("points > 0"), borders)
-    lists_of = stored_by(listed, "band", "bands")
-    ends = lists_of.groupBy("term").agg(F.max("points").alias("first"), F.min("points").alias("last"))
-    lists = stored_small(wanted.join(ends, "term"), "lists")
-    best = Race(lists, lists_of, borders, k).run()
+    sorted_lists = impact_sorted(scored.where("points > 0").select("row", "t", "points"))
+    ends = sorted_lists.groupBy("t").agg(F.max("points").alias("first"), F.min("points").alias("last"))
+    lists = stored_small(wanted.join(rarity, "term").join(ends, "t")
+                         .select("item", "t", "count", "first", "last"), "lists")
+    reading = Reading(lists, sorted_lists, borders, k)
+    best = reading.run().join(read.select("row", F.col("id").alias("__id")), "row")
+    ranks = reading.ranked(best, F.asc_nulls_last("__id"), "row")
     names = asked.select(F.col("row").alias("item"), F.col("id").alias("__item"))
-    return best.join(names, "item").select(
+    return ranks.join(names, "item").select(
         F.col("__item").alias(item_key), F.col("rank").cast("int").alias("rank"),
-        F.col("id").alias(key), F.col("low").cast("bigint").alias("score"))
+        F.col("__id").alias(key), F.col("low").cast("bigint").alias("score"))
