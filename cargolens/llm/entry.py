@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolens.llm import chat, decontam, html_main, langid, lm_score, near_dup, packing, periodic, quality, ranked, secret_scan, warc
+from cargolens.llm import chat, decontam, grouping, html_main, langid, lm_score, near_dup, packing, periodic, quality, ranked, secret_scan, warc
 from cargolens.llm.common import fold, table
 
 
@@ -61,6 +61,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouping.pack(table(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -72,7 +76,7 @@ def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_secret_scan, op3_near_dup, op4_packing, op5_html_main, op6_chat, op7_decontam, op8_langid, op9_lm_score, op10_warc,
-    op12_ranked_search, op13_periodic)}
+    op11_best_fit, op12_ranked_search, op13_periodic)}
 
 # Only where SQL can say the same; the others are tested against brute force.
 ORACLES: dict[str, str] = {
