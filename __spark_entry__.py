@@ -19,9 +19,9 @@ from cargolens import testbed
 from cargolens.functions import text
 from cargolens.operators import cells, filters, latest
 from cargolens.plans import analytics, build, marts, quality, transforms
-from cargolens.sources import bronze, conform
+from cargolens.sources import bronze, conform, lake
 from cargolens.sources.workspace import fresh_path, stored
-from cargolens.streaming import shipments
+from cargolens.streaming import ingest, shipments
 
 try:
     import corpus_pipeline
@@ -190,6 +190,54 @@ def _weather_history(t: Tables) -> DataFrame:
     return bronze.weather_history(bronze.replay_weather(t.spark, paths))
 
 
+def _number(column: str) -> str:
+    """SQL for the number in ids such as CUST-17."""
+    return f"cast(substring_index({column}, '-', -1) as bigint)"
+
+
+def _bronze_to_mart(t: Tables) -> DataFrame:
+    """Two landings, each read once: all customers and weather, then corrected and moved customers."""
+    landing, root = fresh_path(t.spark, "landing"), fresh_path(t.spark, "lake")
+    raw, number = t.view("raw_customers"), F.expr(_number("customer_id"))
+    bronze.land_customers(raw, landing, "20260102_030405_000006")
+    bronze.land_weather(t.weather.select(*S.WEATHER.fieldNames()), landing, "20260102_030405")
+    for feed in (ingest.CUSTOMERS, ingest.WEATHER):
+        ingest.ingest(t.spark, feed, landing, f"{root}/bronze", f"{root}/bronze/_log_{feed.name}",
+                      on_error="skip")
+    again = raw.where((number % 97 == 0) | (number % 5 == 0)).withColumns({
+        "latitude": F.when(number % 97 == 0, "10.5").otherwise(F.col("latitude")),
+        "city": F.when(number % 5 == 0, "CITY_NEW").otherwise(F.col("city"))})
+    bronze.land_customers(again, landing, "20260103_000000")
+    build.build_from_bronze(t.spark, root, landing, t.warehouses, t.orders, on_error="skip")
+    return build.read_mart(t.spark, root, "delivery_performance")
+
+
+def _conform_types(t: Tables) -> DataFrame:
+    """Records whose fields hold values of other JSON types: typed where they fit, with reasons where not."""
+    judged = conform.judged_records(t.view("typed_records").select(
+        F.parse_json("document").alias("record")), S.CUSTOMERS)
+    return judged.select("typed.customer_id", "typed.first_name", "typed.street_number",
+                         "typed.latitude", F.array_join("reject_reason", ",").alias("reject_reason"))
+
+
+def _flatten_weather(t: Tables) -> DataFrame:
+    answer = F.struct("temperature", F.col("wind_speed").alias("windspeed")).alias("current_weather")
+    return bronze.flatten_weather(t.weather.select(
+        "warehouse_id", F.col("timestamp").cast("string").alias("timestamp"), answer))
+
+
+def _catalog_load(t: Tables) -> DataFrame:
+    """The catalog table after a second load has replaced the first."""
+    path, database = fresh_path(t.spark, "customers"), "cargolens_loads"
+    lake.save(lake.declared(t.customers, "customers"), path)
+    t.spark.sql(f"create database if not exists {database} location '{fresh_path(t.spark, 'catalog')}'")
+    loaded = 0
+    for _ in range(2):
+        loaded = lake.load_table(t.spark, "customers", path, database)
+    return t.spark.table(f"{database}.customers").select(
+        "customer_id", "city", "latitude", F.lit(loaded).cast("bigint").alias("loaded"))
+
+
 def _dirty_tables(t: Tables) -> dict[str, DataFrame]:
     orders = t.view("orders_dirty")
     fact = marts.fact_shipments(orders, t.customers)
@@ -400,6 +448,12 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "bronze_weather": _bronze_weather,
     "weather_history": _weather_history,
     "load_audit": _load_audit,
+    "bronze_to_mart": _bronze_to_mart,
+    "conform_types": _conform_types,
+    "flatten_weather": _flatten_weather,
+    "catalog_load": _catalog_load,
+    "padded_ids": lambda t: testbed.base_table(t.spark, t.sf_dir, "supplier").select(
+        "s_suppkey", text.padded_id("WH", F.col("s_suppkey")).alias("warehouse_id")),
     # extensions
     "asof_weather": _asof,
     "delivery_risk_asof": lambda t: _risk_asof(t, "ship_orders"),

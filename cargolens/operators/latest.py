@@ -4,6 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cargolens.sources.workspace import stored
+
+# What a hash aggregate can hold in its buffer.
+_FIXED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
+def _fixed(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, _FIXED)
+
+
+def at_greatest(df: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """The rows that have the greatest `column` of their key; all rows of a key that has only nulls in it.
+
+    The greatest values come from a hash aggregate of two narrow columns; the rows themselves are then picked by a
+    semi join, which shuffles nothing where there are few keys.
+    """
+    named = {k: f"__key{i}" for i, k in enumerate(keys)}
+    tops = df.groupBy(*keys).agg(F.max(column).alias("__top")).withColumnsRenamed(named)
+    same = F.col(column).eqNullSafe(F.col("__top"))
+    for key, name in named.items():
+        same &= F.col(key).eqNullSafe(F.col(name))
+    return df.join(tops, same, "left_semi")
 
 
 def latest_per_key(df: DataFrame, keys, order) -> DataFrame:
@@ -11,10 +35,24 @@ def latest_per_key(df: DataFrame, keys, order) -> DataFrame:
 
     `order` lists columns from most to least significant; end it with a unique
     column to make ties deterministic. A null sorts lowest, and the chosen
-    row is kept whole, nulls included. Every input task sorts its own rows by key and sends one row
-    per key on, so a long history or a hot key is never shuffled whole nor sorted in one task.
+    row is kept whole, nulls included.
+
+    A long history is neither shuffled nor sorted: its rows are narrowed to those with the greatest first column
+    (`at_greatest`), and only what is left, about one row per key, is written and decided by the other columns. Where these
+    are numbers or times as well, that goes on by hash aggregates, down to rows that agree in the whole order, of
+    which the one with the greatest hash stays. Text in the order needs an aggregate that sorts: each task sorts its
+    own rows by key and sends one row per key on.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    first, *others = order
+    if _fixed(df, first):
+        df = stored(at_greatest(df, keys, first), "newest")
+        if all(_fixed(df, c) for c in others):
+            for column in others:
+                df = at_greatest(df, keys, column)
+            rest = [c for c in df.columns if c not in keys]
+            hashed = df.withColumn("__hash", F.xxhash64(*rest))
+            return at_greatest(hashed, keys, "__hash").drop("__hash").distinct()
     rest = [c for c in df.columns if c not in keys]
     newest = F.max_by(F.struct(*rest), F.struct(*order))
     return (df.groupBy(*keys).agg(newest.alias("__row"))

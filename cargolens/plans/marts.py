@@ -63,11 +63,13 @@ def delivery_performance(fact: DataFrame, routes: DataFrame, risk: DataFrame) ->
     return left_join_all(fact, [route, scored], "order_id").select(*PERFORMANCE)
 
 
-def keys_are_sound(*tables) -> bool:
-    """True when no (frame, key) pair has a repeated or null key."""
+def keys_are_sound(*tables, unique=()) -> bool:
+    """True when no (frame, key) pair has a repeated or null key; of pairs in `unique` only nulls are looked for."""
     faults = [df.groupBy(F.col(key).cast("string").alias("key")).agg(F.count("*").alias("n"))
               .where((F.col("n") > 1) | F.col("key").isNull()).select("n").limit(1)
               for df, key in tables]
+    faults += [df.where(F.col(key).isNull()).select(F.lit(1).cast("bigint").alias("n")).limit(1)
+               for df, key in unique]
     return reduce(DataFrame.unionByName, faults).isEmpty()
 
 

@@ -82,6 +82,14 @@ STG_CUSTOMERS = ["customer_id", "first_name", "last_name", "email", "city",
 STG_ORDERS = ["order_id", "customer_id", "warehouse_id", "package_weight_kg",
               "package_size", "priority", "status", "created_at"]
 
+# Columns without which no job starts; the others of a schema may be absent.
+REQUIRED = {
+    "customers": STG_CUSTOMERS,
+    "warehouses": WAREHOUSES.fieldNames(),
+    "weather": WEATHER.fieldNames(),
+    "orders": STG_ORDERS,
+}
+
 # --- fixed values --------------------------------------------------------
 # Result-defining constants; they must be exactly these for right results.
 

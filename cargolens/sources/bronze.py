@@ -134,6 +134,38 @@ def replay_weather(spark: SparkSession, paths, multi_line: bool = False,
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in S.WEATHER], "ingested_at")
 
 
+# --- landed documents as VARIANT ----------------------------------------------
+
+def customer_documents(lines: DataFrame) -> DataFrame:
+    """(file, document, reason, record): a row per record of landed payloads, given as (value, file).
+
+    `record` is the VARIANT of one of `results`. A document that is cut off or has no list of results gives one row with
+    its text and a reason. Blank lines are no documents.
+    """
+    return _documents(lines, F.try_variant_get("v", "$.results", "array<variant>"), "no results")
+
+
+def weather_documents(lines: DataFrame) -> DataFrame:
+    """As `customer_documents`; a document is one record or a list of them."""
+    kind = F.schema_of_variant("v")
+    several = F.when(kind.startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>"))
+    one = F.when(kind.startswith("OBJECT"), F.array(F.col("v")))
+    return _documents(lines, F.coalesce(several, one), "no records")
+
+
+def _documents(lines: DataFrame, records, none_found: str) -> DataFrame:
+    parsed = lines.where(F.btrim("value", F.lit(" \t\r\n")) != "").select(
+        "file", "value", F.try_parse_json("value").alias("v"))
+    found = parsed.select("file", "value", F.col("v").isNull().alias("broken"), records.alias("records"))
+    reason = F.when(F.col("broken"), "unreadable").when(F.col("records").isNull(), none_found)
+    # A document with an empty list has no rows and no fault.
+    rows = found.withColumn("reason", reason).withColumn(
+        "records", F.when(F.col("reason").isNull(), F.col("records"))
+        .otherwise(F.array(F.lit(None).cast("variant"))))
+    return rows.select("file", F.when(F.col("reason").isNotNull(), F.col("value")).alias("document"),
+                       "reason", F.explode("records").alias("record"))
+
+
 def flatten_weather(api: DataFrame) -> DataFrame:
     """Weather rows from nested API objects (`current_weather`)."""
     return api.select(

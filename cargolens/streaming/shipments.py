@@ -9,38 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from cargolens import schemas as S
 from cargolens.operators.latest import latest_per_key
 from cargolens.plans import marts, transforms
 from cargolens.sources.workspace import stored
+from cargolens.streaming.batches import BATCH, batch_folder, readable, run
 
-BATCH = "batch_id"
 DAY = "order_day"
 GONE = "moved_away"
 
 COUNTS = "date date, shipments bigint"
 
 
-def _run(stream: DataFrame, checkpoint: str, each) -> StreamingQuery:
-    query = (stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-             .foreachBatch(each).trigger(availableNow=True).start())
-    query.awaitTermination()
-    return query
-
-
-def _batch_folder(path: str, batch_id: int) -> str:
-    return f"{path}/{BATCH}={batch_id}"
-
-
-def _readable(spark, path: str, schema) -> DataFrame:
-    """What the batches wrote; an empty folder of batch -1 makes it readable before the first."""
-    empty = spark.createDataFrame([], schema)
-    empty.write.mode("overwrite").parquet(_batch_folder(path, -1))
-    return spark.read.schema(empty.schema).parquet(path)
-
-
 def run_timeline(orders: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Count the shipments of a stream per day below `path` and read the counts back.
 
@@ -50,14 +31,14 @@ def run_timeline(orders: DataFrame, path: str, checkpoint: str) -> DataFrame:
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = (batch.groupBy(F.to_date("created_at").alias("date"))
                   .agg(F.count("*").alias("shipments")))
-        counts.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+        counts.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
-    _run(orders, checkpoint, write)
+    run(orders, checkpoint, write)
     return read_timeline(orders.sparkSession, path)
 
 
 def read_timeline(spark, path: str) -> DataFrame:
-    return (_readable(spark, path, COUNTS).groupBy("date")
+    return (readable(spark, path, COUNTS).groupBy("date")
             .agg(F.sum("shipments").alias("shipments")))
 
 
@@ -69,7 +50,7 @@ def run_dedupe(orders: DataFrame, path: str, checkpoint: str) -> DataFrame:
     However late a repeat comes, it is recognised. Orders without id cannot be repeats and stay.
     """
     spark = orders.sparkSession
-    _readable(spark, path, orders.schema)
+    readable(spark, path, orders.schema)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         named = batch.where(F.col("order_id").isNotNull()).dropDuplicates(["order_id"])
@@ -77,9 +58,9 @@ def run_dedupe(orders: DataFrame, path: str, checkpoint: str) -> DataFrame:
         earlier = spark.read.schema(orders.schema).parquet(path).where(F.col(BATCH) != batch_id)
         new = named.join(earlier.select("order_id"), "order_id", "left_anti")
         kept = new.unionByName(batch.where(F.col("order_id").isNull()))
-        kept.select(*orders.columns).write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+        kept.select(*orders.columns).write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
-    _run(orders, checkpoint, write)
+    run(orders, checkpoint, write)
     return spark.read.schema(orders.schema).parquet(path).select(*orders.columns)
 
 
@@ -89,10 +70,10 @@ def run_risk(orders: DataFrame, customers: DataFrame, warehouses: DataFrame, lat
     def score(batch: DataFrame, batch_id: int) -> None:
         routes = transforms.build_routes(batch, customers, warehouses)
         risk = transforms.build_delivery_risk(routes, latest, null_points, profile=batch)
-        risk.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+        risk.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
-    _run(orders, checkpoint, score)
-    return _readable(orders.sparkSession, path, S.DELIVERY_RISK).drop(BATCH)
+    run(orders, checkpoint, score)
+    return readable(orders.sparkSession, path, S.DELIVERY_RISK).drop(BATCH)
 
 
 def _day(column: str) -> Column:
@@ -165,5 +146,5 @@ def run_mart(orders: DataFrame, root: str, checkpoint: str, customers: DataFrame
     def take(batch: DataFrame, batch_id: int) -> None:
         refresh_mart(batch, batch_id, root, customers, warehouses, latest)
 
-    _run(orders, checkpoint, take)
+    run(orders, checkpoint, take)
     return read_mart(orders.sparkSession, root)

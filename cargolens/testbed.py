@@ -109,6 +109,22 @@ select concat('CUST-', cast(c_custkey as string)) customer_id,
 from {customer} join {nation} on c_nationkey = n_nationkey
      join {region} on r_regionkey = n_regionkey"""
 
+# JSON records whose fields hold values of various JSON types.
+TYPED_RECORDS = """
+select concat('{{"customer_id": "CUST-', cast(c_custkey as string),
+       '", "title": "Ms", "last_name": "L", "gender": "female", "phone": "1", "street_name": "S", ',
+       '"city": "C", "state": "S", "country": "C", "postcode": "1", "longitude": 4.5, ',
+       '"registered_date": "2020-01-01", "nationality": "NL", "first_name": ',
+       case c_custkey % 11 when 1 then '5' when 2 then '[1]' when 3 then '{{"a": 1}}' else '"Ann"' end,
+       ', "street_number": ',
+       case c_custkey % 11 when 4 then '42.0' when 5 then '" 42 "' when 7 then 'true' when 8 then '42.5'
+            else cast(c_custkey % 250 as string) end,
+       ', "latitude": ',
+       case c_custkey % 11 when 6 then '"52.3676"' when 9 then '"abc"' when 10 then '7' else '35.25' end,
+       case c_custkey % 11 when 0 then ', "email": null' when 10 then '' else ', "email": "a@b"' end,
+       '}}') document
+from {customer}"""
+
 # The address a customer gave with each order: versions of the customer.
 CUSTOMER_VERSIONS = """
 select concat('CUST-', cast(o_custkey as string)) customer_id, o_orderkey version_id,
@@ -123,7 +139,7 @@ VIEWS = {
     "weather_tied": WEATHER_TIED, "orders_dirty": ORDERS_DIRTY,
     "orders_orphaned": ORDERS_ORPHANED, "orders_repeated": ORDERS_REPEATED,
     "orders_undated": ORDERS_UNDATED, "orders_unnamed": ORDERS_UNNAMED,
-    "raw_customers": RAW_CUSTOMERS, "customer_versions": CUSTOMER_VERSIONS,
+    "raw_customers": RAW_CUSTOMERS, "typed_records": TYPED_RECORDS, "customer_versions": CUSTOMER_VERSIONS,
 }
 
 

@@ -70,6 +70,26 @@ from {fact} f left join {routes} r on f.order_id = r.order_id
      left join {risk} d on f.order_id = d.order_id"""
 
 
+# Customers after the second landing; the weather that landed last, ties by the measured values.
+_LANDED = """select * replace (
+         case when n % 5 = 0 then 'CITY_NEW' else city end as city,
+         case when n % 97 = 0 then 10.5e0 else try_cast(latitude as double) end as latitude,
+         try_cast(longitude as double) as longitude)
+  from (select *, cast(substring(customer_id, 6) as bigint) n from raw_customers)
+  where (n % 97 = 0 or try_cast(latitude as double) is not null)
+        and try_cast(longitude as double) is not null"""
+_LANDED_WEATHER = """select warehouse_id, temperature, wind_speed from (
+  select *, row_number() over (partition by warehouse_id
+            order by "timestamp" desc, temperature desc, wind_speed desc) rn from weather) where rn = 1"""
+
+
+def _landed() -> str:
+    routes = ROUTES.format(orders="ship_orders").replace("join customers c", f"join ({_LANDED}) c")
+    risk = RISK.format(missing=0, routes=f"({routes})").replace("join latest l", f"join ({_LANDED_WEATHER}) l")
+    fact = FACT.format(orders="ship_orders").replace("join customers c", f"join ({_LANDED}) c")
+    return PERFORMANCE.format(fact=f"({fact})", routes=f"({routes})", risk=f"({risk})")
+
+
 def _quoted(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
@@ -345,6 +365,22 @@ def oracles() -> dict[str, str]:
             union all select 'dim_customers', 'mart', (select count(*) from customers)
             union all select 'fact_shipments', 'mart', (select count(*) from fact)
             union all select 'delivery_performance', 'mart', (select count(*) from dp)""",
+        "bronze_to_mart": _landed(),
+        "conform_types": """select 'CUST-' || c_custkey customer_id,
+              case when k not in (1, 2, 3) then 'Ann' end first_name,
+              cast(case k when 4 then 42 when 5 then 42 when 7 then 1 when 8 then null
+                   else c_custkey % 250 end as bigint) street_number,
+              case k when 6 then 52.3676e0 when 9 then null when 10 then 7e0 else 35.25e0 end latitude,
+              case when k in (1, 2, 3) then 'first_name:invalid' when k = 8 then 'street_number:invalid'
+                   when k = 9 then 'latitude:invalid' when k in (0, 10) then 'email:missing'
+                   else '' end reject_reason
+            from (select c_custkey, c_custkey % 11 k from customer)""",
+        "flatten_weather": """select warehouse_id, "timestamp", temperature, wind_speed from weather""",
+        "catalog_load": """select customer_id, city, latitude, (select count(*) from customers) loaded
+            from customers""",
+        "padded_ids": """select s_suppkey, 'WH-' || case when s_suppkey < 1000
+              then lpad(cast(s_suppkey as varchar), 3, '0') else cast(s_suppkey as varchar) end warehouse_id
+            from supplier""",
         "asof_weather": _ASOF,
         "delivery_risk_asof": f"select * from ({RISK.format(missing=0, routes='routes')})".replace(
             "left join latest l on r.warehouse_id = l.warehouse_id",
