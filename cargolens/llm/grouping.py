@@ -4,7 +4,8 @@ Documents are tokenized and stay whole; only one longer than a sequence is cut,
 that holds the rest. Full pieces are sequences of their own. All others are packed by evolution: a solution
 is a set of bins, and a child takes one parent's bins, gets whole well-filled bins of the other injected, loses the
 own bins that hold a document a second time, and has the documents that this displaces, and those of its
-emptiest bins, put back by best fit in falling length.
+emptiest bins, put back: first in exchange for shorter ones where that fills a bin better, then by best fit in falling
+length.
 
 The pieces are dealt to blocks of about `BLOCK`, each length evenly, so that blocks are alike. Every block
 evolves on `ISLANDS` islands, groups of a Spark job that differ in their random numbers. After an epoch each island
@@ -29,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cargolens.llm.common import stored_small
@@ -40,7 +41,7 @@ LENGTH = 2048  # tokens of a sequence
 BLOCK = 4096  # pieces that evolve together
 ISLANDS = 2  # islands of a block
 EPOCHS = 3  # at most, with a migration between two
-GENERATIONS = 24  # children per island and epoch
+GENERATIONS = 64  # children per island and epoch
 PEOPLE = 6  # solutions of an island
 WELL_FILLED = 31 / 32  # bins below this share of the length are opened again across blocks
 ROWS = 4096  # rows of an output batch
@@ -108,6 +109,42 @@ def best_fit(order: Iterable[int], sizes: list[int], length: int, bins: list[lis
     return Solution(bins, fills)
 
 
+def exchanged(displaced: list[int], sizes: list[int], length: int, bins: list[list[int]],
+              fills: list[int]) -> list[int]:
+    """Fill bins by giving one of their pieces for the longest displaced one that fits in its place.
+
+    Bins change in place. What is displaced afterwards is as many pieces, but shorter ones.
+    """
+    by_size: dict[int, list[int]] = {}
+    some = 0
+    for piece in displaced:
+        by_size.setdefault(sizes[piece], []).append(piece)
+        some |= 1 << sizes[piece]
+    for k, own in enumerate(bins):
+        room = length - fills[k]
+        if not room:
+            continue
+        best, gain = -1, 0
+        for at, piece in enumerate(own):
+            size = sizes[piece]
+            found = (some & ((2 << size + room) - 1)).bit_length() - 1 - size
+            if found > gain:
+                best, gain = at, found
+                if gain == room:
+                    break
+        if best >= 0:
+            piece = own[best]
+            size = sizes[piece]
+            waiting = by_size[size + gain]
+            own[best] = waiting.pop()
+            fills[k] += gain
+            if not waiting:
+                some ^= 1 << size + gain
+            by_size.setdefault(size, []).append(piece)
+            some |= 1 << size
+    return list(chain.from_iterable(by_size.values()))
+
+
 def crossed(one: Solution, other: Solution, sizes: list[int], length: int,
             random: np.random.Generator) -> Solution:
     """A child of two solutions."""
@@ -122,9 +159,10 @@ def crossed(one: Solution, other: Solution, sizes: list[int], length: int,
     taken = set(new)
     kept = [k for k in range(len(one.bins)) if k not in gone]
     displaced = [p for k in gone for p in one.bins[k] if p not in taken]
-    displaced.sort(key=sizes.__getitem__, reverse=True)
     bins = [list(b) for b in injected] + [list(one.bins[k]) for k in kept]
     fills = [sum(map(sizes.__getitem__, b)) for b in injected] + [one.fills[k] for k in kept]
+    displaced = exchanged(displaced, sizes, length, bins, fills)
+    displaced.sort(key=sizes.__getitem__, reverse=True)
     return best_fit(displaced, sizes, length, bins, fills)
 
 
@@ -231,7 +269,8 @@ def evolution(pieces: DataFrame, blocks: int, length: int) -> DataFrame:
         finished.append(rows.join(best.where("done"), ["block", "island"]).drop("done"))
         if number == EPOCHS or best.where("not done").isEmpty():
             break
-        going = rows.join(best.where("not done").select("block"), "block", "left_semi")
+        of_block = Window.partitionBy("block")
+        going = rows.withColumn("least", F.min("bins").over(of_block)).where("least > bound").drop("least")
         own = going.withColumn("from_island", F.lit(0))
         migrants = going.withColumns({"from_island": F.lit(1), "island": F.expr(f"(island + 1) % {ISLANDS}")})
         rows = epoch(own.unionByName(migrants), number)
