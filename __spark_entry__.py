@@ -18,10 +18,11 @@ from cargolens import schemas as S
 from cargolens import testbed
 from cargolens.functions import text
 from cargolens.operators import cells, filters, latest
-from cargolens.plans import analytics, build, marts, quality, transforms
+from cargolens.plans import analytics, build, marts, quality, rollup, transforms
+from cargolens.plans.quality_state import CheckState
 from cargolens.sources import bronze, conform, lake
 from cargolens.sources.workspace import fresh_path, stored
-from cargolens.streaming import ingest, shipments
+from cargolens.streaming import asof, history, ingest, shipments
 
 try:
     import corpus_pipeline
@@ -36,6 +37,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 # (application, data folder, state of its files, table) -> the written table
 _WRITTEN: dict[tuple, DataFrame] = {}
+_ROLLUPS: dict[tuple, str] = {}
 
 
 class Tables:
@@ -100,6 +102,16 @@ class Tables:
         return transforms.build_delivery_risk(self.routes, self.latest, null_points,
                                               profile=self.orders)
 
+    @property
+    def rollup(self) -> str:
+        """Folder of the mart's rollup, built by the first query that needs it."""
+        key = (self.spark.conf.get("spark.app.id"), self.sf_dir, self.files_state, "rollup")
+        if key not in _ROLLUPS:
+            path = fresh_path(self.spark, "rollup")
+            rollup.build(self.spark, path, self.performance)
+            _ROLLUPS[key] = path
+        return _ROLLUPS[key]
+
     def stream(self, view: str) -> DataFrame:
         """A view over the orders files read as a stream.
 
@@ -261,6 +273,18 @@ def _joined_performance(t: Tables) -> DataFrame:
                                       transforms.build_delivery_risk(routes, t.latest))
 
 
+def _dq_incremental(t: Tables, tables: dict[str, DataFrame]) -> DataFrame:
+    """The marts in three batches, shipments before most of their customers."""
+    state = CheckState(t.spark, fresh_path(t.spark, "checks"), quality.mart_checks(),
+                       {"fact_shipments": "order_date", "delivery_performance": "order_date"})
+    keys = {"delivery_performance": "order_id", "fact_shipments": "order_id", "dim_customers": "customer_id"}
+    for number in range(3):
+        state.add(number, {name: tables[name].where(
+            (F.coalesce(F.crc32(F.col(key).cast("binary")), F.lit(0)) + shift) % 3 == number)
+            for shift, (name, key) in enumerate(keys.items())})
+    return state.results()
+
+
 def _dq_orphans(t: Tables) -> DataFrame:
     check = quality.Check("orders", "customer_id", "relationships",
                           parent=("customers", "customer_id"))
@@ -308,6 +332,26 @@ def _customer_scd(t: Tables) -> DataFrame:
     return history.drop("changed_at")
 
 
+def _customer_scd_merge(t: Tables) -> DataFrame:
+    """The versions of customers in three batches that interleave in time, the middle ones last."""
+    path, versions = fresh_path(t.spark, "history"), t.view("customer_versions")
+    for number, part in enumerate((2, 0, 1)):
+        history.merge_versions(t.spark, path, number, versions.where(F.col("version_id") % 3 == part),
+                               "customer_id", "changed_at", "version_id")
+    return history.read_history(t.spark, path).drop("changed_at")
+
+
+def _stream_risk_asof(t: Tables) -> DataFrame:
+    """Part of the weather, all orders as a stream, then the weather that comes late."""
+    root, checkpoint = _stream_paths(t, "risk_asof")
+    job = asof.RiskAsOf(t.spark, root, tie="event_id")
+    late = F.col("event_id") % 3 == 0
+    job.add_weather(0, t.weather.where(~late))
+    job.run_orders(t.stream("ship_orders"), checkpoint, t.customers, t.warehouses)
+    job.add_weather(1, t.weather.where(late))
+    return job.read()
+
+
 def _stream_paths(t: Tables, name: str) -> tuple[str, str]:
     return fresh_path(t.spark, name), fresh_path(t.spark, f"{name}-checkpoint")
 
@@ -343,6 +387,17 @@ def _incremental_mart_moved(t: Tables) -> DataFrame:
     return shipments.read_mart(t.spark, root)
 
 
+def _incremental_mart_day(t: Tables) -> DataFrame:
+    """All orders in a first batch; in a second those of the fourth day are delivered."""
+    root = fresh_path(t.spark, "mart")
+    day = t.orders.agg(F.date_add(F.to_date(F.min("created_at")), 3)).first()[0]
+    delivered = t.orders.where(F.to_date("created_at") == F.lit(day)).withColumn(
+        "status", F.lit("delivered"))
+    for number, batch in enumerate((t.orders, delivered)):
+        shipments.refresh_mart(batch, number, root, t.customers, t.warehouses, t.latest)
+    return shipments.read_mart(t.spark, root)
+
+
 SOME = entry_sql.SOME_FILTERS
 NOTHING = entry_sql.NO_MATCH
 
@@ -423,19 +478,30 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "rebuild": _rebuild,
     "rebuild_dirty": lambda t: _rebuild(t, "orders_dirty"),
     # reports without or with a fixed filter
+    "overview_metrics_rollup": lambda t: rollup.overview_metrics(t.spark, t.rollup),
+    "overview_metrics_rollup_filtered": lambda t: rollup.overview_metrics(
+        t.spark, t.rollup, SOME, t.warehouses),
+    "overview_metrics_rollup_empty": lambda t: rollup.overview_metrics(
+        t.spark, t.rollup, NOTHING, t.warehouses),
+    "customer_metrics_rollup_filtered": lambda t: rollup.customer_metrics(
+        t.spark, t.rollup, SOME, t.warehouses),
     "overview_metrics_empty": lambda t: REPORTS["overview_metrics"](t, NOTHING),
     "warehouse_performance_idle": lambda t: analytics.warehouse_performance(
         t.performance.where("warehouse_id <> 'WH-001'"), t.warehouses),
     "capacity_index_empty": lambda t: analytics.capacity_index(
-        t.performance.where("false"), t.warehouses),
+        t.performance.where("warehouse_id = 'none'"), t.warehouses),
     "warehouse_network": lambda t: analytics.warehouse_network(t.performance, t.warehouses),
     "warehouse_locations": lambda t: analytics.warehouse_locations(t.view("warehouses")),
+    "route_points_sample": lambda t: analytics.route_points_sample(t.performance),
+    "weather_impact_sample": lambda t: analytics.weather_impact_sample(t.performance),
     "distance_histogram_nan": lambda t: _distance_histogram_nan(t),
     "filter_options": lambda t: filters.filter_options(t.performance, t.warehouses),
     # data quality
     "dq_marts": lambda t: quality.run_checks(_clean_tables(t), quality.mart_checks()),
     "dq_marts_dirty": lambda t: quality.run_checks(_dirty_tables(t), quality.mart_checks()),
     "dq_ranges": lambda t: quality.run_checks(_clean_tables(t), quality.range_checks()),
+    "dq_incremental": lambda t: _dq_incremental(t, _clean_tables(t)),
+    "dq_incremental_dirty": lambda t: _dq_incremental(t, _dirty_tables(t)),
     "dq_orphans": _dq_orphans,
     "dq_failing_status": _dq_failing_status,
     # ingest and load
@@ -459,13 +525,17 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "delivery_risk_asof": lambda t: _risk_asof(t, "ship_orders"),
     "delivery_risk_asof_dirty": lambda t: _risk_asof(t, "orders_dirty"),
     "customer_scd": _customer_scd,
+    "customer_scd_merge": _customer_scd_merge,
     "stream_timeline": _stream_timeline,
     "stream_timeline_undated": lambda t: _stream_timeline(t, "orders_undated"),
     "stream_dedupe": _stream_dedupe,
+    "stream_dedupe_versions": lambda t: _stream_dedupe(t, "orders_versions"),
     "stream_dedupe_unnamed": lambda t: _stream_dedupe(t, "orders_unnamed"),
     "stream_risk": _stream_risk,
+    "stream_risk_asof": _stream_risk_asof,
     "incremental_mart": _incremental_mart,
     "incremental_mart_moved": _incremental_mart_moved,
+    "incremental_mart_day": _incremental_mart_day,
 }
 
 

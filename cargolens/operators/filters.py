@@ -30,7 +30,8 @@ def apply_filters(df: DataFrame, filters=None, warehouses: DataFrame | None = No
             raise ValueError("the 'warehouses' filter needs the warehouses table")
         chosen = (warehouses.where(F.col("name").isin(list(filters["warehouses"])))
                   .select("warehouse_id"))
-        df = lookup_join(df, chosen, "warehouse_id", "left_semi", spread=["order_id"])
+        spread = ["order_id"] if "order_id" in df.columns else None
+        df = lookup_join(df, chosen, "warehouse_id", "left_semi", spread=spread)
     return df
 
 

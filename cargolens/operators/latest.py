@@ -16,14 +16,16 @@ def _fixed(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, _FIXED)
 
 
-def at_greatest(df: DataFrame, keys: list[str], column: str) -> DataFrame:
+def at_greatest(df: DataFrame, keys: list[str], column: str, choose=F.max) -> DataFrame:
     """The rows that have the greatest `column` of their key; all rows of a key that has only nulls in it.
 
+    With `choose=F.min` those that have the least one.
+
     The greatest values come from a hash aggregate of two narrow columns; the rows themselves are then picked by a
     semi join, which shuffles nothing where there are few keys.
     """
     named = {k: f"__key{i}" for i, k in enumerate(keys)}
-    tops = df.groupBy(*keys).agg(F.max(column).alias("__top")).withColumnsRenamed(named)
+    tops = df.groupBy(*keys).agg(choose(column).alias("__top")).withColumnsRenamed(named)
     same = F.col(column).eqNullSafe(F.col("__top"))
     for key, name in named.items():
         same &= F.col(key).eqNullSafe(F.col(name))
@@ -58,3 +60,13 @@ def latest_per_key(df: DataFrame, keys, order) -> DataFrame:
     return (df.groupBy(*keys).agg(newest.alias("__row"))
             .select(*keys, *[F.col("__row").getField(c).alias(c) for c in rest])
             .select(*df.columns))
+
+
+def first_per_key(df: DataFrame, key: str, time: str) -> DataFrame:
+    """One row per key: the first in `time`; of several, the least by its other columns. Null times come last."""
+    rest = [c for c in df.columns if c not in (key, time)]
+    least = F.min_by(F.struct(*rest), F.struct(*rest))
+    first = stored(at_greatest(df, [key], time, F.min), "first")
+    return (first.groupBy(key, time).agg(least.alias("__row"))
+            .select(key, time, *[F.col("__row").getField(c).alias(c) for c in rest])
+            .select(*df.columns))

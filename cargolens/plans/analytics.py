@@ -7,7 +7,7 @@ reduces the mart to one row per key, so the join never moves shipment rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cargolens import schemas as S
@@ -16,6 +16,7 @@ from cargolens.functions.text import full_name
 from cargolens.operators import histogram as hist
 from cargolens.operators.filters import apply_filters, is_active
 
+
 def _shipments() -> Column:
     return F.count("*").alias("shipments")
 
@@ -266,6 +267,33 @@ def weather_impact(dp: DataFrame, filters=None, warehouses=None) -> DataFrame:
         "temperature", "wind_speed", "risk_score")
 
 
+SAMPLE = 1000  # points per group
+
+
+def _least_hashes(points: DataFrame, group: str, size: int, columns) -> DataFrame:
+    """The `size` rows of each group whose order id has the least hash; the columns decide between equal ones.
+
+    Which rows are chosen does not depend on how the table is partitioned or was written, and the least of several
+    parts are among the least of each part, so a task passes on at most `size` rows per group.
+    """
+    hashed = F.md5(F.coalesce("order_id", F.lit("")))
+    order = Window.partitionBy(group).orderBy(hashed, *[F.asc_nulls_first(c) for c in columns])
+    return (points.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= size)
+            .select(*columns))
+
+
+def route_points_sample(dp: DataFrame, filters=None, warehouses=None, size: int = SAMPLE) -> DataFrame:
+    """A bounded, stable choice of `route_points`: at most `size` per transport mode."""
+    return _least_hashes(apply_filters(dp, filters, warehouses), "transport_mode", size,
+                         ["distance_km", "estimated_delivery_hours", "transport_mode"])
+
+
+def weather_impact_sample(dp: DataFrame, filters=None, warehouses=None, size: int = SAMPLE) -> DataFrame:
+    """A bounded, stable choice of `weather_impact`: at most `size` per risk level."""
+    return _least_hashes(apply_filters(dp, filters, warehouses), "risk_category", size,
+                         ["temperature", "wind_speed", "risk_score"])
+
+
 def distance_histogram(dp: DataFrame, filters=None, warehouses=None, bins: int = 30) -> DataFrame:
     return hist.histogram(apply_filters(dp, filters, warehouses), "distance_km", bins)
 

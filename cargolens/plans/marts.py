@@ -90,7 +90,7 @@ def performance_from_keys(orders: DataFrame, customers: DataFrame, warehouses: D
     With unique, non-null order, customer and warehouse ids a route is a function of its
     order row, so the joins on order_id (three wide shuffles) fall away: the
     order looks up customer, warehouse and weather, and attributes of orders without a
-    route are null.
+    route are null. So are those of orders without an id, which no join would match.
     """
     dated = stg_orders(orders).withColumnRenamed("created_at", "order_date")
     people = customers.select(
@@ -103,7 +103,8 @@ def performance_from_keys(orders: DataFrame, customers: DataFrame, warehouses: D
     scored = transforms.with_risk(transforms.with_route(wide), null_points)
     named = scored.withColumnsRenamed({"estimated_hours": "estimated_delivery_hours",
                                        "risk_level": "risk_category"})
-    routed = F.col("__customer").isNotNull() & F.col("__warehouse").isNotNull()
+    routed = (F.col("__customer").isNotNull() & F.col("__warehouse").isNotNull()
+              & F.col("order_id").isNotNull())
     return named.select(*PERFORMANCE[:10],
                         *[F.when(routed, F.col(c)).alias(c) for c in PERFORMANCE[10:]])
 

@@ -33,7 +33,7 @@ class Check:
 ROW_KINDS = ("not_null", "accepted_values", "in_range")
 
 
-def _violation(check: Check) -> Column:
+def violation(check: Check) -> Column:
     value = F.col(check.column)
     if check.kind == "not_null":
         return value.isNull()
@@ -76,7 +76,7 @@ def _result(df: DataFrame, check: Check) -> DataFrame:
 
 def _row_checks(df: DataFrame, checks) -> DataFrame:
     """All row-level checks of a table from one pass over it."""
-    counts = df.agg(*[F.count_if(_violation(c)).alias(f"c{i}") for i, c in enumerate(checks)])
+    counts = df.agg(*[F.count_if(violation(c)).alias(f"c{i}") for i, c in enumerate(checks)])
     rows = F.array(*[F.struct(F.lit(c.table).alias("table_name"),
                               F.lit(c.column).alias("column_name"),
                               F.lit(c.kind).alias("check_name"),
@@ -123,7 +123,7 @@ def failing_rows(tables: dict[str, DataFrame], check: Check) -> DataFrame:
     """The offending rows (for `unique` and `relationships`: keys with their row count)."""
     df = tables[check.table]
     if check.kind in ROW_KINDS:
-        return df.where(_violation(check))
+        return df.where(violation(check))
     if check.kind == "unique":
         return _repeated(df, check.column)
     if check.kind == "relationships":

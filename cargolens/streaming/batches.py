@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 BATCH = "batch_id"
@@ -25,3 +26,8 @@ def readable(spark, path: str, schema) -> DataFrame:
     empty = spark.createDataFrame([], schema)
     empty.write.mode("overwrite").parquet(batch_folder(path, -1))
     return spark.read.schema(empty.schema).parquet(path)
+
+
+def is_day(column: str, days) -> Column:
+    """Whether a date column is one of the given dates. Dates go as text, which holds for years before 1000 too."""
+    return F.col(column).isin([F.lit(d.isoformat()).cast("date") for d in days])

@@ -9,12 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cargolens import schemas as S
-from cargolens.operators.latest import latest_per_key
+from cargolens.operators.latest import first_per_key, latest_per_key
 from cargolens.plans import marts, transforms
+from cargolens.sources.conform import assert_columns
 from cargolens.sources.workspace import stored
-from cargolens.streaming.batches import BATCH, batch_folder, readable, run
+from cargolens.streaming.batches import BATCH, batch_folder, is_day, readable, run
+from cargolens.streaming.ledger import Ledger
 
 DAY = "order_day"
 GONE = "moved_away"
@@ -42,23 +45,34 @@ def read_timeline(spark, path: str) -> DataFrame:
             .agg(F.sum("shipments").alias("shipments")))
 
 
+ORDER_ID = S.ORDERS["order_id"]
+
+
 def run_dedupe(orders: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Write each order of a stream once, when it first arrives, and read all back.
 
-    A batch drops its own repeats (combined on the map side, so a much repeated order is a few rows
-    when it is shuffled) and the ids that earlier batches filed, of which only the id column is read.
-    However late a repeat comes, it is recognised. Orders without id cannot be repeats and stay.
+    Of several orders with one id in a batch the first in time stays, of these the least by its other columns, and ids that
+    earlier batches filed are dropped. These are looked up in a ledger next to the results, of which only the
+    hash folders of the batch's own ids are opened. However late a repeat comes, it is recognised. Orders without id
+    cannot be repeats and stay.
     """
     spark = orders.sparkSession
+    assert_columns(orders, S.STG_ORDERS)
     readable(spark, path, orders.schema)
+    # Readers of the results pass over names that begin with an underscore.
+    ids = Ledger(spark, f"{path}/_ids", ORDER_ID, T.StructField("known", T.BooleanType()))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        named = batch.where(F.col("order_id").isNotNull()).dropDuplicates(["order_id"])
-        # A batch that runs again must not see its own earlier rows.
-        earlier = spark.read.schema(orders.schema).parquet(path).where(F.col(BATCH) != batch_id)
-        new = named.join(earlier.select("order_id"), "order_id", "left_anti")
-        kept = new.unionByName(batch.where(F.col("order_id").isNull()))
-        kept.select(*orders.columns).write.mode("overwrite").parquet(batch_folder(path, batch_id))
+        taken = stored(batch, "batch")
+        named = first_per_key(taken.where(F.col("order_id").isNotNull()), "order_id", "created_at")
+        earlier = ids.before(batch_id, taken.where(F.col("order_id").isNotNull())
+                             .select("order_id").distinct())
+        new = named.join(earlier, "order_id", "left_anti")
+        kept = new.unionByName(taken.where(F.col("order_id").isNull())).select(*orders.columns)
+        folder = batch_folder(path, batch_id)
+        kept.write.mode("overwrite").parquet(folder)
+        filed = spark.read.schema(orders.schema).parquet(folder).where(F.col("order_id").isNotNull())
+        ids.add(batch_id, filed.select("order_id", F.lit(True).alias("known")))
 
     run(orders, checkpoint, write)
     return spark.read.schema(orders.schema).parquet(path).select(*orders.columns)
@@ -83,55 +97,53 @@ def _day(column: str) -> Column:
 
 def refresh_mart(batch: DataFrame, batch_id: int, root: str, customers: DataFrame,
                  warehouses: DataFrame, latest: DataFrame) -> None:
-    """Take a batch of orders into the mart; only the days it touches are rewritten.
+    """Take a batch of orders into the mart; only the days it touches are read and rewritten.
 
-    Of several versions of an order in the batch the latest in time counts. The batch is filed under day
-    and batch number (a repeat overwrites itself), and where an order was filed under another day
-    before, a mark there says that it has gone. The mart rows of all these days are then rebuilt from
-    what is filed under them: the last filed version of an order, unless it is gone; orders
-    without an id are all kept. To find earlier days, only ids and days of the history are read.
+    Of several versions of an order in the batch the latest in time counts, and it replaces the one filed before;
+    orders without an id are all kept. The orders of a day are one folder, without earlier versions. A ledger
+    names the day under which an id was filed, so an order that moves is taken out of its old day: the batch costs the
+    days of its orders, before and now, and the ledger's folders of its ids. Batches are numbered from 0 without gaps. One
+    that runs again replaces what it has filed.
     """
     spark = batch.sparkSession
-    filed = f"{root}/orders_by_day"
+    assert_columns(batch, S.STG_ORDERS)
+    filed, mart = f"{root}/orders_by_day", f"{root}/mart"
+    days = Ledger(spark, f"{root}/_days", ORDER_ID, T.StructField(DAY, T.DateType()))
     rest = [c for c in batch.columns if c not in ("order_id", "created_at")]
     named = latest_per_key(batch.where(F.col("order_id").isNotNull()), "order_id",
                            ["created_at", *rest])
-    dated = (named.unionByName(batch.where(F.col("order_id").isNull()))
-             .withColumns({GONE: F.lit(False), DAY: _day("created_at"), BATCH: F.lit(batch_id)}))
-
-    def history() -> DataFrame:
-        return spark.read.schema(dated.schema).parquet(filed)
-
-    def file(rows: DataFrame) -> None:
+    new = stored(named.unionByName(batch.where(F.col("order_id").isNull())).withColumns(
+        {GONE: F.lit(False), BATCH: F.lit(batch_id), DAY: _day("created_at")}), "batch")
+    ids = new.where(F.col("order_id").isNotNull()).select("order_id")
+    before = days.before(batch_id, ids)
+    # Days are few whatever the data size: all of the calendar's are 3.7 million dates.
+    touched = [r[0] for r in before.select(DAY).union(new.select(DAY)).distinct().collect()]
+
+    def rewrite(rows: DataFrame, path: str) -> None:
         (rows.hint("rebalance", DAY).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BATCH).parquet(filed))
-
-    if batch_id > 0:
-        now = dated.where(F.col("order_id").isNotNull()).select("order_id", F.col(DAY).alias("now"))
-        left = (history().where(F.col(BATCH) < batch_id).select("order_id", DAY).distinct()
-                .join(now, "order_id").where(F.col(DAY) != F.col("now")).drop("now"))
-        marks = left.withColumns({GONE: F.lit(True), BATCH: F.lit(batch_id)})
-        dated_all = dated.unionByName(marks, allowMissingColumns=True)
-        file(stored(dated_all, "batch"))
-    else:
-        file(dated)
-
-    touched = stored(history().where(F.col(BATCH) == batch_id).select(DAY).distinct(), "days")
-    # Days are few whatever the data size (all of the calendar's are 3.7 million dates), and
-    # broadcast they prune the history's folders before it is read.
-    orders = history().join(F.broadcast(touched), DAY, "left_semi")
-    known = latest_per_key(orders.where(F.col("order_id").isNotNull()), ["order_id", DAY],
-                           [BATCH, GONE])
-    newest = stored(known.unionByName(orders.where(F.col("order_id").isNull()))
-                    .where(~F.col(GONE)).drop(BATCH, GONE, DAY), "newest")
-    rows = (marts.build_performance(newest, customers, warehouses, latest)
-            .withColumns({DAY: _day("order_date"), GONE: F.lit(False)}))
+         .option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path))
+
+    # An empty folder makes the path readable before the first batch.
+    if not batch_id:
+        rewrite(new.where("false"), filed)
+    standing = (spark.read.schema(new.schema).parquet(filed)
+                .where(is_day(DAY, touched) & ~F.col(GONE) & (F.col(BATCH) != batch_id))
+                .join(ids, "order_id", "left_anti"))
+    current = stored(standing.select(*new.columns).unionByName(new), "current")
     # A day that all its orders left keeps one marked row, which readers drop: nothing else would
     # overwrite what stands there.
-    emptied = touched.join(newest.select(_day("created_at").alias(DAY)).distinct(), DAY, "left_anti")
-    rows = rows.unionByName(emptied.withColumn(GONE, F.lit(True)), allowMissingColumns=True)
-    (rows.hint("rebalance", DAY).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(f"{root}/mart"))
+    left = spark.createDataFrame([(d,) for d in touched], T.StructType([new.schema[DAY]])).join(
+        current.select(DAY).distinct(), DAY, "left_anti")
+    marks = left.withColumns({GONE: F.lit(True), BATCH: F.lit(batch_id)})
+    orders = current.select(*batch.columns)
+    if marts.keys_are_sound((customers, "customer_id"), (warehouses, "warehouse_id")):
+        wide = marts.performance_from_keys(orders, customers, warehouses, latest)
+    else:
+        wide = marts.build_performance(orders, customers, warehouses, latest)
+    rows = wide.withColumns({DAY: _day("order_date"), GONE: F.lit(False)})
+    rewrite(rows.unionByName(marks.drop(BATCH), allowMissingColumns=True), mart)
+    rewrite(current.unionByName(marks, allowMissingColumns=True), filed)
+    days.add(batch_id, new.where(F.col("order_id").isNotNull()).select("order_id", DAY))
 
 
 def read_mart(spark, root: str) -> DataFrame:

@@ -84,6 +84,16 @@ ORDERS_ORPHANED = _orders(_ORDER_ID, _DIRTY_CUSTOMER, _STATUS)
 ORDERS_REPEATED = f"""{ORDERS}
 union all {ORDERS} where o_orderkey % 7 = 0"""
 
+# Every 7th order comes again an hour later, every 11th at the same time with another weight.
+ORDERS_VERSIONS = f"""
+select * from ({ORDERS})
+union all select order_id, customer_id, warehouse_id, package_weight_kg, package_size, priority,
+       'cancelled' status, created_at + interval '1' hour created_at
+from ({ORDERS}) where cast(substring(order_id, 5) as bigint) % 7 = 0
+union all select order_id, customer_id, warehouse_id, package_weight_kg + 1e0 package_weight_kg,
+       package_size, priority, status, created_at
+from ({ORDERS}) where cast(substring(order_id, 5) as bigint) % 11 = 0"""
+
 # Every 11th order has no time; some have no id, and every 7th arrives a second time.
 ORDERS_UNDATED = _orders(_ORDER_ID, _CUSTOMER_ID, _STATUS, "o_orderkey % 11 <> 0")
 _UNNAMED = _orders(_DIRTY_ID, _CUSTOMER_ID, _STATUS)
@@ -139,6 +149,7 @@ VIEWS = {
     "weather_tied": WEATHER_TIED, "orders_dirty": ORDERS_DIRTY,
     "orders_orphaned": ORDERS_ORPHANED, "orders_repeated": ORDERS_REPEATED,
     "orders_undated": ORDERS_UNDATED, "orders_unnamed": ORDERS_UNNAMED,
+    "orders_versions": ORDERS_VERSIONS,
     "raw_customers": RAW_CUSTOMERS, "typed_records": TYPED_RECORDS, "customer_versions": CUSTOMER_VERSIONS,
 }
 

@@ -8,7 +8,6 @@ add 1e-9 first.
 from __future__ import annotations
 
 from cargolens import testbed
-from cargolens.plans import quality
 
 SOME_FILTERS = {
     "warehouses": [f"Supplier#{n:09d}" for n in range(1, 41)],
@@ -113,33 +112,52 @@ def _tables(suffix: str = "", orders: str = "ship_orders", missing: int = 0) ->
 {names['dp']} as ({PERFORMANCE.format(**names)})"""
 
 
-def _check_sql(check: quality.Check, table: str, parents: dict[str, str]) -> str:
-    col = check.column
-    if check.kind == "not_null":
-        count = f"select count(*) n from {table} where {col} is null"
-    elif check.kind == "accepted_values":
-        count = f"select count(*) n from {table} where {col} not in ({_quoted(check.values)})"
-    elif check.kind == "in_range":
-        terms = [f"{col} {op} {bound}" for op, bound in
-                 (("<", check.low), ("<=", check.above), (">", check.high)) if bound is not None]
-        count = f"select count(*) n from {table} where {' or '.join(terms)}"
-    elif check.kind == "unique":
-        count = (f"select count(*) n from (select {col} from {table} where {col} is not null "
-                 f"group by {col} having count(*) > 1)")
-    elif check.kind == "relationships":
-        parent, key = check.parent
-        count = (f"select count(*) n from {table} where {col} is not null and {col} not in "
-                 f"(select {key} from {parents[parent]})")
-    else:
-        count = (f"select abs((select count(*) from {table}) - "
-                 f"(select count(*) from {parents[check.parent[0]]})) n")
-    name = f"'{col}'" if col else "cast(null as varchar)"
-    return (f"select '{check.table}' table_name, {name} column_name, '{check.kind}' check_name, "
-            f"n failing_rows, n = 0 passed from ({count})")
-
-
-def _checks_sql(checks, tables: dict[str, str]) -> str:
-    return " union all ".join(_check_sql(c, tables[c.table], tables) for c in checks)
+# Every declared test of the three marts: table, column, check, SQL that counts what fails.
+_MART_TESTS = """
+dim_customers | customer_id | unique | select count(*) from (select customer_id from {dim} where customer_id is not null group by 1 having count(*) > 1)
+dim_customers | customer_id | not_null | select count(*) from {dim} where customer_id is null
+dim_customers | country | not_null | select count(*) from {dim} where country is null
+fact_shipments | order_id | unique | select count(*) from (select order_id from {fact} where order_id is not null group by 1 having count(*) > 1)
+fact_shipments | order_id | not_null | select count(*) from {fact} where order_id is null
+fact_shipments | customer_id | not_null | select count(*) from {fact} where customer_id is null
+fact_shipments | warehouse_id | not_null | select count(*) from {fact} where warehouse_id is null
+fact_shipments | order_date | not_null | select count(*) from {fact} where order_date is null
+fact_shipments | customer_id | relationships | select count(*) from {fact} where customer_id not in (select customer_id from {dim})
+fact_shipments | status | accepted_values | select count(*) from {fact} where status not in ('created', 'processing', 'shipped', 'delivered', 'cancelled')
+delivery_performance | order_id | unique | select count(*) from (select order_id from {dp} where order_id is not null group by 1 having count(*) > 1)
+delivery_performance | order_id | not_null | select count(*) from {dp} where order_id is null
+delivery_performance | customer_id | not_null | select count(*) from {dp} where customer_id is null
+delivery_performance | warehouse_id | not_null | select count(*) from {dp} where warehouse_id is null
+delivery_performance | risk_score | not_null | select count(*) from {dp} where risk_score is null
+delivery_performance | transport_mode | accepted_values | select count(*) from {dp} where transport_mode not in ('van', 'truck', 'air')
+delivery_performance | risk_category | accepted_values | select count(*) from {dp} where risk_category not in ('LOW', 'MEDIUM', 'HIGH', 'CRITICAL')
+"""
+
+# Ranges, source value sets, key inclusion and row counts.
+_RANGE_TESTS = """
+customers | latitude | in_range | select count(*) from customers where latitude < 35 or latitude > 70
+customers | longitude | in_range | select count(*) from customers where longitude < -10 or longitude > 30
+orders | package_weight_kg | in_range | select count(*) from ship_orders where package_weight_kg <= 0 or package_weight_kg > 30
+orders | priority | accepted_values | select count(*) from ship_orders where priority not in ('standard', 'express', 'priority')
+orders | package_size | accepted_values | select count(*) from ship_orders where package_size not in ('small', 'medium', 'large')
+orders | status | accepted_values | select count(*) from ship_orders where status not in ('created', 'processing', 'shipped', 'delivered', 'cancelled')
+orders | customer_id | relationships | select count(*) from ship_orders where customer_id not in (select customer_id from customers)
+orders | warehouse_id | relationships | select count(*) from ship_orders where warehouse_id not in (select warehouse_id from warehouses)
+delivery_performance | risk_score | in_range | select count(*) from dp where risk_score < 0 or risk_score > 100
+delivery_performance | distance_km | in_range | select count(*) from dp where distance_km < 0
+delivery_performance | estimated_delivery_hours | in_range | select count(*) from dp where estimated_delivery_hours <= 0
+delivery_performance | | same_rows | select abs((select count(*) from dp) - (select count(*) from ship_orders))
+"""
+
+
+def _tests_sql(tests: str, **tables: str) -> str:
+    parts = []
+    for line in tests.strip().splitlines():
+        table, column, kind, count = (part.strip() for part in line.split("|"))
+        name = f"'{column}'" if column else "cast(null as varchar)"
+        parts.append(f"select '{table}' table_name, {name} column_name, '{kind}' check_name, "
+                     f"n failing_rows, n = 0 passed from (select ({count.format(**tables)}) n)")
+    return " union all ".join(parts)
 
 
 _ASOF = """select o.order_id, o.warehouse_id, o.created_at, w.temperature, w.wind_speed
@@ -267,10 +285,8 @@ def oracles() -> dict[str, str]:
             + f",\nrisk_penalty as ({RISK.format(missing=15, routes='routes')})"
             + ",\ndp_idle as (select * from dp where warehouse_id <> 'WH-001'),"
               "\ndp_none as (select * from dp where false)\n")
-    clean = {"customers": "customers", "warehouses": "warehouses", "orders": "ship_orders",
-             "dim_customers": "customers", "fact_shipments": "fact", "delivery_performance": "dp"}
-    dirty = {**clean, "orders": "orders_dirty", "fact_shipments": "fact_dirty",
-             "delivery_performance": "dp_dirty"}
+    clean = {"dim": "customers", "fact": "fact", "dp": "dp"}
+    dirty = {"dim": "customers", "fact": "fact_dirty", "dp": "dp_dirty"}
     staged = """select customer_id, first_name, last_name, email, city, state, country,
        latitude, longitude from customers"""
     body = {
@@ -325,9 +341,19 @@ def oracles() -> dict[str, str]:
             union all select distinct 'statuses', status from dp
             union all select distinct 'priorities', priority from dp
             union all select distinct 'risks', risk_category from dp""",
-        "dq_marts": _checks_sql(quality.mart_checks(), clean),
-        "dq_marts_dirty": _checks_sql(quality.mart_checks(), dirty),
-        "dq_ranges": _checks_sql(quality.range_checks(), clean),
+        "dq_marts": _tests_sql(_MART_TESTS, **clean),
+        "dq_marts_dirty": _tests_sql(_MART_TESTS, **dirty),
+        "dq_ranges": _tests_sql(_RANGE_TESTS),
+        "dq_incremental": _tests_sql(_MART_TESTS, **clean),
+        "dq_incremental_dirty": _tests_sql(_MART_TESTS, **dirty),
+        "route_points_sample": """select distance_km, estimated_delivery_hours, transport_mode from (
+              select *, row_number() over (partition by transport_mode order by md5(order_id),
+                  distance_km nulls first, estimated_delivery_hours nulls first) rn from dp)
+            where rn <= 1000""",
+        "weather_impact_sample": """select temperature, wind_speed, risk_score from (
+              select *, row_number() over (partition by risk_category order by md5(order_id),
+                  temperature nulls first, wind_speed nulls first, risk_score nulls first) rn from dp)
+            where rn <= 1000""",
         "dq_orphans": """select customer_id, count(*) "rows" from orders_orphaned
             where customer_id not in (select customer_id from customers) group by customer_id""",
         "dq_failing_status": """select order_id, customer_id, warehouse_id, package_weight_kg,
@@ -395,11 +421,26 @@ def oracles() -> dict[str, str]:
               lead(changed_at) over v valid_to, lead(changed_at) over v is null is_current
             from customer_versions
             window v as (partition by customer_id order by changed_at, version_id)""",
+        "customer_scd_merge": """select customer_id, version_id, city, changed_at valid_from,
+              lead(changed_at) over v valid_to, lead(changed_at) over v is null is_current
+            from (select *, lag(city) over (partition by customer_id order by changed_at, version_id)
+                              is distinct from city or row_number() over (
+                                partition by customer_id order by changed_at, version_id) = 1 changed
+                  from customer_versions) where changed
+            window v as (partition by customer_id order by changed_at, version_id)""",
         "stream_timeline": """select cast(created_at as date) "date", count(*) shipments
             from ship_orders group by 1""",
         "stream_timeline_undated": """select cast(created_at as date) "date", count(*) shipments
             from orders_undated group by 1""",
         "stream_dedupe": "select * from ship_orders",
+        "stream_dedupe_versions": """select * exclude (rn) from (
+              select *, row_number() over (partition by order_id order by created_at, customer_id,
+                  warehouse_id, package_weight_kg, package_size, priority, status) rn
+              from orders_versions) where rn = 1""",
+        "incremental_mart_day": """select * replace (
+              case when cast(order_date as date)
+                        = (select cast(min(created_at) as date) + 3 from ship_orders)
+                   then 'delivered' else status end as status) from dp""",
         "stream_dedupe_unnamed": """select * exclude (rn) from (
               select *, row_number() over (partition by order_id) rn from orders_unnamed)
             where rn = 1 or order_id is null""",
@@ -415,7 +456,12 @@ def oracles() -> dict[str, str]:
               case when moved then 'delivered' else status end as status)
             from (select *, cast(substring(order_id, 5) as bigint) % 5 = 0 moved from dp)""",
     }
+    body["stream_risk_asof"] = body["delivery_risk_asof"]
     body |= _reports()
     chosen = _reports(_where(SOME_FILTERS), _where(SOME_FILTERS, "d."))
     body |= {f"{name}_filtered": sql for name, sql in chosen.items()}
+    body["overview_metrics_rollup"] = body["overview_metrics"]
+    body["overview_metrics_rollup_filtered"] = body["overview_metrics_filtered"]
+    body["overview_metrics_rollup_empty"] = body["overview_metrics_empty"]
+    body["customer_metrics_rollup_filtered"] = body["customer_metrics_filtered"]
     return {name: head + sql for name, sql in body.items()}

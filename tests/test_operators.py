@@ -198,3 +198,38 @@ def test_filter_options(spark):
                    ("risks", "LOW"), ("risks", None), ("statuses", "created"),
                    ("statuses", "it's"), ("statuses", "shipped"), ("warehouses", "North"),
                    ("warehouses", "North"), ("warehouses", "O'Brien's")]
+
+
+@pytest.mark.parametrize("copies", [(60, 60), (1, 3000), (3000, 1)])
+def test_ids_repeated_on_both_sides_are_spread(spark, copies):
+    """A key that is hot on both sides, or on one, is split over the partitions and the result stays."""
+    mine, theirs = copies
+    left = spark.createDataFrame([("hot", 7)] * mine + [(f"k{i}", i) for i in range(40)] + [(None, 1), ("only", 2)],
+                                 "key string, a int").coalesce(1)
+    right = spark.createDataFrame([("hot", 9)] * theirs + [(f"k{i}", i) for i in range(0, 40, 2)] + [(None, 3)],
+                                  "key string, b int").coalesce(1)
+    got = joins.left_join_all(left, [right], "key")
+    assert rows(got.groupBy("key", "a", "b").count()) == rows(left.join(right, "key", "left").groupBy("key", "a", "b").count())
+    grid = joins.hot_pairs(left, right, "key").collect()
+    assert [r["key"] for r in grid] == ["hot"]
+    cells = grid[0][joins.LEFT_PARTS] * grid[0][joins.RIGHT_PARTS]
+    assert cells >= 8 and grid[0][joins.LEFT_PARTS] >= (mine > 1) * 2
+
+
+def test_equal_rows_of_a_hot_key_part(spark):
+    """1,000 copies of one row on each side meet in all tasks, not in one."""
+    copies = spark.range(1000, numPartitions=1).selectExpr("'k' as key", "1 as a")
+    joined = joins.left_join_all(copies, [copies.withColumnRenamed("a", "b")], "key")
+    shares = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in shares) == 1_000_000
+    assert max(r["count"] for r in shares) < 500_000
+
+
+def test_latest_row_without_sorting_the_history(spark):
+    df = spark.createDataFrame([("a", 1, 5, "x"), ("a", 2, 1, "y"), ("a", 2, 3, None), ("a", 2, 3, None), ("b", None, 1, "z"),
+                                ("b", None, 2, "w"), (None, 1, 1, "n"), ("c", 4, None, "q")], "k string, ts int, id int, v string")
+    got = latest_per_key(df, "k", ["ts", "id"])
+    assert rows(got) == rows(spark.createDataFrame(
+        [("a", 2, 3, None), ("b", None, 2, "w"), (None, 1, 1, "n"), ("c", 4, None, "q")], df.schema))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Sort [" not in plan.split("Exchange")[-1]

@@ -1,6 +1,10 @@
+import random
+
 import pytest
 
 from cargolens.plans import quality as q
+from cargolens.plans.quality_state import CheckState
+from conftest import rows
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +62,32 @@ def test_unknown_checks(tables):
 
 def test_declared_checks():
     assert len(q.mart_checks()) == 17
+
+
+def test_growing_tables_are_checked_by_batches(spark, tmp_path):
+    """Any order of arrival gives the counts of the whole tables."""
+    checks = [q.Check("child", "id", "unique"), q.Check("child", "id", "not_null"),
+              q.Check("child", "parent", "relationships", parent=("parent", "id")),
+              q.Check("child", "kind", "accepted_values", values=("a", "b")),
+              q.Check("child", "n", "in_range", low=0.0, above=None, high=5.0),
+              q.Check("parent", "id", "unique"),
+              q.Check("parent", None, "same_rows", parent=("child", None))]
+    pick = random.Random(4)
+    child = [(pick.choice([None, *range(40)]), pick.choice([None, *range(12)]), pick.choice(["a", "b", "c", None]),
+              pick.choice([-1.0, 2.0, 7.0, float("nan"), None]), f"2026-01-0{1 + k % 4}") for k in range(60)]
+    parent = [(pick.randrange(9),) for _ in range(10)]
+    kinds = {"child": "id int, parent int, kind string, n double, day string", "parent": "id int"}
+    frames = {"child": child, "parent": parent}
+    def table(name, data):
+        return spark.createDataFrame(data, kinds[name])
+    state = CheckState(spark, str(tmp_path), checks, {"child": "day"})
+    batches = [{"child": child[:25]}, {"child": child[25:40], "parent": parent[:3]},
+               {"parent": parent[3:]}, {"child": child[40:], "parent": []}, {}]
+    for number, batch in enumerate(batches):
+        for _ in range(1 + (number == 1)):  # a batch that runs again changes nothing
+            state.add(number, {name: table(name, data) for name, data in batch.items()})
+    want = q.run_checks({n: table(n, d) for n, d in frames.items()}, checks)
+    assert rows(state.results()) == rows(want)
+    by_day = state.by_day().where("check_name = 'in_range'").collect()
+    assert {str(r["day"]): r["failing_rows"] for r in by_day} == {
+        d: sum(c[4] == d and c[3] is not None and not 0 <= c[3] <= 5 for c in child) for d in {c[4] for c in child}}

@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 
 from cargolens.plans import analytics as a
-from cargolens.plans import marts
+from cargolens.plans import marts, rollup
 from conftest import rows
 
 DAY1, DAY2 = datetime(2026, 1, 1, 23), datetime(2026, 1, 2, 1)
@@ -148,3 +148,49 @@ def test_lists(dp):
 def test_histograms(dp):
     assert rows(a.distance_histogram(dp)) == [(0, 1), (1, 1), (29, 1)]
     assert rows(a.risk_histogram(dp)) == [(0, 1), (14, 1), (19, 1)]
+
+
+def shipments_of(spark, n):
+    return spark.range(n).selectExpr(
+        "concat('O', id) order_id", "concat('C', id % 70000) customer_id", "concat('W', id % 2) warehouse_id",
+        "timestamp_ntz'2026-01-01 00:00:00' + make_dt_interval(cast(id % 3 as int)) order_date",
+        "if(id % 2 = 0, 'shipped', 'created') status", "cast(id % 9 as double) package_weight_kg",
+        "'small' package_size", "if(id % 5 = 0, 'express', 'standard') priority", "'x' customer_city",
+        "'SE' customer_country", "concat('R', id) route_id", "if(id % 7 = 0, null, cast(id as double)) distance_km",
+        "cast(id % 11 as double) estimated_delivery_hours", "if(id % 4 = 0, 'air', 'van') transport_mode",
+        "1.5D temperature", "2.5D wind_speed", "cast(id % 80 as int) risk_score",
+        "if(id % 80 > 64, 'CRITICAL', 'LOW') risk_category")
+
+
+def test_rollup_gives_the_same_figures(spark, dp, depots, tmp_path):
+    """Also with customers over several pages of bits, and over no rows at all."""
+    filters = [None, {"statuses": ["shipped"]}, {"priorities": ["express"], "risk": ["CRITICAL"]},
+               {"warehouses": ["North"]}, {"statuses": ["nothing"]}]
+    large = shipments_of(spark, 75_000).withColumn("warehouse_id", a.F.expr("translate(warehouse_id, '0', '2')"))
+    for number, mart in enumerate((dp, large, dp.where("false"))):
+        root = f"{tmp_path}/{number}"
+        rollup.build(spark, root, mart)
+        for chosen in filters:
+            for mine, whole in ((rollup.overview_metrics, a.overview_metrics),
+                                (rollup.customer_metrics, a.customer_metrics)):
+                got = mine(spark, root, chosen, depots)
+                assert rows(got)[0] == pytest.approx(rows(whole(mart, chosen, depots), *got.columns)[0])
+
+
+def test_dense_numbers(spark):
+    keys = spark.range(5000).selectExpr("if(id % 10 = 9, null, concat('k', id % 800)) as k").repartition(7)
+    numbers = [r["number"] for r in rollup.dense_numbers(keys, "k").collect()]
+    assert sorted(numbers) == list(range(1, 721))
+
+
+def test_samples_are_bounded_and_stable(spark):
+    mart = shipments_of(spark, 5000)
+    for sample, group in ((a.route_points_sample, "transport_mode"), (a.weather_impact_sample, None)):
+        chosen = rows(sample(mart, size=50))
+        assert len(chosen) == 100
+        assert chosen == rows(sample(mart.repartition(13, "status"), size=50))
+        assert chosen == rows(sample(mart.coalesce(1).orderBy("distance_km"), size=50))
+    # The least of the parts hold the least of the whole.
+    halves = [a.route_points_sample(mart.where(f"length(order_id) % 2 = {k}"), size=50) for k in (0, 1)]
+    assert set(rows(a.route_points_sample(mart, size=50))) <= {r for h in halves for r in rows(h)}
+    assert a.route_points_sample(mart, {"statuses": ["none"]}).collect() == []

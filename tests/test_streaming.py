@@ -4,11 +4,12 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cargolens import schemas as S
 from cargolens.plans import marts, transforms
 from cargolens.sources import reference
-from cargolens.streaming import shipments
+from cargolens.streaming import ledger, shipments
 from conftest import rows
 
 START = datetime(2026, 1, 1)
@@ -162,3 +163,77 @@ def test_streams_over_nothing(spark, feed, world):
     assert shipments.run_dedupe(feed.stream, feed.out + "2", feed.checkpoint + "2").collect() == []
     assert shipments.run_risk(feed.stream, *world, feed.out + "3",
                               feed.checkpoint + "3").collect() == []
+
+
+def parquet_files(path):
+    return sorted(str(f) for f in path.rglob("part-*.parquet"))
+
+
+def spoil(files):
+    """Files that nobody can read any more."""
+    for f in files:
+        with open(f, "wb") as out:
+            out.write(b"not parquet")
+
+
+def test_refresh_opens_the_days_of_its_batch_only(spark, feed, world, tmp_path):
+    shipments.refresh_mart(orders_of(spark, 0, 120), 0, feed.out, *world)
+    for kind in ("orders_by_day", "mart"):
+        spoil(f for f in parquet_files(tmp_path / "out" / kind) if "order_day=2026-01-02" not in f)
+    late = orders_of(spark, 30, 36).withColumn("status", F.lit("delivered"))
+    shipments.refresh_mart(late, 1, feed.out, *world)
+    day = spark.read.parquet(f"{feed.out}/mart/order_day=2026-01-02").select(*marts.PERFORMANCE)
+    current = orders_of(spark, 24, 30).unionByName(late).unionByName(orders_of(spark, 36, 48))
+    assert rows(day) == rows(marts.build_performance(current, *world))
+
+
+def test_days_hold_no_earlier_versions(spark, feed, world):
+    for number in range(4):
+        batch = orders_of(spark, 0, 24).withColumn("status", F.lit(f"s{number}"))
+        shipments.refresh_mart(batch, number, feed.out, *world)
+    assert spark.read.parquet(f"{feed.out}/orders_by_day").count() == 24
+    assert rows(shipments.read_mart(spark, feed.out).select("status").distinct()) == [("s3",)]
+
+
+def test_first_version_in_time_stays(spark, feed):
+    first = orders_of(spark, 0, 20)
+    later = first.withColumns({"created_at": F.expr("created_at + interval 1 hour"), "status": F.lit("later")})
+    heavier = first.withColumn("package_weight_kg", F.col("package_weight_kg") + 1)
+    undated = first.withColumns({"created_at": F.lit(None).cast("timestamp_ntz"), "status": F.lit("undated")})
+    feed.add(later.unionByName(heavier).unionByName(undated).unionByName(first).coalesce(1))
+    feed.add(undated.unionByName(orders_of(spark, 20, 22)).coalesce(1))
+    got = shipments.run_dedupe(feed.stream, feed.out, feed.checkpoint)
+    assert rows(got) == rows(orders_of(spark, 0, 22))
+
+
+def test_ranges_of_a_ledger():
+    for n in range(700):
+        found = ledger.ranges(n)
+        assert [k for a, b in found for k in range(a, b)] == list(range(n))
+        assert all(a % (b - a) == 0 for a, b in found)
+        assert len(found) <= 7 * 4
+
+
+def test_ledger(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledger, "FAN", 3)
+    it = ledger.Ledger(spark, str(tmp_path), T.StructField("id", T.StringType()), T.StructField("day", T.LongType()))
+    known = {}
+    for number in range(11):
+        new = {f"i{(number * 5 + k) % 23}": number for k in range(4)}
+        asked = spark.createDataFrame([(f"i{k}",) for k in range(0, 23, 2)], "id string")
+        for _ in range(2):  # a batch that runs again
+            want = sorted((k, v) for k, v in known.items() if int(k[1:]) % 2 == 0)
+            assert rows(it.before(number, asked)) == want
+            it.add(number, spark.createDataFrame(list(new.items()), "id string, day bigint"))
+        known |= new
+
+
+def test_a_lookup_opens_few_files(spark, tmp_path):
+    """One id is looked up: the files opened are those of its hash folder in a few ranges."""
+    it = ledger.Ledger(spark, str(tmp_path), T.StructField("id", T.StringType()), T.StructField("day", T.LongType()))
+    for number in range(ledger.FAN + 2):
+        it.add(number, spark.range(200).selectExpr(f"concat('i', id + {200 * number}) as id", "id as day"))
+    asked = spark.createDataFrame([("i77",)], "id string")
+    bucket = asked.select(F.pmod(F.xxhash64("id"), F.lit(ledger.BUCKETS))).first()[0]
+    spoil(f for f in parquet_files(tmp_path) if f"bucket={bucket}/" not in f or "/to=8/" in f and "from=0" not in f)
+    assert rows(it.before(ledger.FAN + 2, asked)) == [("i77", 77)]
