@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cargolens.llm import bagminhash
-from cargolens.llm.common import free_name
+from cargolens.llm.common import free_name, stored_in_buckets
 from cargolens.operators.joins import lookup_join
 from cargolens.sources.workspace import stored
 
@@ -172,10 +172,10 @@ def nodes_of(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def candidates(docs: DataFrame, key: str, text: str, nodes: DataFrame) -> DataFrame:
-    """(node, text) of the given nodes."""
+    """(node, text) of the given nodes, in buckets by node, so that later joins move the pairs and not the texts."""
     rows = docs.select(F.col(key).alias("node"), F.col(text).alias("text"))
     found = rows.join(nodes, "node", "left_semi")
-    return stored(found.groupBy("node").agg(F.min("text").alias("text")), "candidates")
+    return stored_in_buckets(found.groupBy("node").agg(F.min("text").alias("text")), "node", "candidates")
 
 
 def link_classes(docs: DataFrame, key: str, text: str, reps: DataFrame,
@@ -224,11 +224,14 @@ def link_classes(docs: DataFrame, key: str, text: str, reps: DataFrame,
     classed = with_classes(members)
     if classed.isEmpty():
         return labels
-    open_texts = texts.join(classed.select("node").distinct(), "node", "left_semi")
-    classed = stored(classed.join(shareable(open_texts), "node"), "classed")
+    waiting = stored(classed.select("node").distinct(), "open_nodes")
+    open_texts = texts.join(waiting, "node", "left_semi")
+    own = (members.join(waiting, "node", "left_semi").groupBy("node")
+           .agg(F.collect_set("bucket").alias("own")))  # 25 for each text of the node
+    classed = stored(classed.join(shareable(open_texts), "node").join(own, "node"), "classed")
     overlap = F.least("common", "leader_common")
     enough = overlap >= least * (F.col("size") + F.col("leader_size") - overlap) - 1e-6
-    carried = ["size", "common", *SKETCH]
+    carried = ["size", "common", "own", *SKETCH]
     while True:
         turn = classed.where("waits").selectExpr(
             "bucket", "node", "row_number() over (partition by bucket order by node) as turn")
@@ -236,12 +239,16 @@ def link_classes(docs: DataFrame, key: str, text: str, reps: DataFrame,
         if leaders.isEmpty():
             return labels
         leading = classed.join(leaders, ["bucket", "node"]).select(
-            "bucket", F.col("node").alias("leader"), F.col("cls").alias("leader_cls"),
+            F.col("bucket").alias("place"), F.col("node").alias("leader"), F.col("cls").alias("leader_cls"),
             F.col("size").alias("leader_size"), F.col("common").alias("leader_common"),
+            F.col("own").alias("leader_own"),
             *(F.col(c).alias(f"l{c}") for c in SKETCH))
-        near = classed.join(leading, (classed["bucket"] == leading["bucket"])
+        # A pair that shares several buckets is looked at in one of them. Any would do: each either has both
+        # in its head's class, or one of the two is paired there with all that are in other classes.
+        near = classed.join(leading, (F.col("bucket") == F.col("place"))
                             & (F.col("cls") != F.col("leader_cls")) & enough
-                            & (agreement("", "l") >= AGREE))
+                            & (agreement("", "l") >= AGREE)
+                            & (F.array_min(F.array_intersect("own", "leader_own")) == F.col("place")))
         pairs = stored(pairs_of(near).join(done, ["a", "b"], "left_anti"), "new_pairs")
         if not pairs.isEmpty():
             fresh = verified(pairs, texts)
