@@ -29,6 +29,7 @@ from cargolens.sources.workspace import fresh_path, stored
 
 LEAST_SHARED = 1000  # bytes from which equal payloads are written once
 STRIPE = 4 << 20  # bytes of an archive that one read task row covers
+READ = 32 << 20  # bytes of records that one task reads
 GAP = 64 << 10  # unselected bytes that are read over rather than skipped
 DATE = "2026-01-01T00:00:00Z"
 
@@ -191,8 +192,14 @@ def ranges(spans: list[tuple[int, int]], gap: int = GAP) -> list[list[tuple[int,
 
 
 def read(selected: DataFrame, folder: str) -> DataFrame:
-    """The records that index rows point at, each described by what stands in the archive."""
-    places = (selected.groupBy("archive", F.expr(f"offset div {STRIPE}").alias("stripe"))
+    """The records that index rows point at, each described by what stands in the archive.
+
+    Index rows are small and what they stand for is not, so the stripes are dealt to as many tasks as the
+    records need by their own bytes (`READ` each).
+    """
+    total = selected.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    stripes = selected.withColumn("stripe", F.expr(f"offset div {STRIPE}"))
+    places = (stripes.repartition(-(-total // READ) or 1, "archive", "stripe").groupBy("archive", "stripe")
               .agg(F.collect_list(F.struct("offset", "length")).alias("spans"))
               .select("archive", "spans"))
 
