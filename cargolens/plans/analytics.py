@@ -37,20 +37,24 @@ AVERAGED = {"avg_distance": "distance_km", "avg_delivery": "estimated_delivery_h
 
 
 def overview_metrics(dp: DataFrame, filters=None, warehouses=None) -> DataFrame:
-    """One pass over the mart: sums per customer and warehouse, then all figures from these rows."""
+    """Sums per warehouse, which are few rows, for the figures; customers, which are many, are only told apart."""
     chosen = apply_filters(dp, filters, warehouses)
-    pairs = chosen.groupBy("customer_id", "warehouse_id").agg(
+    depots = chosen.groupBy("warehouse_id").agg(
         _shipments(), _high_risk().alias("high"),
         *[F.sum(c).alias(f"sum_{name}") for name, c in AVERAGED.items()],
         *[F.count(c).alias(f"n_{name}") for name, c in AVERAGED.items()])
     none = F.lit(0).cast("bigint")
-    return pairs.agg(
+    figures = depots.agg(
         F.coalesce(F.sum("shipments"), none).alias("shipments"),
-        F.count_distinct("customer_id").alias("customers"),
-        F.count_distinct("warehouse_id").alias("warehouses"),
+        F.count("warehouse_id").alias("warehouses"),
         *[(F.sum(f"sum_{name}") / F.nullif(F.sum(f"n_{name}"), none)).alias(name)
           for name in AVERAGED],
         F.coalesce(F.sum("high"), none).alias("high_risk_shipments"))
+    people = chosen.select("customer_id").distinct().agg(F.count("customer_id").alias("customers"))
+    # One row each.
+    both = figures.unionByName(people, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in (
+        "shipments", "customers", "warehouses", *AVERAGED, "high_risk_shipments")])
 
 
 def customer_metrics(dp: DataFrame, filters=None, warehouses=None) -> DataFrame:

@@ -10,6 +10,7 @@ from cargolens import schemas as S
 from cargolens.functions.text import iso_text, stamp_of_file
 from cargolens.operators.latest import latest_per_key
 from cargolens.sources.conform import RejectedRecords
+from cargolens.sources.workspace import stored
 
 
 def all_text(schema: T.StructType) -> T.StructType:
@@ -70,8 +71,8 @@ def _replay(spark: SparkSession, paths, schema: T.StructType, multi_line: bool)
 
 
 def _readable(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    # The reader refuses to look for unreadable documents alone, as when rows are only counted, so
-    # the condition names a field as well.
+    # A reader of files refuses to look for unreadable documents alone, as when rows are only counted,
+    # so the condition names a field as well.
     field = F.length(F.to_json(F.struct(schema.fieldNames()[0]))) > 0
     return raw.where(F.col(CORRUPT).isNull() & field)
 
@@ -97,7 +98,10 @@ def _checked(rejects: DataFrame, on_error: str) -> None:
 
 def customer_rejects(spark: SparkSession, paths, multi_line: bool = False) -> DataFrame:
     """Landed customer documents that cannot be replayed: cut off, mistyped or without results."""
-    raw = _replay(spark, paths, CUSTOMER_PAYLOAD, multi_line)
+    return _customer_rejects(_replay(spark, paths, CUSTOMER_PAYLOAD, multi_line))
+
+
+def _customer_rejects(raw: DataFrame) -> DataFrame:
     return _rejects(raw, CUSTOMER_PAYLOAD, F.when(F.col("results").isNull(), "no results"))
 
 
@@ -106,16 +110,20 @@ def replay_customers(spark: SparkSession, paths, multi_line: bool = False,
     """Customer records of landed payloads, still as text, with `ingested_at`.
 
     `multi_line=True` reads files that hold one indented document each. A document that cannot be replayed
-    fails the batch; with `on_error="skip"` it is left to `customer_rejects`.
+    fails the batch; with `on_error="skip"` it is left to `customer_rejects`. Documents are parsed once.
     """
-    _checked(customer_rejects(spark, paths, multi_line), on_error)
-    raw = _readable(_replay(spark, paths, CUSTOMER_PAYLOAD, multi_line), CUSTOMER_PAYLOAD)
+    raw = stored(_replay(spark, paths, CUSTOMER_PAYLOAD, multi_line), "replayed")
+    _checked(_customer_rejects(raw), on_error)
+    raw = _readable(raw, CUSTOMER_PAYLOAD)
     return raw.select(F.explode("results").alias("r"), "ingested_at").select("r.*", "ingested_at")
 
 
 def weather_rejects(spark: SparkSession, paths, multi_line: bool = False) -> DataFrame:
     """Landed weather records that are unreadable or hold a value of the wrong type."""
-    raw = _replay(spark, paths, all_text(S.WEATHER), multi_line)
+    return _weather_rejects(_replay(spark, paths, all_text(S.WEATHER), multi_line))
+
+
+def _weather_rejects(raw: DataFrame) -> DataFrame:
     bad = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
                   f"{f.name} invalid") for f in S.WEATHER]
     return _rejects(raw, S.WEATHER, F.coalesce(*bad))
@@ -128,8 +136,9 @@ def replay_weather(spark: SparkSession, paths, multi_line: bool = False,
     A record that is unreadable or holds a value of the wrong type fails the batch; with
     `on_error="skip"` it is left to `weather_rejects`, in the history a wrong value is then null.
     """
-    _checked(weather_rejects(spark, paths, multi_line), on_error)
-    raw = _readable(_replay(spark, paths, all_text(S.WEATHER), multi_line), S.WEATHER)
+    raw = stored(_replay(spark, paths, all_text(S.WEATHER), multi_line), "replayed")
+    _checked(_weather_rejects(raw), on_error)
+    raw = _readable(raw, S.WEATHER)
     return raw.select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in S.WEATHER], "ingested_at")
 

@@ -31,6 +31,8 @@ def run_timeline(orders: DataFrame, path: str, checkpoint: str) -> DataFrame:
     Counts are additive, so each batch writes its own and reading adds them up: no state, no
     watermark, and orders that are late or have no day (a null day) count like all others.
     """
+    assert_columns(orders, ["created_at"])
+
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = (batch.groupBy(F.to_date("created_at").alias("date"))
                   .agg(F.count("*").alias("shipments")))
@@ -81,6 +83,8 @@ def run_dedupe(orders: DataFrame, path: str, checkpoint: str) -> DataFrame:
 def run_risk(orders: DataFrame, customers: DataFrame, warehouses: DataFrame, latest: DataFrame,
              path: str, checkpoint: str, null_points: int = 0) -> DataFrame:
     """Route and score a stream of orders batch by batch, with the batch operators."""
+    assert_columns(orders, S.STG_ORDERS)
+
     def score(batch: DataFrame, batch_id: int) -> None:
         routes = transforms.build_routes(batch, customers, warehouses)
         risk = transforms.build_delivery_risk(routes, latest, null_points, profile=batch)
