@@ -20,7 +20,8 @@ from cargolens.functions import text
 from cargolens.operators import cells, filters, latest
 from cargolens.plans import analytics, build, marts, quality, rollup, transforms
 from cargolens.plans.quality_state import CheckState
-from cargolens.sources import bronze, conform, lake
+from cargolens.operators.joins import lookup_join
+from cargolens.sources import bronze, conform, lake, reference
 from cargolens.sources.workspace import fresh_path, stored
 from cargolens.streaming import asof, history, ingest, shipments
 
@@ -232,6 +233,18 @@ def _conform_types(t: Tables) -> DataFrame:
                          "typed.latitude", F.array_join("reject_reason", ",").alias("reject_reason"))
 
 
+def _reference_routes(t: Tables) -> DataFrame:
+    """Orders from the four reference warehouses to customers in the reference cities."""
+    number = F.expr(_number("customer_id"))
+    names = F.array(*[F.lit(row[0]) for row in reference.CITIES])
+    towns = reference.cities(t.spark).select("city", "latitude", "longitude")
+    people = lookup_join(t.customers.select("customer_id", F.element_at(
+        names, (number % len(reference.CITIES) + 1).cast("int")).alias("city")), towns, "city")
+    depots = reference.reference_warehouses(t.spark)
+    depot = F.concat(F.lit("WH-00"), F.expr(_number("order_id")) % len(reference.WAREHOUSES) + 1)
+    return transforms.build_routes(t.orders.withColumn("warehouse_id", depot), people, depots)
+
+
 def _flatten_weather(t: Tables) -> DataFrame:
     answer = F.struct("temperature", F.col("wind_speed").alias("windspeed")).alias("current_weather")
     return bronze.flatten_weather(t.weather.select(
@@ -517,6 +530,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "bronze_to_mart": _bronze_to_mart,
     "conform_types": _conform_types,
     "flatten_weather": _flatten_weather,
+    "reference_routes": _reference_routes,
     "catalog_load": _catalog_load,
     "padded_ids": lambda t: testbed.base_table(t.spark, t.sf_dir, "supplier").select(
         "s_suppkey", text.padded_id("WH", F.col("s_suppkey")).alias("warehouse_id")),

@@ -8,6 +8,7 @@ add 1e-9 first.
 from __future__ import annotations
 
 from cargolens import testbed
+from cargolens.sources import reference
 
 SOME_FILTERS = {
     "warehouses": [f"Supplier#{n:09d}" for n in range(1, 41)],
@@ -89,6 +90,18 @@ def _landed() -> str:
     return PERFORMANCE.format(fact=f"({fact})", routes=f"({routes})", risk=f"({risk})")
 
 
+def _reference_routes() -> str:
+    towns = ", ".join(f"({k}, {row[3]}e0, {row[4]}e0)" for k, row in enumerate(reference.CITIES))
+    depots = ", ".join(f"('WH-00{k}', {row[3]}e0, {row[4]}e0)" for k, row in enumerate(reference.WAREHOUSES, 1))
+    people = f"""(select customer_id, t.latitude, t.longitude
+       from customers join (values {towns}) t(n, latitude, longitude)
+            on cast(substring(customer_id, 6) as bigint) % {len(reference.CITIES)} = t.n)"""
+    orders = """(select * replace ('WH-00' || (cast(substring(order_id, 5) as bigint) % 4 + 1) as warehouse_id)
+       from ship_orders)"""
+    return (ROUTES.format(orders=orders).replace("join customers c", f"join {people} c")
+            .replace("join warehouses w", f"join (values {depots}) w(warehouse_id, latitude, longitude)"))
+
+
 def _quoted(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
@@ -401,6 +414,7 @@ def oracles() -> dict[str, str]:
                    when k = 9 then 'latitude:invalid' when k in (0, 10) then 'email:missing'
                    else '' end reject_reason
             from (select c_custkey, c_custkey % 11 k from customer)""",
+        "reference_routes": _reference_routes(),
         "flatten_weather": """select warehouse_id, "timestamp", temperature, wind_speed from weather""",
         "catalog_load": """select customer_id, city, latitude, (select count(*) from customers) loaded
             from customers""",
