@@ -1,5 +1,6 @@
 """Language identification: held-out accuracy, filters without misses, odd rows."""
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -61,3 +62,42 @@ def test_odd_rows(spark):
     assert nothing is None
     assert {r["lang_pred"] for r in langid.identify(df, nothing, held).collect()} == {"und"}
     assert langid.identify(df.where("false"), filters, held).collect() == []
+
+
+def plain_trigrams(text):
+    """As the docstring says, letter by letter."""
+    padded = f" {(text or '').lower()} "
+    return [tuple(c if c.isalpha() else " " for c in padded[k - 1:k + 2])
+            for k in range(1, len(padded) - 1) if padded[k].isalpha()]
+
+
+def test_predictions_are_those_of_plain_sets(spark):
+    """Profiles as sets without any hashing give the same languages, and the same scores but for chance hits."""
+    small = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{small}/documents.parquet").collect()
+    counts = {}
+    for d in docs:
+        if zlib.crc32(str(d["doc_id"]).encode()) % 5 and d["lang"] is not None and d["text"] is not None:
+            counts.setdefault(d["lang"], Counter()).update(plain_trigrams(d["text"]))
+    shares = {lang: {g: n / c.total() for g, n in c.items() if n >= langid.LEAST_SHARE * c.total()}
+              for lang, c in counts.items()}
+    most = Counter()
+    for own in shares.values():
+        for gram, share in own.items():
+            most[gram] = max(most[gram], share)
+    profiles = {lang: {g for g, share in own.items() if share >= langid.LEAST_RATIO * most[g]}
+                for lang, own in sorted(shares.items())}
+    got = {r["doc_id"]: r for r in entry.op8_langid(spark, small).collect()}
+    clear = 0
+    for d in docs:
+        grams, row = plain_trigrams(d["text"]), got[d["doc_id"]]
+        if not grams:
+            assert (row["lang_pred"], row["score"]) == ("und", 0.0)
+            continue
+        found = {lang: sum(g in own for g in grams) / len(grams) for lang, own in profiles.items()}
+        best, *others = sorted(found.values(), reverse=True)
+        assert abs(row["score"] - best) < 0.01
+        if not others or best - others[0] > 0.01:
+            clear += 1
+            assert row["lang_pred"] == max(found, key=found.get)
+    assert clear > 900
