@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargolens.llm import bagminhash
+from cargolens.llm import bagminhash, sieve
 from cargolens.llm.common import free_name, stored_in_buckets
 from cargolens.operators.joins import lookup_join
 from cargolens.sources.workspace import stored
@@ -174,7 +174,7 @@ def nodes_of(docs: DataFrame, key: str, text: str) -> DataFrame:
 def candidates(docs: DataFrame, key: str, text: str, nodes: DataFrame) -> DataFrame:
     """(node, text) of the given nodes, in buckets by node, so that later joins move the pairs and not the texts."""
     rows = docs.select(F.col(key).alias("node"), F.col(text).alias("text"))
-    found = rows.join(nodes, "node", "left_semi")
+    found = sieve.semi_join(rows, "node", nodes, "node")
     return stored_in_buckets(found.groupBy("node").agg(F.min("text").alias("text")), "node", "candidates")
 
 
@@ -295,7 +295,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     gone = copies.select(F.col("id").alias(name)).distinct()
     often = found.groupBy("id").count().where("count > 1").select(F.col("id").alias(name))
     if often.isEmpty():
-        return docs.join(gone, F.col(key) == F.col(name), "left_anti")
+        return sieve.anti_join(docs, key, gone, name)
     often = stored(often, "repeated")
     once = (docs.join(often, F.col(key) == F.col(name), "left_anti")
             .join(gone, F.col(key) == F.col(name), "left_anti"))
