@@ -56,7 +56,7 @@ def stored_in_buckets(df: DataFrame, key: str, name: str, *sort: str) -> DataFra
     spark = df.sparkSession
     path = fresh_path(spark, name)
     table = f"{name}_{path.rpartition('-')[2]}"
-    writer = (df.write.option("path", path).option("compression", "zstd")
+    writer = (df.write.option("path", path)
               .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key))
     (writer.sortBy(*sort) if sort else writer).saveAsTable(table)
     return spark.table(table)

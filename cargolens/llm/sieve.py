@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cargolens.llm.common import free_name
 from cargolens.sources.workspace import stored
 
-BITS = 1 << 26  # 8 MB, in pages of 4 KB
+BITS = 1 << 24  # 2 MB, in pages of 4 KB
 
 
 def marked(rows: DataFrame, key: str, wanted: DataFrame, name: str) -> tuple[DataFrame, str]:

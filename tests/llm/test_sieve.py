@@ -4,7 +4,7 @@ import pytest
 from cargolens.llm import sieve
 
 
-@pytest.mark.parametrize("bits", [1 << 26, 64, 1])
+@pytest.mark.parametrize("bits", [sieve.BITS, 64, 1])
 def test_joins(spark, monkeypatch, bits):
     """Also when the bitmap is so full that everything passes."""
     monkeypatch.setattr(sieve, "BITS", bits)
