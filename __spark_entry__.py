@@ -265,7 +265,7 @@ def _catalog_load(t: Tables) -> DataFrame:
 
 def _dirty_tables(t: Tables) -> dict[str, DataFrame]:
     orders = t.view("orders_dirty")
-    fact = marts.fact_shipments(orders, t.customers)
+    fact = stored(marts.fact_shipments(orders, t.customers), "dirty_fact")
     dp = marts.build_performance(orders, t.customers, t.warehouses, t.latest)
     return {"customers": t.customers, "warehouses": t.warehouses, "orders": orders,
             "fact_shipments": fact,
@@ -276,7 +276,8 @@ def _dirty_tables(t: Tables) -> dict[str, DataFrame]:
 def _clean_tables(t: Tables) -> dict[str, DataFrame]:
     return {"customers": t.customers, "warehouses": t.warehouses, "orders": t.orders,
             "dim_customers": marts.dim_customers(t.customers),
-            "fact_shipments": marts.fact_shipments(t.orders, t.customers),
+            "fact_shipments": t.written("fact_shipments", lambda: marts.fact_shipments(
+                t.orders, t.customers)),
             "delivery_performance": t.performance}
 
 
