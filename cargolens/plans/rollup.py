@@ -1,9 +1,10 @@
 """Key figures from a rollup: additive figures per day, and exact distinct customers as bitmaps.
 
 Distinct counts do not add up, so a report over a filter has to look at the shipments again, or at sets that can be
-united. Customers get dense numbers; a set of them is one bit per customer in pages of 32,768 (Spark's
-bitmap functions), and a union is a bitwise or. Both tables have one row per combination of what can be filtered by, and the figures
-one per day as well, so a day that changes is one folder.
+united. Customers get dense numbers; a set of them is one bit per customer in words of 64, of which only those with a
+customer are kept, and a union is a bitwise or. So a set takes no more rows than it has members, however many combinations
+there are, and a row is narrow enough to be grouped by hashing. Both tables have rows per combination of what can be
+filtered by, and the figures one per day as well, so a day that changes is one folder.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ KEYS = "warehouse_id string, status string, priority string, risk_category strin
 FIGURES = (f"{KEYS}, shipments bigint, orders bigint, distance_sum double, distance_n bigint, "
            "hours_sum double, hours_n bigint, risk_sum bigint, risk_n bigint, weight_sum double, "
            "weight_n bigint, high_risk bigint, day date")
-PAGES = f"{KEYS}, page bigint, customers binary"
+WORDS = f"{KEYS}, word bigint, customers bigint"
 PLACES = 33  # bits that `monotonically_increasing_id` leaves for the row
 
 
@@ -58,9 +59,9 @@ def build(spark: SparkSession, root: str, dp: DataFrame) -> None:
     numbers = stored(dense_numbers(dp, "customer_id"), "customer_numbers")
     found = dp.where(F.col("customer_id").isNotNull()).select("customer_id", *CHOICES).distinct()
     numbered = lookup_join(found, numbers, "customer_id")
-    pages = numbered.groupBy(*CHOICES, F.bitmap_bucket_number("number").alias("page")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("customers"))
-    pages.write.mode("overwrite").parquet(f"{root}/customers")
+    words = numbered.groupBy(*CHOICES, F.shiftright("number", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(number & 63 as int))")).alias("customers"))
+    words.write.mode("overwrite").parquet(f"{root}/customers")
 
 
 def _mean(name: str):
@@ -68,9 +69,9 @@ def _mean(name: str):
 
 
 def _customers(spark: SparkSession, root: str, filters, warehouses) -> DataFrame:
-    pages = apply_filters(spark.read.schema(PAGES).parquet(f"{root}/customers"), filters, warehouses)
-    united = pages.groupBy("page").agg(F.bitmap_or_agg("customers").alias("customers"))
-    return united.agg(F.coalesce(F.sum(F.bitmap_count("customers")), F.lit(0)).alias("customers"))
+    words = apply_filters(spark.read.schema(WORDS).parquet(f"{root}/customers"), filters, warehouses)
+    united = words.groupBy("word").agg(F.bit_or("customers").alias("customers"))
+    return united.agg(F.coalesce(F.sum(F.bit_count("customers")), F.lit(0)).alias("customers"))
 
 
 def _one_row(*parts: DataFrame) -> DataFrame:

@@ -177,6 +177,15 @@ def test_rollup_gives_the_same_figures(spark, dp, depots, tmp_path):
                 assert rows(got)[0] == pytest.approx(rows(whole(mart, chosen, depots), *got.columns)[0])
 
 
+def test_rollup_of_many_combinations_takes_room_by_its_shipments(spark, tmp_path):
+    """Where every shipment is a combination of its own, a set of one customer is a narrow row and not a page of bits."""
+    mart = shipments_of(spark, 2000).withColumn("warehouse_id", a.F.expr("translate(order_id, 'O', 'W')"))
+    rollup.build(spark, str(tmp_path), mart)
+    sets = spark.read.parquet(f"{tmp_path}/customers")
+    room = sets.agg(a.F.count("*"), a.F.max(a.F.octet_length(a.F.col("customers").cast("string")))).first()
+    assert room[0] == 2000 and room[1] <= 20
+
+
 def test_dense_numbers(spark):
     keys = spark.range(5000).selectExpr("if(id % 10 = 9, null, concat('k', id % 800)) as k").repartition(7)
     numbers = [r["number"] for r in rollup.dense_numbers(keys, "k").collect()]
