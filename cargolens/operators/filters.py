@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargolens.operators.joins import lookup_join
+from cargolens.operators.joins import fits_broadcast, lookup_join
+from cargolens.sources.workspace import stored
 
 # filter key -> column it restricts
 COLUMN_FILTERS = {"statuses": "status", "priorities": "priority", "risk": "risk_category"}
@@ -30,6 +31,8 @@ def apply_filters(df: DataFrame, filters=None, warehouses: DataFrame | None = No
             raise ValueError("the 'warehouses' filter needs the warehouses table")
         chosen = (warehouses.where(F.col("name").isin(list(filters["warehouses"])))
                   .select("warehouse_id"))
+        if not fits_broadcast(chosen):  # estimated by the whole table; written, its own size is known
+            chosen = stored(chosen, "chosen")
         spread = ["order_id"] if "order_id" in df.columns else None
         df = lookup_join(df, chosen, "warehouse_id", "left_semi", spread=spread)
     return df

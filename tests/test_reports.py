@@ -3,6 +3,7 @@ from datetime import datetime
 
 import pytest
 
+from cargolens.operators import filters
 from cargolens.plans import analytics as a
 from cargolens.plans import marts, rollup
 from conftest import rows
@@ -186,6 +187,22 @@ def test_rollup_of_many_combinations_takes_room_by_its_shipments(spark, tmp_path
     assert room[0] == 2000 and room[1] <= 20
 
 
+def test_few_chosen_warehouses_of_many_are_broadcast(spark, dp, tmp_path):
+    """The list of the chosen ones is small, though the table that it comes from is not."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    many = spark.range(20_000).selectExpr("concat('W', id) warehouse_id", "concat('N', id) name")
+    many.write.parquet(f"{tmp_path}/many")
+    spark.conf.set(key, "20k")
+    try:
+        kept = filters.apply_filters(dp, {"warehouses": ["N1", "N9"]}, spark.read.parquet(f"{tmp_path}/many"))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert rows(kept, "order_id") == [("O1",), ("O2",), ("O4",)]
+    finally:
+        spark.conf.set(key, before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_dense_numbers(spark):
     keys = spark.range(5000).selectExpr("if(id % 10 = 9, null, concat('k', id % 800)) as k").repartition(7)
     numbers = [r["number"] for r in rollup.dense_numbers(keys, "k").collect()]
