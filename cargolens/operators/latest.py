@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +35,23 @@ def at_greatest(df: DataFrame, keys: list[str], column: str, choose=F.max) -> Da
     return df.join(tops, same, "left_semi")
 
 
+def _decided(df: DataFrame, keys: list[str], order) -> DataFrame:
+    """`latest_per_key` for an order of fixed width."""
+    named = {k: f"__key{i}" for i, k in enumerate(keys)}
+    hashed = df.withColumn("__hash", F.xxhash64(*[c for c in df.columns if c not in keys]))
+    for number, column in enumerate([*order, "__hash"]):
+        tops = hashed.groupBy(*keys).agg(F.max(column).alias("__top"), F.count("*").alias("__n"))
+        tops = stored(tops.where("__n > 1").withColumnsRenamed(named), "repeated")
+        if tops.isEmpty():
+            return hashed.drop("__hash")
+        same = reduce(and_, [F.col(key).eqNullSafe(F.col(name)) for key, name in named.items()])
+        wins = F.col("__n").isNull() | F.col(column).eqNullSafe(F.col("__top"))
+        hashed = hashed.join(tops, same, "left").where(wins).drop("__top", "__n", *named.values())
+        if not number:
+            hashed = stored(hashed, "newest")
+    return hashed.drop("__hash").distinct()
+
+
 def latest_per_key(df: DataFrame, keys, order) -> DataFrame:
     """One row per key: the one that is greatest in `order`.
 
@@ -39,22 +59,19 @@ def latest_per_key(df: DataFrame, keys, order) -> DataFrame:
     column to make ties deterministic. A null sorts lowest, and the chosen
     row is kept whole, nulls included.
 
-    A long history is neither shuffled nor sorted: its rows are narrowed to those with the greatest first column
-    (`at_greatest`), and only what is left, about one row per key, is written and decided by the other columns. Where these
-    are numbers or times as well, that goes on by hash aggregates, down to rows that agree in the whole order, of
-    which the one with the greatest hash stays. Text in the order needs an aggregate that sorts: each task sorts its
-    own rows by key and sends one row per key on.
+    A long history is neither shuffled nor sorted: its rows are narrowed to those with the greatest first column, and
+    only what is left, about one row per key, is written and decided by the other columns. Where these are numbers or times as
+    well, that goes on by hash aggregates, each of which also counts the rows of its keys: as soon as no key has several
+    there is nothing left to decide, and where none has from the start, the rows are not joined at all. Of rows that agree
+    in the whole order the one with the greatest hash stays. Text in the order needs an aggregate that sorts: each task sorts
+    its own rows by key and sends one row per key on.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     first, *others = order
     if _fixed(df, first):
-        df = stored(at_greatest(df, keys, first), "newest")
         if all(_fixed(df, c) for c in others):
-            for column in others:
-                df = at_greatest(df, keys, column)
-            rest = [c for c in df.columns if c not in keys]
-            hashed = df.withColumn("__hash", F.xxhash64(*rest))
-            return at_greatest(hashed, keys, "__hash").drop("__hash").distinct()
+            return _decided(df, keys, order)
+        df = stored(at_greatest(df, keys, first), "newest")
     rest = [c for c in df.columns if c not in keys]
     newest = F.max_by(F.struct(*rest), F.struct(*order))
     return (df.groupBy(*keys).agg(newest.alias("__row"))

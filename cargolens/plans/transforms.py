@@ -17,9 +17,9 @@ def customer_points(customers: DataFrame) -> DataFrame:
                             F.col("longitude").alias("customer_longitude"))
 
 
-def warehouse_points(warehouses: DataFrame) -> DataFrame:
+def warehouse_points(warehouses: DataFrame, keep=()) -> DataFrame:
     return warehouses.select("warehouse_id", F.col("latitude").alias("warehouse_latitude"),
-                             F.col("longitude").alias("warehouse_longitude"))
+                             F.col("longitude").alias("warehouse_longitude"), *keep)
 
 
 def with_route(df: DataFrame) -> DataFrame:
@@ -48,17 +48,18 @@ def with_risk(df: DataFrame, null_points: int = 0) -> DataFrame:
 
 
 def build_routes(orders: DataFrame, customers: DataFrame, warehouses: DataFrame,
-                 carry=(), small: bool | None = None) -> DataFrame:
+                 carry=(), small: bool | None = None, keep=()) -> DataFrame:
     """One route per order whose customer and warehouse are known.
 
-    `carry` names further order columns that the routes keep; `small` is as in `lookup_join`.
+    `carry` names further order columns that the routes keep, `keep` such columns of the warehouses; `small` is as in
+    `lookup_join`.
     """
     keys = orders.select("order_id", "customer_id", "warehouse_id", *carry)
     located = lookup_join(keys, customer_points(customers), "customer_id", "inner",
                           spread=["order_id"], small=small)
-    located = lookup_join(located, warehouse_points(warehouses), "warehouse_id", "inner",
+    located = lookup_join(located, warehouse_points(warehouses, keep), "warehouse_id", "inner",
                           spread=["order_id"], profile=keys, small=small)
-    return with_route(located).select(*S.ROUTES.fieldNames(), *carry)
+    return with_route(located).select(*S.ROUTES.fieldNames(), *carry, *keep)
 
 
 def latest_weather(weather: DataFrame, tie: str | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ Every observation holds until the next one of its warehouse. These intervals are
 finds its interval by an equality of warehouse and day and a test of the range: no history is sorted or shuffled for
 a batch of orders. An interval that is still open is not cut; there is one per warehouse. Weather that comes late
 changes the intervals of its own warehouses, and of the scored orders only the days and warehouses of new intervals are
-scored anew.
+scored anew (others of these days get the scores they have).
 
 Observations and intervals lie in folders by a hash of the warehouse, scores in folders by day and batch. Batches of
 either kind are numbered from 0; one that runs again replaces what it has filed.
@@ -28,6 +28,7 @@ from cargolens.streaming.batches import BATCH, is_day, run
 BUCKETS = 64
 BUCKET = "bucket"
 DAY = "day"
+SINCE, NOW = "__since", "__now"
 MEASURED = ("temperature", "wind_speed")
 SCORED = [*S.DELIVERY_RISK.fieldNames(), "created_at"]
 SCORES = T.StructType([*S.DELIVERY_RISK.fields, S.ORDERS["created_at"], T.StructField(DAY, T.DateType()),
@@ -53,20 +54,32 @@ def cut_at_days(intervals: DataFrame) -> DataFrame:
     return intervals.withColumn(DAY, F.explode_outer(days))
 
 
-def weather_at(orders: DataFrame, intervals: DataFrame) -> DataFrame:
-    """Orders with the measured values that held when they were created; null where nothing was known."""
+def open_intervals(intervals: DataFrame) -> DataFrame:
+    """(warehouse, start, measured values) of the intervals that have no end yet, one per warehouse."""
+    return intervals.where(F.col(DAY).isNull()).select(
+        "warehouse_id", F.col("valid_from").alias(SINCE), F.struct(*MEASURED).alias(NOW))
+
+
+def weather_at(orders: DataFrame, intervals: DataFrame, otherwise: str | None = None) -> DataFrame:
+    """Orders with the measured values that held when they were created; null where nothing was known.
+
+    Orders of warehouses without any interval take the values in the struct column `otherwise`, if it is named. Orders
+    that carry the columns of `open_intervals` already are not joined with them again.
+    """
     closed = intervals.where(F.col(DAY).isNotNull()).select(
         F.col("warehouse_id").alias("__w"), F.col(DAY).alias("__d"), F.col("valid_from").alias("__from"),
         F.col("valid_to").alias("__to"), F.struct(*MEASURED).alias("__then"))
     held = ((F.col("warehouse_id") == F.col("__w")) & (F.to_date("created_at") == F.col("__d"))
             & (F.col("created_at") >= F.col("__from")) & (F.col("created_at") < F.col("__to")))
     found = orders.join(closed, held, "left").drop("__w", "__d", "__from", "__to")
-    still = intervals.where(F.col(DAY).isNull()).select(
-        "warehouse_id", F.col("valid_from").alias("__since"), F.struct(*MEASURED).alias("__now"))
-    both = lookup_join(found, still, "warehouse_id", "left", spread=["order_id"], profile=orders)
-    seen = F.when(F.col("created_at") >= F.col("__since"), F.col("__now")).otherwise(F.col("__then"))
+    both = found if SINCE in orders.columns else lookup_join(
+        found, open_intervals(intervals), "warehouse_id", "left", spread=["order_id"], profile=orders)
+    seen = F.when(F.col("created_at") >= F.col(SINCE), F.col(NOW)).otherwise(F.col("__then"))
+    if otherwise:  # every warehouse with intervals has an open one
+        seen = F.when(F.col(SINCE).isNull(), F.col(otherwise)).otherwise(seen)
+    kept = [c for c in orders.columns if c not in (otherwise, SINCE, NOW)]
     return (both.withColumn("__seen", seen)
-            .select(*orders.columns, *[F.col("__seen")[c].alias(c) for c in MEASURED]))
+            .select(*kept, *[F.col("__seen")[c].alias(c) for c in MEASURED]))
 
 
 class RiskAsOf:
@@ -106,6 +119,9 @@ class RiskAsOf:
 
     def _score_again(self, held: DataFrame, changed: DataFrame) -> None:
         """Score the orders of the days of `changed` intervals anew, for their warehouses; `held` are all of these."""
+        # From the listing alone: files of other days are not to be opened.
+        if not any(f"/{DAY}=" in file for file in self._scores().inputFiles()):
+            return
         cut = stored(cut_at_days(changed).select("warehouse_id", "valid_from", DAY), "changed")
         # Days are few whatever the data size: all of the calendar's are 3.7 million dates.
         days = [r[0] for r in cut.where(F.col(DAY).isNotNull()).select(DAY).distinct().collect()]
@@ -114,12 +130,15 @@ class RiskAsOf:
         if since is not None:  # an open interval reaches all later days
             within |= F.col(DAY) >= F.lit(since.isoformat()).cast("date")
         standing = self._scores().where(within)
-        touched = cut.select("warehouse_id").distinct()
-        orders = (standing.join(touched, "warehouse_id", "left_semi")
-                  .drop(*MEASURED, "risk_score", "risk_level").withColumnRenamed(DAY, "__day"))
-        again = transforms.with_risk(weather_at(orders, cut_at_days(held)), self.null_points)
-        others = standing.join(touched, "warehouse_id", "left_anti")
-        rows = again.withColumnRenamed("__day", DAY).select(*others.columns).unionByName(others)
+        if standing.isEmpty():
+            return
+        # One pass: a warehouse that `held` does not know keeps its scores, one whose intervals stay gets the same again.
+        orders = standing.withColumnRenamed(DAY, "__day").withColumn("__was", F.struct(*MEASURED)).drop(
+            *MEASURED, "risk_score", "risk_level")
+        intervals = cut_at_days(held).where(F.col(DAY).isNull() | within)
+        seen = weather_at(orders, intervals, otherwise="__was")
+        again = transforms.with_risk(seen, self.null_points)
+        rows = again.withColumnRenamed("__day", DAY).select(*standing.columns)
         # Written first, since the folders that are replaced are read for it.
         self._write(stored(rows, "scores"), "scores", DAY, BATCH)
 
@@ -127,9 +146,12 @@ class RiskAsOf:
                    warehouses: DataFrame) -> None:
         """Route a batch of orders and score it with the weather that is known by now."""
         assert_columns(orders, S.STG_ORDERS)
-        routes = transforms.build_routes(orders, customers, warehouses, carry=["created_at"])
         intervals = self.spark.read.schema(INTERVALS).parquet(f"{self.root}/intervals")
-        observed = weather_at(stored(routes, "routes"), intervals)
+        # The open intervals come in with the warehouses, so that the orders are not moved for them once more.
+        stations = stored(warehouses.select("warehouse_id", "latitude", "longitude").join(
+            open_intervals(intervals), "warehouse_id", "left"), "stations")
+        routes = transforms.build_routes(orders, customers, stations, carry=["created_at"], keep=[SINCE, NOW])
+        observed = weather_at(routes, intervals)
         scored = transforms.with_risk(observed, self.null_points).select(*SCORED)
         self._write(scored.withColumns({DAY: _order_day(), BATCH: F.lit(batch_id)}), "scores", DAY, BATCH)
 

@@ -144,3 +144,23 @@ def test_late_weather_opens_its_days_only(spark, tmp_path, places):
     day = spark.read.parquet(f"{tmp_path}/scores/day=2026-01-02").where("warehouse_id = 'WH-001'")
     got = {r["created_at"].hour: r["temperature"] for r in day.collect()}
     assert got and all(t == (30.0 if h >= 6 else 10.0) for h, t in got.items())
+
+
+def test_late_weather_of_one_warehouse_moves_the_orders_once(spark, tmp_path, places, no_broadcast, monkeypatch):
+    """The orders of the days are not split into those of touched warehouses and others, and the others keep their scores."""
+    plans, write = [], asof.stored
+    monkeypatch.setattr(asof, "stored", lambda df, name: plans.append(
+        (name, df._jdf.queryExecution().optimizedPlan().toString())) or write(df, name))
+    job = asof.RiskAsOf(spark, str(tmp_path), "tie")
+    first = [("WH-001", 0, 10.0, 1.0, 1), ("WH-002", 0, 12.0, 2.0, 2)]
+    job.add_weather(0, weather_of(spark, *first))
+    orders = orders_of(spark, list(range(0, 120, 3)))
+    job.add_orders(0, orders, *places)
+    late = ("WH-001", 30, 30.0, 12.0, 3)
+    job.add_weather(1, weather_of(spark, late))
+    routes = transforms.build_routes(orders, *places, carry=["created_at"])
+    assert rows(job.read()) == rows(transforms.build_delivery_risk_asof(routes, weather_of(spark, *first, late), "tie"))
+    names = [name for name, _ in plans]
+    assert "routes" not in names and names.count("scores") == 1
+    plan = dict(plans)["scores"]
+    assert "LeftSemi" not in plan and "LeftAnti" not in plan and "Union" not in plan

@@ -233,3 +233,15 @@ def test_latest_row_without_sorting_the_history(spark):
         [("a", 2, 3, None), ("b", None, 2, "w"), (None, 1, 1, "n"), ("c", 4, None, "q")], df.schema))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "Sort [" not in plan.split("Exchange")[-1]
+
+
+def test_latest_row_of_keys_that_do_not_repeat(spark, tmp_path, no_broadcast):
+    """Where every key has one row there is nothing to decide, and only repeated keys are decided otherwise."""
+    spark.range(1000).selectExpr("id k", "id % 7 ts", "id % 3 v").write.parquet(f"{tmp_path}/once")
+    once = spark.read.parquet(f"{tmp_path}/once")
+    got = latest_per_key(once, ["k"], ["ts", "v"])
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    assert rows(got) == rows(once)
+    more = once.union(once.where("k < 9").selectExpr("k", "ts + 1", "v")).union(once.where("k = 20"))
+    want = once.selectExpr("k", "if(k < 9, ts + 1, ts) ts", "v")
+    assert rows(latest_per_key(more, ["k"], ["ts", "v"])) == rows(want)
