@@ -54,11 +54,11 @@ def banded(text: Column) -> Column:
 
     @F.arrow_udf(f"struct<{fields}>")
     def hashed(batch: pa.Array) -> pa.Array:
-        texts = batch.to_pylist()
-        known = np.zeros(len(texts), bool)
-        table = np.zeros((len(texts), len(BANDS) + len(SKETCH)), np.uint64)
-        for at in range(0, len(texts), TOGETHER):
-            words = [bagminhash.word_hashes(t) for t in texts[at:at + TOGETHER]]
+        known = np.zeros(len(batch), bool)
+        table = np.zeros((len(batch), len(BANDS) + len(SKETCH)), np.uint64)
+        for at in range(0, len(batch), TOGETHER):
+            # Of a batch only so many texts are Python strings at a time.
+            words = [bagminhash.word_hashes(t) for t in batch.slice(at, TOGETHER).to_pylist()]
             own = [k for k, w in enumerate(words) if len(w)]
             if own:
                 found = bagminhash.signatures([bagminhash.shingle_hashes(words[k]) for k in own])
@@ -90,8 +90,8 @@ def similarity(left: Column, right: Column) -> Column:
     def compared(lefts: pa.Array, rights: pa.Array) -> pa.Array:
         shingles = lru_cache(REMEMBERED)(
             lambda text: bagminhash.shingle_hashes(bagminhash.word_hashes(text)))
-        return pa.array([bagminhash.similarity(shingles(a), shingles(b)) for a, b in
-                         zip(lefts.to_pylist(), rights.to_pylist(), strict=True)], pa.float64())
+        return pa.array([bagminhash.similarity(shingles(a.as_py()), shingles(b.as_py()))
+                         for a, b in zip(lefts, rights, strict=True)], pa.float64())
 
     return compared(left, right)
 

@@ -138,3 +138,26 @@ def test_signatures_do_not_depend_on_company():
 def test_words_are_those_of_split():
     for text in ("", " ", "a", " a\tb\n\x0bc\x0c\rd ", "é\x85x \x1c y", "x" * 70_000):
         assert len(bagminhash.word_hashes(text)) == len(text.encode().split())
+
+
+def test_texts_of_a_batch_are_not_all_strings_at_once(monkeypatch):
+    """The functions over Arrow batches hold a few texts of a batch as Python strings, however many it has."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    made = []
+    fake = SimpleNamespace(arrow_udf=lambda kind: lambda f: (made.append(f), lambda *columns: None)[1])
+    monkeypatch.setattr(near_dup, "F", fake)
+    near_dup.banded(None)
+    near_dup.similarity(None, None)
+    texts = pa.array([f"{k} " * 3000 for k in range(1000)])
+    again = texts.take(pa.array([0] * 1000))
+    peaks = []
+    for run in (lambda: made[0](texts), lambda: made[1](again, pa.array(["x" * 12_000] * 1000))):
+        tracemalloc.start()
+        assert len(run()) == 1000
+        peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
+        tracemalloc.stop()
+    assert peaks[1] < 5  # signatures need room of their own
