@@ -196,13 +196,14 @@ def share(wanted: set, found: set) -> float:
     return len(wanted & found) / len(wanted) if wanted else 1.0
 
 
-def leaks_of(index: Index, texts: list[str | None]) -> Iterator[tuple[int, int, float, float]]:
+def leaks_of(index: Index, texts: list[str | None] | pa.Array) -> Iterator[tuple[int, int, float, float]]:
     """(text, item, score, coverage) of all verified items, in the order of texts and items."""
     at = 0
     while at < len(texts):
         part, size = [], 0
         while at + len(part) < len(texts) and (not part or size < WORDS):
-            part.append(words_of(texts[at + len(part)]))
+            text = texts[at + len(part)]
+            part.append(words_of(text.as_py() if isinstance(text, pa.Scalar) else text))
             size += len(part[-1])
         best: dict[tuple[int, int], float] = {}
         for text, item, score in index.matches(part):
@@ -250,7 +251,7 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 
         def match(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
             for batch in batches:
-                found = list(leaks_of(shared.value, batch[1].to_pylist()))
+                found = list(leaks_of(shared.value, batch[1]))
                 where = pa.array([f[0] for f in found], pa.int64())
                 ids = [shared.value.items[f[1]].item_id for f in found]
                 yield pa.RecordBatch.from_arrays(
@@ -273,7 +274,7 @@ def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text", item: str
 
         @F.arrow_udf("boolean")
         def checked(texts: pa.Array) -> pa.Array:
-            found = {f[0] for f in leaks_of(shared.value, texts.to_pylist())}
+            found = {f[0] for f in leaks_of(shared.value, texts)}
             return pa.array([k not in found for k in range(len(texts))], pa.bool_())
 
         return checked(F.col(text))

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHARS_PER_TOKEN = 2.0
+TOGETHER = 100  # texts of an Arrow batch that are Python strings at once
 KINDS = ("assign", "access", "hex", "random")
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -125,9 +126,12 @@ def redacted(text: Column, chars_per_token: float = CHARS_PER_TOKEN,
 
     @F.arrow_udf("string")
     def cleaned(texts: pa.Array) -> pa.Array:
-        values = (value.as_py() for value in texts)
-        return pa.array([None if v is None else redact(v, find(v, chars_per_token, path))
-                         for v in values], pa.string())
+        done = [pa.array([], pa.string())]
+        for at in range(0, len(texts), TOGETHER):
+            values = texts.slice(at, TOGETHER).to_pylist()
+            done.append(pa.array([None if v is None else redact(v, find(v, chars_per_token, path))
+                                  for v in values], pa.string()))
+        return pa.concat_arrays(done)
 
     return cleaned(text)
 
