@@ -14,6 +14,9 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 # The white space that separates words: space and code points 9 to 13.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; Python workers started from now on can import this package."""
@@ -23,6 +26,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Python workers get texts in Arrow batches of some `BATCH_BYTES`, unless the session says otherwise.
+
+    By default a batch has up to 10,000 rows and 64 MB. Executor and worker each hold it several times over
+    (a vector that doubles as it grows, what came in, strings, results), once for every task that runs. No row is
+    left out: a row that is longer makes a batch of its own.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def stored_small(df: DataFrame, name: str) -> DataFrame:
     """Like `stored`, but compressed harder, for intermediate tables of the input's size."""
     path = fresh_path(df.sparkSession, name)

@@ -9,7 +9,8 @@ Five stages, each a function of (spark, docs, sf_dir) that works on all rows its
     packing    the texts are cut and packed into sequences of 1024 tokens
 
 All but the last return the columns of documents. Their results are written and read again
-between stages, so a lost executor costs at most its stage.
+between stages, so a lost executor costs at most its stage. Python workers get the texts in Arrow batches
+bounded in bytes, which stays set in the session.
 """
 
 from __future__ import annotations
@@ -18,23 +19,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargolens.llm import decontam, near_dup, packing, quality, secret_scan
-from cargolens.llm.common import table
+from cargolens.llm.common import bounded_batches, table
 from cargolens.sources.workspace import stored
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return near_dup.keep_one(docs)
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     hidden = docs.withColumn("text", secret_scan.redacted(F.col("text")))
     if "n_chars" not in docs.columns:
         return hidden
@@ -44,6 +49,7 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return packing.packed_documents(docs)
 
 

@@ -1,6 +1,8 @@
 """The corpus pipeline stage by stage against plain versions of its decisions."""
 import corpus_pipeline
+import pyarrow as pa
 from cargolens.llm import decontam, entry, secret_scan
+from cargolens.llm.common import BATCH_BYTES, BATCH_SETTING
 from test_near_dup import brute as same_class
 from test_packing import check as packing_of
 
@@ -71,3 +73,30 @@ def test_odd_documents(spark, tmp_path):
         ids = sorted(r["doc_id"] or 0 for r in docs.collect())
         assert ids == ([0, 3] if data else [])
         assert corpus_pipeline.STAGES[-1][1](spark, docs, DATA).count() == len(ids)
+
+
+def test_batches_are_bounded(spark):
+    """Each stage alone sees to it that workers get texts in small Arrow batches, and every row of them."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64()), pa.array([batch.nbytes], pa.int64())],
+                                             ["n", "size"])
+
+    set_before = spark.conf.get(BATCH_SETTING, None)
+    none = spark.read.parquet(f"{DATA}/documents.parquet").select(*COLUMNS).where("false")
+    texts = spark.range(0, 2001, 1, 1).selectExpr("repeat('x', if(id = 1000, 6000000, 10000)) as text")
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(BATCH_SETTING)
+        stage(spark, none, DATA)
+        found = texts.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r["n"] for r in found) == 2001
+        assert sorted(r["size"] for r in found)[-2] <= 1.05 * BATCH_BYTES  # the last holds the long text
+    try:
+        spark.conf.set(BATCH_SETTING, "12345")
+        corpus_pipeline.hide_secrets(spark, none, DATA)
+        assert spark.conf.get(BATCH_SETTING) == "12345"
+    finally:
+        spark.conf.unset(BATCH_SETTING)
+        if set_before is not None:
+            spark.conf.set(BATCH_SETTING, set_before)
