@@ -129,3 +129,33 @@ def test_added_tokens(spark):
     row = packing.packed_documents(df).first()
     assert (row["doc_tokens"], row["ids_crc32"]) == (
         3, zlib.crc32(np.array([50256, 2124, packing.END], "<u4").tobytes()))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("ab's\xe9\x1c\x85 \n\t1.")))
+def test_slices_have_the_ids_of_the_whole_text(text):
+    size, packing.SLICE = packing.SLICE, 2
+    try:
+        assert "".join(packing.slices(text)) == text
+        assert np.frombuffer(packing.ids_of(None)(text), "<u4").tolist() == reference_ids(text)
+    finally:
+        packing.SLICE = size
+
+
+def test_latin_texts_take_few_calls(monkeypatch):
+    """A call of a tokenizer for each slice, not for each word, and no slice much longer than `SLICE`."""
+    ids, lengths = packing.Ids(None), []
+
+    class Twin:
+        def encode_ordinary(self, text, twin=ids.twin):
+            lengths.append(len(text))
+            return twin.encode_ordinary(text)
+
+    monkeypatch.setattr(ids, "twin", Twin())
+    for end in ("", "  \n\n end"):
+        lengths.clear()
+        text = " ".join(f"w\xf6rd{i}" for i in range(50_000)) + end
+        assert np.frombuffer(ids(text), "<u4").tolist() == reference_ids(text)
+        assert sum(lengths) == len(text)
+        assert len(lengths) <= len(text) / 100_000 + 1 and max(lengths) <= 100_020
+    assert not ids.after_space
